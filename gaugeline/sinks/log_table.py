@@ -1,0 +1,94 @@
+"""A keyed table on plain Parquet: appended batches, folded when read, compacted in between.
+
+Layout::
+
+    <path>/file_id=<n>/      one committed batch, rewritten whole when its batch is replayed
+    <path>/base_upto=<n>/    what compaction kept of files 0..n
+
+A write costs as much as its batch, not as the table. Readers take the newest committed base
+and the committed files after it; neither is ever changed in place, so a reader that started
+before a compaction keeps a whole, unchanging view until old directories are removed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gaugeline.operators.ranking import last_per_key
+from gaugeline.sinks.paths import committed_children, numbered_children, remove
+
+FILE, BASE = "file_id", "base_upto"
+POSITION = [FILE, "offset"]
+
+
+def append_batch(rows: DataFrame, path: str, file_id: int) -> None:
+    """Write one batch as its own file. Replaying the batch replaces it.
+
+    ``rows`` need an ``offset`` that orders them within the batch.
+    """
+    rows.write.mode("overwrite").parquet(f"{path}/{FILE}={file_id}")
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows that may still matter, with their position. ``schema`` includes file_id."""
+    bases = committed_children(spark, path, BASE)
+    upto = bases[-1] if bases else -1
+    files = [n for n in committed_children(spark, path, FILE) if n > upto]
+    log = spark.createDataFrame([], schema)
+    if bases:
+        log = spark.read.schema(schema).parquet(f"{path}/{BASE}={upto}")
+    if files:
+        recent = (
+            spark.read.schema(schema)
+            .option("basePath", path)
+            .parquet(*[f"{path}/{FILE}={n}" for n in files])
+            .select(*schema.fieldNames())
+        )
+        log = log.unionByName(recent) if bases else recent
+    return log
+
+
+def read_latest(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
+) -> DataFrame:
+    """The newest row of every key."""
+    return last_per_key(read_log(spark, path, schema), keys, POSITION)
+
+
+def compact_log(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
+) -> int | None:
+    """Fold every file before the newest one into a new base; the newest is left alone.
+
+    Returns the last file folded, or None when there is nothing to do. Running it again
+    without new batches changes nothing.
+    """
+    files = committed_children(spark, path, FILE)
+    bases = committed_children(spark, path, BASE)
+    closed = [n for n in files[:-1] if not bases or n > bases[-1]]
+    if not closed:
+        return None
+    upto, active = closed[-1], files[-1]
+    live = read_latest(spark, path, schema, keys).where(F.col(FILE) < active)
+    # Sorted files keep the key ranges of row groups apart, so a lookup reads few of them.
+    live.repartition(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(
+        f"{path}/{BASE}={upto}"
+    )
+    return upto
+
+
+def remove_superseded(spark: SparkSession, path: str) -> None:
+    """Delete what the newest base replaces. Call once no reader of an older view is left."""
+    bases = committed_children(spark, path, BASE)
+    if not bases:
+        return
+    for n in numbered_children(spark, path, BASE):
+        if n < bases[-1]:
+            remove(spark, f"{path}/{BASE}={n}")
+    for n in numbered_children(spark, path, FILE):
+        if n <= bases[-1]:
+            remove(spark, f"{path}/{FILE}={n}")

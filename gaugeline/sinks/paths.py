@@ -1,0 +1,38 @@
+"""Directory questions asked through Hadoop, so that any shared file system works."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _open(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _open(spark, path)
+    return files.exists(where)
+
+
+def numbered_children(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of all ``name=n`` directories under the path, ascending."""
+    files, where = _open(spark, path)
+    if not files.exists(where):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(where)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{name}="))
+
+
+def committed_children(spark: SparkSession, path: str, name: str) -> list[int]:
+    """As :func:`numbered_children`, only directories whose write was committed."""
+    return [
+        n
+        for n in numbered_children(spark, path, name)
+        if exists(spark, f"{path}/{name}={n}/_SUCCESS")
+    ]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = _open(spark, path)
+    files.delete(where, True)
