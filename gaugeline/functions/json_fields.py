@@ -62,8 +62,8 @@ def whole_number(node: Column) -> Column:
     exact = F.try_variant_get(node, "$", "bigint")
     size = F.try_variant_get(node, "$", "double")
     too_large = ~F.isnan(size) & (F.abs(size) >= LONG_LIMIT)
-    zero = F.when(node.isNull() | too_large, F.lit(None)).otherwise(F.lit(0)).cast("bigint")
-    return F.coalesce(exact, size.try_cast("bigint"), zero)
+    cut = F.coalesce(size.try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(exact, F.when(node.isNull() | too_large, F.lit(None)).otherwise(cut))
 
 
 def text_of(node: Column) -> Column:

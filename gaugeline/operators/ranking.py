@@ -38,6 +38,34 @@ def dedup_first(
     """Keep the first arrival of every id.
 
     A restarted station counts from 1 again, so over a long history the default id repeats
-    for different readings. Add ``status_timestamp`` to ``keys`` there.
+    for different readings. Add ``status_timestamp`` to ``keys`` there, or use
+    :func:`dedup_within`.
     """
     return first_per_key(readings, keys, order)
+
+
+def dedup_within(
+    readings: DataFrame,
+    horizon: int,
+    keys: Sequence[str] = READING_KEY,
+    arrival: str = "timestamp",
+    order: Sequence[str] = ARRIVAL_ORDER,
+) -> DataFrame:
+    """Keep first arrivals, but forget an id after ``horizon`` seconds of arrival time.
+
+    Time is cut into cells of one horizon. Each id keeps its first arrival per cell, and that
+    one only if it comes at least a horizon after the id's previous such arrival. So two kept
+    copies are never closer than the horizon, and an id that comes back after a pause of two
+    horizons always passes. The cell step shrinks a busy id to one row per cell before the
+    shuffle; the comparison then sees at most one row per id and cell.
+    """
+    seconds = F.unix_timestamp(arrival)
+    celled = readings.withColumn("_seconds", seconds).withColumn(
+        "_cell", F.expr(f"_seconds div {int(horizon)}")
+    )
+    firsts = first_per_key(celled, [*keys, "_cell"], order)
+    before = F.lag("_seconds").over(Window.partitionBy(*keys).orderBy("_cell"))
+    spaced = firsts.withColumn("_before", before).where(
+        F.col("_before").isNull() | (F.col("_seconds") - F.col("_before") >= horizon)
+    )
+    return spaced.drop("_seconds", "_cell", "_before")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions import scalars
 from gaugeline.operators import alerts, documents, latest, observations, readings
-from gaugeline.operators.ranking import dedup_first, last_per_key
+from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
 from gaugeline.operators.sequence import sequence_numbers
 from gaugeline.plans import event_messages as source
 from gaugeline.plans.oracles import ALERT_JSON, FLAT_JSON, MESSAGES, READING
@@ -27,17 +27,18 @@ ORACLES: dict[str, str] = {}
 
 PUTS_PER_FILE = 1000
 PROCESSING_DAY = "2024-02-01"
+HORIZON = 10 * 24 * 3600
 
 
-def query(sql: str) -> Callable[[Query], Query]:
-    """Register a function under its own name, with its oracle."""
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own name unless given, with its oracle."""
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return build(configure(spark), sf_dir)
 
-        QUERIES[build.__name__] = run
-        ORACLES[build.__name__] = sql
+        QUERIES[name or build.__name__] = run
+        ORACLES[name or build.__name__] = sql
         return build
 
     return register
@@ -306,13 +307,27 @@ def archive_groups(spark, sf_dir):
 # -- repeats and numbering --------------------------------------------------------------
 
 
-@query(MESSAGES + f"SELECT arrival, {READING} FROM first")
-def dedup_first_arrival(spark, sf_dir):
+@query(MESSAGES + f"SELECT arrival, {READING} FROM first", name="dedup_first")
+def first_arrivals(spark, sf_dir):
     return _first(spark, sf_dir).select(F.col("offset").alias("arrival"), *READING_COLUMNS)
 
 
-QUERIES["dedup_first"] = QUERIES.pop("dedup_first_arrival")
-ORACLES["dedup_first"] = ORACLES.pop("dedup_first_arrival")
+@query(
+    MESSAGES
+    + f""", cells AS (
+      SELECT * FROM valid
+      QUALIFY row_number() OVER (PARTITION BY station_id, s_no, status_timestamp // {HORIZON}
+                                 ORDER BY arrival) = 1
+    ), spaced AS (
+      SELECT *, status_timestamp - lag(status_timestamp)
+                OVER (PARTITION BY station_id, s_no ORDER BY status_timestamp) AS gap
+      FROM cells)
+    SELECT arrival, {READING} FROM spaced WHERE gap IS NULL OR gap >= {HORIZON}""",
+    name="dedup_within",
+)
+def spaced_arrivals(spark, sf_dir):
+    kept = dedup_within(_valid(spark, sf_dir), HORIZON)
+    return kept.select(F.col("offset").alias("arrival"), *READING_COLUMNS)
 
 
 @query(

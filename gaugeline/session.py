@@ -8,10 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # UTC makes event dates independent of the machine. The variant setting makes the last of
-# two equal JSON keys win instead of rejecting the document.
+# two equal JSON keys win instead of rejecting the document. RocksDB keeps stream state on
+# disk, so that remembered ids need not fit in executor memory.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -12,11 +12,12 @@ from gaugeline.functions.scalars import json_string
 JSON_OBJECT_BYTES = 32 * 1024 * 1024
 
 
-def export_csv(snapshot: DataFrame, path: str) -> None:
+def export_csv(snapshot: DataFrame, path: str, line_end: str = "\n") -> None:
     """Write ``key,value`` files. A small snapshot is one file, a large one several.
 
     The rebalance picks the number from the size at run time, so no snapshot has to pass
-    through one task.
+    through one task. ``line_end`` may be ``"\\r\\n"`` for values of one line each; the writer
+    would also put it in place of line feeds inside values.
     """
     (
         snapshot.select("key", "value")
@@ -25,7 +26,7 @@ def export_csv(snapshot: DataFrame, path: str) -> None:
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("lineSep", "\r\n")
+        .option("lineSep", line_end)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -30,7 +30,10 @@ def read_alert_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Key/value snapshots: header line, doubled quotes, any line ending, values may span lines."""
+    """Key/value snapshots: header line, doubled quotes, any line ending, values may span lines.
+
+    Where rows end in CR LF, a CR LF inside a value reads as LF.
+    """
     return (
         spark.read.schema(KEY_VALUE)
         .option("header", True)

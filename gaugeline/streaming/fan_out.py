@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.operators.documents import latest_documents
 from gaugeline.operators.latest import puts_from_readings
-from gaugeline.operators.ranking import dedup_first, last_per_key
+from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
 from gaugeline.operators.readings import invalid_messages, parse_readings, valid_readings
 from gaugeline.schemas import DEAD_LETTER, KEY_VALUE, LONG, READING_DOCUMENT, READING_KEY
 from gaugeline.sinks.archive import LAYOUT, dated_readings, spread_by_layout
@@ -53,7 +53,7 @@ def _unseen(
     if horizon is not None:
         # The first filter picks directories; the second judges each pair.
         seen = seen.where(F.col("until") >= oldest - horizon)
-        same_id.append(seen["arrived"] >= F.unix_timestamp(first["timestamp"]) - horizon)
+        same_id.append(seen["arrived"] > F.unix_timestamp(first["timestamp"]) - horizon)
     return first.join(seen, same_id, "left_anti")
 
 
@@ -98,7 +98,7 @@ def process_batch(
         oldest, until = valid.agg(F.min(arrived), F.max(arrived)).first()
         if oldest is None:
             return
-        first = dedup_first(valid)
+        first = dedup_first(valid) if horizon is None else dedup_within(valid, horizon)
         accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon).persist()
         if ARCHIVE in sinks:
             _write_archive(accepted, f"{root}/{ARCHIVE}", batch_id)
@@ -127,8 +127,8 @@ def start_fan_out(
 ) -> StreamingQuery:
     """Run :func:`process_batch` on every micro-batch of a message stream.
 
-    An id is remembered for ``horizon`` seconds of arrival time, or for good when None. Within
-    one micro-batch all copies count as repeats, so bound its length at the source.
+    An id is remembered for ``horizon`` seconds of arrival time, or for good when None. That
+    holds within a micro-batch as well, so a long backlog may be drained in one.
     """
     step = partial(process_batch, root=root, sinks=tuple(sinks), horizon=horizon)
     return start(messages.writeStream.foreachBatch(step), checkpoint, every)

@@ -1,0 +1,66 @@
+from helpers import as_dict
+
+from gaugeline.sinks import log_table
+from gaugeline.sinks.paths import committed_children
+from gaugeline.streaming.fan_out import LATEST_LOG
+
+
+def append(spark, path, file_id, pairs):
+    rows = [(k, v, i) for i, (k, v) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "key string, value string, offset long")
+    log_table.append_batch(df, path, file_id)
+
+
+def latest(spark, path):
+    return log_table.read_latest(spark, path, LATEST_LOG, ["key"])
+
+
+def values(spark, path):
+    return as_dict(latest(spark, path))
+
+
+def test_empty(spark, at):
+    assert log_table.read_log(spark, at("log"), LATEST_LOG).count() == 0
+    assert log_table.compact_log(spark, at("log"), LATEST_LOG, ["key"]) is None
+
+
+def test_later_files_win_and_replay_replaces(spark, at):
+    append(spark, at("log"), 0, [("a", "1"), ("b", "1"), ("a", "2")])
+    append(spark, at("log"), 1, [("a", "3")])
+    append(spark, at("log"), 1, [("a", "3")])
+    assert values(spark, at("log")) == {"a": "3", "b": "1"}
+    assert log_table.read_log(spark, at("log"), LATEST_LOG).count() == 4
+
+
+def test_uncommitted_batch_is_not_seen(spark, at, tmp_path):
+    append(spark, at("log"), 0, [("a", "1")])
+    append(spark, at("log"), 1, [("a", "2")])
+    (tmp_path / "log" / "file_id=1" / "_SUCCESS").unlink()
+    assert values(spark, at("log")) == {"a": "1"}
+
+
+def test_compaction(spark, at):
+    model = {}
+    for n in range(5):
+        pairs = [(f"k{i}", f"v{n}") for i in range(n, 20)]
+        model |= dict(pairs)
+        append(spark, at("log"), n, pairs)
+    old_view = latest(spark, at("log"))
+    assert log_table.compact_log(spark, at("log"), LATEST_LOG, ["key"]) == 3
+    assert values(spark, at("log")) == model
+    # Only what the active file does not shadow went into the base.
+    assert log_table.read_log(spark, at("log"), LATEST_LOG).count() == 20
+    # Nothing to do the second time, and the earlier view still reads.
+    assert log_table.compact_log(spark, at("log"), LATEST_LOG, ["key"]) is None
+    assert as_dict(old_view) == model
+
+    log_table.remove_superseded(spark, at("log"))
+    assert committed_children(spark, at("log"), "file_id") == [4]
+    assert values(spark, at("log")) == model
+
+    append(spark, at("log"), 5, [("k0", "new")])
+    append(spark, at("log"), 6, [("k1", "new")])
+    assert log_table.compact_log(spark, at("log"), LATEST_LOG, ["key"]) == 5
+    log_table.remove_superseded(spark, at("log"))
+    assert values(spark, at("log")) == model | {"k0": "new", "k1": "new"}
+    assert committed_children(spark, at("log"), "base_upto") == [5]
