@@ -13,7 +13,7 @@ from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
 from gaugeline.operators.sequence import sequence_numbers
 from gaugeline.plans import event_messages as source
 from gaugeline.plans.oracles import ALERT_JSON, FLAT_JSON, MESSAGES, READING
-from gaugeline.schemas import ALERT_COLUMNS, READING_COLUMNS
+from gaugeline.schemas import ALERT_COLUMNS, KEY_VALUE, PUT_LOG, READING_COLUMNS
 from gaugeline.session import configure, scratch_dir
 from gaugeline.sinks import archive, export, log_table
 from gaugeline.sources import messages as topics
@@ -79,6 +79,13 @@ def _puts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stored_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log as a stored table, for queries that read it more than once."""
+    path = scratch_dir(spark, "puts")
+    _puts(spark, sf_dir).write.parquet(path)
+    return spark.read.schema(PUT_LOG).parquet(path)
+
+
 def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last accepted reading of every station."""
     newest = last_per_key(latest.puts_from_readings(_first(spark, sf_dir)), ["key"])
@@ -187,11 +194,11 @@ def alert_archive(spark, sf_dir):
     return tables.read_alert_archive(spark, path)
 
 
-@query(
-    MESSAGES
-    + f"""SELECT station_id || '-' || s_no AS doc_id, {_ALERT} FROM raised
-    QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival DESC) = 1"""
-)
+_INDEXED_ALERTS = f"""SELECT station_id || '-' || s_no AS doc_id, {_ALERT} FROM raised
+QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival DESC) = 1"""
+
+
+@query(MESSAGES + _INDEXED_ALERTS)
 def alert_index(spark, sf_dir):
     records = alerts.alert_records(_parsed_alerts(spark, sf_dir))
     return documents.latest_documents(records).select("doc_id", *ALERT_COLUMNS)
@@ -386,7 +393,7 @@ def kv_count(spark, sf_dir):
 
 @query(MESSAGES + "SELECT key, value FROM newest WHERE key = '7-77'")
 def kv_get(spark, sf_dir):
-    log = _puts(spark, sf_dir)
+    log = _stored_puts(spark, sf_dir)
     return latest.get(log, "7-77").unionByName(latest.get(log, "ghost"))
 
 
@@ -420,7 +427,7 @@ def kv_replay(spark, sf_dir):
     FROM newest"""
 )
 def kv_index(spark, sf_dir):
-    return _positioned(latest.key_index(_puts(spark, sf_dir)))
+    return _positioned(latest.key_index(_stored_puts(spark, sf_dir)))
 
 
 @query(
@@ -456,7 +463,7 @@ def kv_scan_from(spark, sf_dir):
     UNION ALL SELECT {_POSITIONED} FROM puts WHERE file_id = (SELECT max(file_id) FROM puts)"""
 )
 def kv_compact(spark, sf_dir):
-    return _positioned(latest.compact(_puts(spark, sf_dir)))
+    return _positioned(latest.compact(_stored_puts(spark, sf_dir)))
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS key, text AS value FROM documents")
@@ -477,7 +484,7 @@ def kv_csv(spark, sf_dir):
 def kv_json(spark, sf_dir):
     path = scratch_dir(spark, "snapshot")
     _stations(spark, sf_dir).write.parquet(path)
-    return export.snapshot_json(spark.read.schema("key string, value string").parquet(path))
+    return export.snapshot_json(spark.read.schema(KEY_VALUE).parquet(path))
 
 
 @query("SELECT event_id, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events")
@@ -533,6 +540,24 @@ def stream_dedup(spark, sf_dir):
     return tables.read_archive(spark, path).select("station_id", "s_no")
 
 
+def _alert_fan_out(spark, sf_dir, sink):
+    root, checkpoint = scratch_dir(spark, "alert-fan-out"), scratch_dir(spark, "checkpoint")
+    topic = alerts.alert_messages(_message_stream(spark, sf_dir))
+    fan_out.start_alert_fan_out(topic, root, checkpoint, [sink]).awaitTermination()
+    return root
+
+
+@query(MESSAGES + f"SELECT {_ALERT} FROM raised")
+def stream_alert_archive(spark, sf_dir):
+    path = f"{_alert_fan_out(spark, sf_dir, fan_out.ARCHIVE)}/{fan_out.ARCHIVE}"
+    return tables.read_alert_archive(spark, path).drop("date")
+
+
+@query(MESSAGES + _INDEXED_ALERTS)
+def stream_alert_index(spark, sf_dir):
+    return fan_out.indexed_alerts(spark, _alert_fan_out(spark, sf_dir, fan_out.DOCUMENTS))
+
+
 def _fan_out(spark, sf_dir, sink):
     root, checkpoint = scratch_dir(spark, "fan-out"), scratch_dir(spark, "checkpoint")
     messages = _message_stream(spark, sf_dir)

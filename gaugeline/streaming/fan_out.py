@@ -14,11 +14,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeline.operators.alerts import alert_records, parse_alerts, unreadable_alerts
 from gaugeline.operators.documents import latest_documents
 from gaugeline.operators.latest import puts_from_readings
 from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
 from gaugeline.operators.readings import invalid_messages, parse_readings, valid_readings
-from gaugeline.schemas import DEAD_LETTER, KEY_VALUE, LONG, READING_DOCUMENT, READING_KEY
+from gaugeline.schemas import (
+    ALERT_ARCHIVE,
+    ALERT_DOCUMENT,
+    DEAD_LETTER,
+    KEY_VALUE,
+    LONG,
+    READING_DOCUMENT,
+    READING_KEY,
+)
 from gaugeline.sinks.archive import LAYOUT, dated_readings, spread_by_layout
 from gaugeline.sinks.log_table import append_batch, read_latest, read_log
 from gaugeline.sinks.paths import exists, numbered_children, remove
@@ -26,6 +35,7 @@ from gaugeline.streaming.jobs import start
 
 ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS = "archive", "documents", "latest", "dead_letters"
 ALL_SINKS = (ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS)
+ALERT_SINKS = (ARCHIVE, DOCUMENTS)
 SEEN = "seen"
 
 HORIZON_SECONDS = 40 * 60
@@ -37,6 +47,7 @@ def _longs(*names: str) -> list[T.StructField]:
 
 LATEST_LOG = T.StructType(KEY_VALUE.fields + _longs("offset", "file_id"))
 DOCUMENT_LOG = T.StructType(READING_DOCUMENT.fields + _longs("offset", "file_id"))
+ALERT_LOG = T.StructType(ALERT_DOCUMENT.fields + _longs("offset", "file_id"))
 DEAD_LETTER_LOG = T.StructType(DEAD_LETTER.fields + _longs("offset", "file_id"))
 SEEN_IDS = T.StructType(_longs(*READING_KEY, "arrived", "until", "batch_id"))
 
@@ -64,11 +75,11 @@ def forget_ids(spark: SparkSession, root: str, before: int) -> None:
             remove(spark, f"{root}/{SEEN}/until={until}")
 
 
-def _write_archive(accepted: DataFrame, path: str, batch_id: int) -> None:
+def _write_archive(dated: DataFrame, path: str, batch_id: int) -> None:
     """Replace only the directories of this batch; a replay hits the same ones."""
-    dated = spread_by_layout(dated_readings(accepted))
     (
-        dated.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        spread_by_layout(dated)
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -77,6 +88,15 @@ def _write_archive(accepted: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+def _write_documents(records: DataFrame, schema: T.StructType, path: str, batch_id: int) -> None:
+    documents = latest_documents(records).select(*schema.fieldNames(), "offset")
+    append_batch(documents, path, batch_id)
+
+
+def _write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
+    append_batch(letters.select("key", "value", "offset"), path, batch_id)
+
+
 def process_batch(
     messages: DataFrame,
     batch_id: int,
@@ -90,8 +110,7 @@ def process_batch(
     parsed = parse_readings(messages).persist()
     try:
         if DEAD_LETTERS in sinks:
-            letters = invalid_messages(parsed).select("key", "value", "offset")
-            append_batch(letters, f"{root}/{DEAD_LETTERS}", batch_id)
+            _write_dead_letters(invalid_messages(parsed), f"{root}/{DEAD_LETTERS}", batch_id)
         if set(sinks) <= {DEAD_LETTERS}:
             return
         valid = valid_readings(parsed)
@@ -101,10 +120,9 @@ def process_batch(
         first = dedup_first(valid) if horizon is None else dedup_within(valid, horizon)
         accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon).persist()
         if ARCHIVE in sinks:
-            _write_archive(accepted, f"{root}/{ARCHIVE}", batch_id)
+            _write_archive(dated_readings(accepted), f"{root}/{ARCHIVE}", batch_id)
         if DOCUMENTS in sinks:
-            documents = latest_documents(accepted).select(*READING_DOCUMENT.fieldNames(), "offset")
-            append_batch(documents, f"{root}/{DOCUMENTS}", batch_id)
+            _write_documents(accepted, READING_DOCUMENT, f"{root}/{DOCUMENTS}", batch_id)
         if LATEST in sinks:
             newest = last_per_key(puts_from_readings(accepted), ["key"])
             append_batch(newest.select("key", "value", "offset"), f"{root}/{LATEST}", batch_id)
@@ -134,6 +152,44 @@ def start_fan_out(
     return start(messages.writeStream.foreachBatch(step), checkpoint, every)
 
 
+def process_alert_batch(
+    parsed: DataFrame, batch_id: int, root: str, sinks: Collection[str] = ALERT_SINKS
+) -> None:
+    """Write one micro-batch of parsed, dated alerts to the wanted sinks.
+
+    Alerts are archived as often as they were raised; the index keeps one per id.
+    """
+    held = parsed.persist()
+    try:
+        if DEAD_LETTERS in sinks:
+            _write_dead_letters(unreadable_alerts(held), f"{root}/{DEAD_LETTERS}", batch_id)
+        alerts = alert_records(held)
+        if ARCHIVE in sinks:
+            dated = alerts.select(*ALERT_ARCHIVE.fieldNames())
+            _write_archive(dated, f"{root}/{ARCHIVE}", batch_id)
+        if DOCUMENTS in sinks:
+            _write_documents(alerts, ALERT_DOCUMENT, f"{root}/{DOCUMENTS}", batch_id)
+    finally:
+        held.unpersist()
+
+
+def start_alert_fan_out(
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    sinks: Collection[str] = ALERT_SINKS,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Run :func:`process_alert_batch` on every micro-batch of an alert topic.
+
+    Unreadable alerts are dropped unless ``sinks`` asks for dead letters. The processing date
+    is taken on the stream, where a replayed batch gets its original date again.
+    """
+    dated = parse_alerts(messages).withColumn("date", F.current_date())
+    step = partial(process_alert_batch, root=root, sinks=tuple(sinks))
+    return start(dated.writeStream.foreachBatch(step), checkpoint, every)
+
+
 def latest_values(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, f"{root}/{LATEST}", LATEST_LOG, ["key"]).select("key", "value")
 
@@ -143,5 +199,10 @@ def indexed_documents(spark: SparkSession, root: str) -> DataFrame:
     return table.select(*READING_DOCUMENT.fieldNames())
 
 
+def indexed_alerts(spark: SparkSession, root: str) -> DataFrame:
+    table = read_latest(spark, f"{root}/{DOCUMENTS}", ALERT_LOG, ["doc_id"])
+    return table.select(*ALERT_DOCUMENT.fieldNames())
+
+
 def dead_letters(spark: SparkSession, root: str) -> DataFrame:
     return read_log(spark, f"{root}/{DEAD_LETTERS}", DEAD_LETTER_LOG)

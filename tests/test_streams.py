@@ -8,12 +8,12 @@ from gaugeline.operators import alerts
 from gaugeline.operators.ranking import dedup_first, last_per_key
 from gaugeline.operators.latest import puts_from_readings
 from gaugeline.operators.readings import parse_readings, valid_readings
-from gaugeline.schemas import READING_COLUMNS
+from gaugeline.schemas import MESSAGE, READING_COLUMNS
 from gaugeline.sinks.archive import dated_readings
 from gaugeline.sinks.log_table import compact_log, remove_superseded
 from gaugeline.sinks.paths import numbered_children
 from gaugeline.sources.messages import kafka_records, landed_stream, landed_table
-from gaugeline.sources.tables import read_archive
+from gaugeline.sources.tables import read_alert_archive, read_archive
 from gaugeline.streaming import fan_out, jobs
 
 DAY = 86400
@@ -206,3 +206,33 @@ def test_kafka_columns(spark):
     )
     row = kafka_records(raw).first()
     assert (row["key"], row["value"], row["offset"]) == ("1", None, 5)
+
+
+def test_alert_fan_out(spark, topic, at):
+    fill(topic)
+    jobs.alert_stream(topic.stream(), at("alerts"), at("ck")).awaitTermination()
+    broken = messages(spark, [message('{"event":', 99), message(None, 100)])
+    broken.write.mode("append").parquet(at("alerts"))
+    files = [os.path.join(at("alerts"), f) for f in os.listdir(at("alerts")) if f.endswith(".parquet")]
+    landed = spark.read.schema(MESSAGE).parquet(*files)
+    landed.write.parquet(at("topic2"))
+
+    root = at("out")
+    sinks = [*fan_out.ALERT_SINKS, fan_out.DEAD_LETTERS]
+    stream = landed_stream(spark, at("topic2"))
+    fan_out.start_alert_fan_out(stream, root, at("ck2"), sinks).awaitTermination()
+    archived = read_alert_archive(spark, root + "/archive")
+    assert archived.count() == 7
+    assert archived.select("date").distinct().collect() == [spark.sql("SELECT current_date()").first()]
+    index = {r["doc_id"]: r["humidity"] for r in fan_out.indexed_alerts(spark, root).collect()}
+    assert index == {"1-1": 82, "1-3": 90, "0-0": 99, "1-2": 75, "3-1": 88}
+    assert fan_out.dead_letters(spark, root).count() == 2
+
+
+def test_replayed_alert_batch_changes_nothing(spark, at):
+    raw = messages(spark, [message(reading(1, n, humidity=90), n) for n in range(3)])
+    dated = alerts.parse_alerts(alerts.alert_messages(raw)).selectExpr("*", "DATE '2024-05-06' AS date")
+    for _ in range(2):
+        fan_out.process_alert_batch(dated, 0, at("out"))
+    assert read_alert_archive(spark, at("out") + "/archive").count() == 3
+    assert fan_out.indexed_alerts(spark, at("out")).count() == 3
