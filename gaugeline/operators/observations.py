@@ -21,11 +21,12 @@ def _number(name: str) -> tuple[Column, Column]:
     return F.coalesce(number, F.lit(0.0)), text.isNull() | number.isNotNull()
 
 
-def normalize_observations(observations: DataFrame) -> DataFrame:
+def normalize_observations(observations: DataFrame, earlier: int = 0) -> DataFrame:
     """Readings from payloads in :data:`gaugeline.schemas.OBSERVATION` layout.
 
-    Every payload takes a sequence number in ingest order; one that cannot be used then gives
-    no reading, which leaves a gap as a lost message does.
+    Every payload takes a sequence number in ingest order, after the ``earlier`` ones that
+    came before this table; one that cannot be used then gives no reading, which leaves a gap
+    as a lost message does.
     """
     placed = observations.withColumn("_source", F.lit(0)).withColumn(
         "station_id", F.lit(EXTERNAL_STATION).cast("bigint")
@@ -38,7 +39,7 @@ def normalize_observations(observations: DataFrame) -> DataFrame:
     usable = usable & (humidity == F.floor(humidity))
     return numbered.where(usable).select(
         "station_id",
-        "s_no",
+        (F.col("s_no") + F.lit(earlier)).alias("s_no"),
         F.lit(EXTERNAL_BATTERY).alias("battery_status"),
         F.unix_timestamp("ingest_ts").alias("status_timestamp"),
         humidity.cast("int").alias("humidity"),

@@ -12,13 +12,14 @@ from gaugeline.operators import alerts, documents, latest, observations, reading
 from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
 from gaugeline.operators.sequence import sequence_numbers
 from gaugeline.plans import event_messages as source
-from gaugeline.plans.oracles import ALERT_JSON, FLAT_JSON, MESSAGES, READING
+from gaugeline.plans.oracles import ALERT_JSON, FLAT_JSON, MESSAGES, NESTED_JSON, READING
 from gaugeline.schemas import ALERT_COLUMNS, KEY_VALUE, PUT_LOG, READING_COLUMNS
 from gaugeline.session import configure, scratch_dir
 from gaugeline.sinks import archive, export, log_table
 from gaugeline.sources import messages as topics
 from gaugeline.sources import tables
 from gaugeline.streaming import fan_out, jobs
+from gaugeline.streaming import observations as observed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,9 +103,9 @@ def src_messages(spark, sf_dir):
     return topics.landed_table(spark, landing).select("key", "value", F.col("offset").alias("arrival"))
 
 
-@query(MESSAGES + "SELECT key, whole AS value FROM msg WHERE damage > 4")
+@query(MESSAGES + f"SELECT CAST(station_id AS VARCHAR) AS key, {NESTED_JSON} AS value FROM m")
 def msg_serialize(spark, sf_dir):
-    return readings.to_messages(source.undamaged_readings(source.read_events(spark, sf_dir)))
+    return readings.to_messages(source.event_readings(source.read_events(spark, sf_dir)))
 
 
 @query(MESSAGES + f"SELECT {READING} FROM valid")
@@ -347,18 +348,21 @@ def seq_number(spark, sf_dir):
     return numbered.select(F.col("offset").alias("arrival"), "station_id", "seq")
 
 
-@query(
-    """WITH o AS (
-      SELECT *, row_number() OVER (ORDER BY event_id) AS s_no,
-             CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
-    SELECT CAST(0 AS BIGINT) AS station_id, s_no, 'high' AS battery_status,
-      CAST(floor(epoch(ts)) AS BIGINT) AS status_timestamp, k AS humidity,
-      CAST(floor((value - 250) * 9.0 / 5.0 + 32 + 0.5) AS INTEGER) AS temperature,
-      CAST(floor(value / 8 + 0.5) AS INTEGER) AS wind_speed
-    FROM o WHERE event_type <> 'error'"""
-)
-def obs_normalize(spark, sf_dir):
-    # Landed payloads; error events stand for fetches that brought no observation.
+_OBSERVED = f"""
+WITH o AS (
+  SELECT *, row_number() OVER (ORDER BY event_id) AS s_no,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+r AS (
+  SELECT CAST(0 AS BIGINT) AS station_id, s_no, 'high' AS battery_status,
+         CAST(floor(epoch(ts)) AS BIGINT) AS status_timestamp, k AS humidity,
+         CAST(floor((value - 250) * 9.0 / 5.0 + 32 + 0.5) AS INTEGER) AS temperature,
+         CAST(floor(value / 8 + 0.5) AS INTEGER) AS wind_speed
+  FROM o WHERE event_type <> 'error')
+"""
+
+
+def _landed_observations(spark, sf_dir):
+    # Error events stand for fetches that brought no observation.
     payload = F.struct(
         (F.col("value") - 250).alias("temperature_2m"),
         F.get_json_object("props", "$.k").cast("int").alias("relative_humidity_2m"),
@@ -370,7 +374,13 @@ def obs_normalize(spark, sf_dir):
         F.col("event_id").alias("ingest_seq"),
         F.col("ts").cast("timestamp").alias("ingest_ts"),
     ).write.json(landing)
-    return observations.normalize_observations(tables.read_observations(spark, landing))
+    return landing
+
+
+@query(_OBSERVED + f"SELECT {READING} FROM r")
+def obs_normalize(spark, sf_dir):
+    landed = tables.read_observations(spark, _landed_observations(spark, sf_dir))
+    return observations.normalize_observations(landed)
 
 
 # -- latest value per key ---------------------------------------------------------------
@@ -558,6 +568,14 @@ def stream_alert_index(spark, sf_dir):
     return fan_out.indexed_alerts(spark, _alert_fan_out(spark, sf_dir, fan_out.DOCUMENTS))
 
 
+@query(_OBSERVED + f"SELECT CAST(station_id AS VARCHAR) AS key, {NESTED_JSON} AS value FROM r")
+def stream_observations(spark, sf_dir):
+    root, checkpoint = scratch_dir(spark, "observed"), scratch_dir(spark, "checkpoint")
+    payloads = tables.observation_stream(spark, _landed_observations(spark, sf_dir))
+    observed.start_observations(payloads, root, checkpoint).awaitTermination()
+    return observed.observation_messages(spark, root)
+
+
 def _fan_out(spark, sf_dir, sink):
     root, checkpoint = scratch_dir(spark, "fan-out"), scratch_dir(spark, "checkpoint")
     messages = _message_stream(spark, sf_dir)

@@ -98,8 +98,3 @@ def event_messages(events: DataFrame) -> DataFrame:
         "offset",
         "timestamp",
     )
-
-
-def undamaged_readings(events: DataFrame) -> DataFrame:
-    readings = event_readings(events)
-    return readings.where(F.col("offset") % DAMAGE_PERIOD > NULL_WEATHER)

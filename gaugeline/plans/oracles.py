@@ -12,6 +12,13 @@ FLAT_JSON = """
 || ',"wind_speed":' || wind_speed || '}'
 """
 
+NESTED_JSON = """
+'{"station_id":' || station_id || ',"s_no":' || s_no
+|| ',"battery_status":"' || battery_status || '","status_timestamp":' || status_timestamp
+|| ',"weather":{"humidity":' || humidity || ',"temperature":' || temperature
+|| ',"wind_speed":' || wind_speed || '}}'
+"""
+
 ALERT_JSON = """
 '{"event":"CRITICAL_RAIN_ALERT","station_id":' || station_id || ',"s_no":' || s_no
 || ',"humidity":' || humidity || ',"status":"RAIN_DETECTED"}'

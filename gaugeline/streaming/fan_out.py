@@ -29,7 +29,13 @@ from gaugeline.schemas import (
     READING_KEY,
 )
 from gaugeline.sinks.archive import LAYOUT, dated_readings, spread_by_layout
-from gaugeline.sinks.log_table import append_batch, read_latest, read_log
+from gaugeline.sinks.log_table import (
+    append_batch,
+    compact_log,
+    read_latest,
+    read_log,
+    remove_superseded,
+)
 from gaugeline.sinks.paths import exists, numbered_children, remove
 from gaugeline.streaming.jobs import start
 
@@ -97,27 +103,17 @@ def _write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
     append_batch(letters.select("key", "value", "offset"), path, batch_id)
 
 
-def process_batch(
-    messages: DataFrame,
-    batch_id: int,
-    root: str,
-    sinks: Collection[str] = ALL_SINKS,
-    horizon: int | None = HORIZON_SECONDS,
+def _process_valid(
+    valid: DataFrame, batch_id: int, root: str, sinks: Collection[str], horizon: int | None
 ) -> None:
-    """Parse one micro-batch, keep new readings and write the wanted sinks."""
-    spark = messages.sparkSession
+    spark = valid.sparkSession
     arrived = F.unix_timestamp("timestamp")
-    parsed = parse_readings(messages).persist()
+    first = (dedup_first(valid) if horizon is None else dedup_within(valid, horizon)).persist()
+    accepted = first
     try:
-        if DEAD_LETTERS in sinks:
-            _write_dead_letters(invalid_messages(parsed), f"{root}/{DEAD_LETTERS}", batch_id)
-        if set(sinks) <= {DEAD_LETTERS}:
-            return
-        valid = valid_readings(parsed)
-        oldest, until = valid.agg(F.min(arrived), F.max(arrived)).first()
+        oldest, until = first.agg(F.min(arrived), F.max(arrived)).first()
         if oldest is None:
             return
-        first = dedup_first(valid) if horizon is None else dedup_within(valid, horizon)
         accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon).persist()
         if ARCHIVE in sinks:
             _write_archive(dated_readings(accepted), f"{root}/{ARCHIVE}", batch_id)
@@ -128,9 +124,31 @@ def process_batch(
             append_batch(newest.select("key", "value", "offset"), f"{root}/{LATEST}", batch_id)
         ids = accepted.select(*READING_KEY, arrived.alias("arrived"))
         ids.write.mode("overwrite").parquet(f"{root}/{SEEN}/until={until}/batch_id={batch_id}")
-        accepted.unpersist()
         if horizon is not None:
             forget_ids(spark, root, oldest - 2 * horizon)
+    finally:
+        accepted.unpersist()
+        first.unpersist()
+
+
+def process_batch(
+    messages: DataFrame,
+    batch_id: int,
+    root: str,
+    sinks: Collection[str] = ALL_SINKS,
+    horizon: int | None = HORIZON_SECONDS,
+) -> None:
+    """Parse one micro-batch, keep new readings and write the wanted sinks."""
+    parsed = parse_readings(messages)
+    wants_letters = DEAD_LETTERS in sinks
+    wants_readings = bool(set(sinks) - {DEAD_LETTERS})
+    if wants_letters and wants_readings:
+        parsed.persist()
+    try:
+        if wants_letters:
+            _write_dead_letters(invalid_messages(parsed), f"{root}/{DEAD_LETTERS}", batch_id)
+        if wants_readings:
+            _process_valid(valid_readings(parsed), batch_id, root, sinks, horizon)
     finally:
         parsed.unpersist()
 
@@ -190,6 +208,18 @@ def start_alert_fan_out(
     return start(dated.writeStream.foreachBatch(step), checkpoint, every)
 
 
+def compact_tables(spark: SparkSession, root: str, remove_old: bool = False) -> None:
+    """Compact the latest-value and document tables. Run it on a schedule or on demand.
+
+    With ``remove_old`` the replaced directories go at once, which is safe only while nobody
+    reads a view opened earlier.
+    """
+    for name, schema, key in [(LATEST, LATEST_LOG, "key"), (DOCUMENTS, DOCUMENT_LOG, "doc_id")]:
+        compact_log(spark, f"{root}/{name}", schema, [key])
+        if remove_old:
+            remove_superseded(spark, f"{root}/{name}")
+
+
 def latest_values(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, f"{root}/{LATEST}", LATEST_LOG, ["key"]).select("key", "value")
 

@@ -45,7 +45,7 @@ def dedup_stream(
     """
     marked = readings.withWatermark(arrival, horizon)
     if pieces > 1:
-        sliced = marked.withColumn("_slice", F.pmod("offset", F.lit(pieces)))
+        sliced = marked.withColumn("_slice", F.pmod(F.xxhash64("offset"), F.lit(pieces)))
         marked = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
     return marked.dropDuplicatesWithinWatermark(list(keys))
 
@@ -76,7 +76,7 @@ def archive_stream(
     """
     readings = dedup_stream(valid_readings(parse_readings(messages)), horizon=horizon)
     dated = dated_readings(readings)
-    together = dated.repartition(*LAYOUT, F.pmod("s_no", F.lit(PIECES)))
+    together = dated.repartition(*LAYOUT, F.pmod(F.xxhash64("s_no"), F.lit(PIECES)))
     writer = (
         together.writeStream.format("parquet")
         .option("path", path)

@@ -1,0 +1,101 @@
+"""Random messages against a plain statement of the parsing rules."""
+
+import json
+import random
+
+from helpers import message, messages
+
+from gaugeline.operators.alerts import rain_alerts
+from gaugeline.operators.readings import READING_COLUMNS, parse_readings
+
+MISSING = object()
+
+# (JSON text, as a number, as text); a number of None cannot be held.
+VALUES = [
+    ("0", 0, "0"), ("7", 7, "7"), ("-3", -3, "-3"), ("71", 71, "71"), ("100", 100, "100"),
+    ("70.9", 70, "70.9"), ("-0.5", 0, "-0.5"), ("1e2", 100, "100.0"), ("2.50", 2, "2.5"),
+    ("true", 1, "true"), ("false", 0, "false"), ("null", 0, "null"),
+    ('"12"', 12, "12"), ('" 99 "', 99, " 99 "), ('"12.7"', 12, "12.7"), ('"abc"', 0, "abc"),
+    ('""', 0, ""), ('"low"', 0, "low"), ('"1,5"', 0, "1,5"), ('"{"', 0, "{"), ('"\\u00e9"', 0, "é"),
+    ("{}", 0, ""), ("[]", 0, ""), ('{"humidity":99}', 0, ""), ("[71]", 0, ""),
+    ("2147483647", 2**31 - 1, "2147483647"), ("2147483648", 2**31, "2147483648"),
+    ("-2147483649", -(2**31) - 1, "-2147483649"),
+    ("9223372036854775807", 2**63 - 1, "9223372036854775807"),
+    ("9223372036854775808", None, "9223372036854775808"),
+]
+USUAL = {"station_id": "4", "s_no": "12", "battery_status": '"medium"', "status_timestamp": "1700000000"}
+USUAL_WEATHER = {"humidity": "80", "temperature": "75", "wind_speed": "9"}
+KNOWN = {text: (number, words) for text, number, words in VALUES}
+KNOWN |= {"4": (4, "4"), "12": (12, "12"), '"medium"': (0, "medium"), "80": (80, "80")}
+KNOWN |= {"1700000000": (1700000000, "1700000000"), "75": (75, "75"), "9": (9, "9")}
+
+
+def pick(rng, usual):
+    roll = rng.random()
+    return MISSING if roll < 0.04 else rng.choice(VALUES)[0] if roll < 0.2 else usual
+
+
+def draw(rng):
+    """A random document: its text, its fields, and whether the text is broken."""
+    top = {k: pick(rng, v) for k, v in USUAL.items()}
+    weather = {k: pick(rng, v) for k, v in USUAL_WEATHER.items()}
+    roll = rng.random()
+    is_object = roll > 0.06
+    inner = ",".join(f'"{k}":{v}' for k, v in weather.items() if v is not MISSING)
+    parts = [f'"{k}":{v}' for k, v in top.items() if v is not MISSING]
+    if roll > 0.03:
+        parts.append('"weather":' + ("{" + inner + "}" if is_object else rng.choice(["null", "3", "[]"])))
+    if rng.random() < 0.1:
+        parts.append('"extra":{"station_id":[1,{"x":null}]}')
+    rng.shuffle(parts)
+    text = "{" + ",".join(parts) + "}"
+    broken = rng.random() < 0.05
+    if broken:
+        text = text[: rng.randrange(1, len(text))]
+    elif rng.random() < 0.05:
+        text += rng.choice([" x", "}", " {}"])
+    return text, top, weather if is_object else None, broken
+
+
+def expected_reading(top, weather, broken):
+    if broken or weather is None or MISSING in [*top.values(), *weather.values()]:
+        return None
+    row = {}
+    for name, text in (top | weather).items():
+        number, words = KNOWN[text]
+        if name == "battery_status":
+            row[name] = words
+        elif number is None or (name in weather and not -(2**31) <= number < 2**31):
+            return None
+        else:
+            row[name] = number
+    return tuple(row[c] for c in READING_COLUMNS)
+
+
+def raises_alert(weather, broken):
+    if broken or weather is None or weather["humidity"] is MISSING:
+        return False
+    number = KNOWN[weather["humidity"]][0]
+    return number is not None and 70 < number < 2**31
+
+
+def test_random_messages(spark):
+    rng = random.Random(20240101)
+    drawn = [draw(rng) for _ in range(4000)]
+    # A cut may leave a whole document only at full length, which randrange never gives.
+    raw = messages(spark, [message(d[0], i) for i, d in enumerate(drawn)])
+    found = {r["offset"]: r for r in parse_readings(raw).collect()}
+    assert len(found) == len(drawn)
+    for i, (text, top, weather, broken) in enumerate(drawn):
+        want, row = expected_reading(top, weather, broken), found[i]
+        got = tuple(row[c] for c in READING_COLUMNS) if row["valid"] else None
+        assert got == want, text
+    raised = {r["offset"] for r in rain_alerts(raw).collect()}
+    assert raised == {i for i, (_, _, w, b) in enumerate(drawn) if raises_alert(w, b)}
+    assert 500 < sum(r["valid"] for r in found.values()) < 3500
+
+
+def test_python_agrees_on_json():
+    for text, _, words in VALUES:
+        value = json.loads(text)
+        assert not isinstance(value, str) or value == words

@@ -10,11 +10,12 @@ from gaugeline.operators.latest import puts_from_readings
 from gaugeline.operators.readings import parse_readings, valid_readings
 from gaugeline.schemas import MESSAGE, READING_COLUMNS
 from gaugeline.sinks.archive import dated_readings
-from gaugeline.sinks.log_table import compact_log, remove_superseded
 from gaugeline.sinks.paths import numbered_children
+from gaugeline.sinks.progress import counted
 from gaugeline.sources.messages import kafka_records, landed_stream, landed_table
-from gaugeline.sources.tables import read_alert_archive, read_archive
+from gaugeline.sources.tables import observation_stream, read_alert_archive, read_archive
 from gaugeline.streaming import fan_out, jobs
+from gaugeline.streaming import observations as observed
 
 DAY = 86400
 
@@ -163,10 +164,12 @@ def test_latest_survives_compaction_between_polls(spark, topic, at):
     fill(topic)
     fan_out.start_fan_out(topic.stream(), at("out"), at("ck")).awaitTermination()
     before = as_dict(fan_out.latest_values(spark, at("out")))
-    log = at("out") + "/latest"
-    assert compact_log(spark, log, fan_out.LATEST_LOG, ["key"]) is not None
-    remove_superseded(spark, log)
+    documents = rows(fan_out.indexed_documents(spark, at("out")))
+    fan_out.compact_tables(spark, at("out"), remove_old=True)
+    fan_out.compact_tables(spark, at("out"), remove_old=True)
+    assert numbered_children(spark, at("out") + "/latest", "file_id") == [3]
     assert as_dict(fan_out.latest_values(spark, at("out"))) == before
+    assert rows(fan_out.indexed_documents(spark, at("out"))) == documents
     topic.send(reading(1, 77))
     fan_out.start_fan_out(topic.stream(), at("out"), at("ck")).awaitTermination()
     after = as_dict(fan_out.latest_values(spark, at("out")))
@@ -199,6 +202,16 @@ def test_console_stream_runs(spark, topic, at, capfd):
     jobs.console_stream(topic.stream().select("key", "value"), at("ck")).awaitTermination()
 
 
+def test_rows_are_counted_on_the_stream(spark, topic, at):
+    topic.send(reading(1, 1), reading(1, 2), "bad")
+    valid = valid_readings(parse_readings(topic.stream()))
+    writer = counted(valid, "indexed").writeStream.format("noop")
+    running = jobs.start(writer, at("ck"))
+    running.awaitTermination()
+    seen = [p["observedMetrics"]["indexed"]["rows"] for p in running.recentProgress if p["observedMetrics"]]
+    assert sum(seen) == 2
+
+
 def test_kafka_columns(spark):
     raw = spark.createDataFrame(
         [(b"1", None, "t", 0, 5, None, 0)],
@@ -236,3 +249,30 @@ def test_replayed_alert_batch_changes_nothing(spark, at):
         fan_out.process_alert_batch(dated, 0, at("out"))
     assert read_alert_archive(spark, at("out") + "/archive").count() == 3
     assert fan_out.indexed_alerts(spark, at("out")).count() == 3
+
+
+def test_observation_stream_numbers_on(spark, at, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+
+    def land(poll, first, count):
+        lines = [
+            '{"current":{"relative_humidity_2m":%d},"ingest_seq":%d,"ingest_ts":"2024-01-01T00:00:00Z"}'
+            % (n, n)
+            if n % 3
+            else '{"ingest_seq":%d}' % n
+            for n in range(first, first + count)
+        ]
+        file = landing / f"{poll}.json"
+        file.write_text("\n".join(lines))
+        os.utime(file, (1e9 + poll, 1e9 + poll))
+        observed.start_observations(
+            observation_stream(spark, str(landing)), at("out"), at("ck")
+        ).awaitTermination()
+
+    land(0, 1, 4)
+    land(1, 5, 4)
+    found = parse_readings(observed.observation_messages(spark, at("out"))).collect()
+    assert all(r["valid"] and r["station_id"] == 0 for r in found)
+    # Numbers follow ingest order over both polls; every third payload left a gap.
+    assert sorted((r["s_no"], r["humidity"]) for r in found) == [(n, n) for n in (1, 2, 4, 5, 7, 8)]
