@@ -31,7 +31,10 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: str = "doc_id") -> DataF
     return kept.unionByName(incoming)
 
 
-def with_outcome(records: DataFrame, checks: Sequence[tuple[Column, str]]) -> DataFrame:
+Check = tuple[Column, str]
+
+
+def with_outcome(records: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Add ``error``: the reason of the first check that fails, NULL when all hold.
 
     The outcome stays on its row, so nothing is paired up by list position afterwards.
@@ -46,8 +49,13 @@ def accepted_documents(records: DataFrame) -> DataFrame:
     return records.where(F.col("error").isNull()).drop("error")
 
 
-def rejection_envelopes(records: DataFrame, fields: Sequence[str], key: Column) -> DataFrame:
-    """Rejected records as dead letters: the reason and the record in one JSON object."""
+def rejection_envelopes(
+    records: DataFrame, fields: Sequence[str], key: Column, kept: Sequence[str] = ()
+) -> DataFrame:
+    """Rejected records as dead letters: the reason and the record in one JSON object.
+
+    ``kept`` names columns to carry along, such as the position.
+    """
     envelope = F.to_json(F.struct("error", F.struct(*fields).alias("record")))
     rejected = records.where(F.col("error").isNotNull())
-    return rejected.select(key.alias("key"), envelope.alias("value"))
+    return rejected.select(key.alias("key"), envelope.alias("value"), *kept)

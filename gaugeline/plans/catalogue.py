@@ -127,13 +127,16 @@ def dlq_raw(spark, sf_dir):
     return bad.select("key", "value", F.col("offset").alias("arrival"))
 
 
-def _documents_with_outcome(spark, sf_dir):
-    # A store that takes wind up to 45 and no flat batteries in the cold.
-    checks = [
+def _index_checks():
+    """A store that takes wind up to 45 and no flat batteries in the cold."""
+    return [
         (F.col("wind_speed") <= 45, "wind_speed above 45"),
         ((F.col("battery_status") != "low") | (F.col("temperature") >= 70), "cold and low"),
     ]
-    return documents.with_outcome(_first(spark, sf_dir), checks)
+
+
+def _documents_with_outcome(spark, sf_dir):
+    return documents.with_outcome(_first(spark, sf_dir), _index_checks())
 
 
 _REJECTED = f"""
@@ -163,6 +166,18 @@ def dlq_all(spark, sf_dir):
     return spark.read.schema(raw.schema).parquet(landing)
 
 
+@query(
+    MESSAGES
+    + f"""SELECT CAST(station_id AS VARCHAR) AS key,
+    '{{"error":"humidity above 95","record":' || {ALERT_JSON} || '}}' AS value
+    FROM raised WHERE humidity > 95"""
+)
+def dlq_alert_envelope(spark, sf_dir):
+    records = alerts.alert_records(_parsed_alerts(spark, sf_dir))
+    judged = documents.with_outcome(records, [(F.col("humidity") <= 95, "humidity above 95")])
+    return documents.rejection_envelopes(judged, ALERT_COLUMNS, F.col("station_id").cast("string"))
+
+
 # -- alerts -----------------------------------------------------------------------------
 
 
@@ -195,6 +210,31 @@ def alert_archive(spark, sf_dir):
     return tables.read_alert_archive(spark, path)
 
 
+@query(
+    MESSAGES
+    + f"""SELECT station_id, DATE '{PROCESSING_DAY}' AS date, count(*) AS alerts
+    FROM raised GROUP BY station_id"""
+)
+def alert_groups(spark, sf_dir):
+    records = alerts.alert_records(_parsed_alerts(spark, sf_dir))
+    dated = archive.dated_alerts(records, F.lit(PROCESSING_DAY).cast("date"))
+    return dated.groupBy(*archive.LAYOUT).agg(F.count(F.lit(1)).alias("alerts"))
+
+
+@query(
+    MESSAGES
+    + f""", seen AS (
+      SELECT arrival, damage, station_id, s_no,
+             CASE WHEN damage = 4 THEN 0 ELSE humidity END AS humidity FROM m)
+    SELECT arrival, CASE WHEN damage = 0 THEN '{{"event":"UNKNOWN_ALERT_ERROR"}}'
+                         ELSE {ALERT_JSON} END AS value FROM seen"""
+)
+def alert_payload(spark, sf_dir):
+    """The alert text of every message, whether or not it is above the threshold."""
+    read = alerts.read_humidity(_messages(spark, sf_dir))
+    return read.select(F.col("offset").alias("arrival"), alerts.alert_json().alias("value"))
+
+
 _INDEXED_ALERTS = f"""SELECT station_id || '-' || s_no AS doc_id, {_ALERT} FROM raised
 QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival DESC) = 1"""
 
@@ -576,10 +616,12 @@ def stream_observations(spark, sf_dir):
     return observed.observation_messages(spark, root)
 
 
-def _fan_out(spark, sf_dir, sink):
+def _fan_out(spark, sf_dir, *sinks, checks=()):
     root, checkpoint = scratch_dir(spark, "fan-out"), scratch_dir(spark, "checkpoint")
     messages = _message_stream(spark, sf_dir)
-    fan_out.start_fan_out(messages, root, checkpoint, [sink], horizon=None).awaitTermination()
+    fan_out.start_fan_out(
+        messages, root, checkpoint, sinks, horizon=None, checks=checks
+    ).awaitTermination()
     return root
 
 
@@ -598,7 +640,10 @@ def stream_index(spark, sf_dir):
     return fan_out.indexed_documents(spark, _fan_out(spark, sf_dir, fan_out.DOCUMENTS))
 
 
-@query(MESSAGES + "SELECT key, value, arrival FROM msg WHERE damage IN (0, 1, 4)")
+@query(
+    MESSAGES
+    + f"SELECT key, value FROM msg WHERE damage IN (0, 1, 4) UNION ALL SELECT * FROM ({_REJECTED})"
+)
 def stream_dead_letters(spark, sf_dir):
-    letters = fan_out.dead_letters(spark, _fan_out(spark, sf_dir, fan_out.DEAD_LETTERS))
-    return letters.select("key", "value", F.col("offset").alias("arrival"))
+    root = _fan_out(spark, sf_dir, fan_out.DEAD_LETTERS, fan_out.DOCUMENTS, checks=_index_checks())
+    return fan_out.dead_letters(spark, root).select("key", "value")

@@ -6,7 +6,7 @@ replayed after a failure replaces what it wrote before.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.operators.alerts import alert_records, parse_alerts, unreadable_alerts
-from gaugeline.operators.documents import latest_documents
+from gaugeline.functions.scalars import message_id
+from gaugeline.operators.documents import (
+    Check,
+    accepted_documents,
+    latest_documents,
+    rejection_envelopes,
+    with_outcome,
+)
 from gaugeline.operators.latest import puts_from_readings
 from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
 from gaugeline.operators.readings import invalid_messages, parse_readings, valid_readings
@@ -25,6 +32,7 @@ from gaugeline.schemas import (
     DEAD_LETTER,
     KEY_VALUE,
     LONG,
+    READING_COLUMNS,
     READING_DOCUMENT,
     READING_KEY,
 )
@@ -42,7 +50,7 @@ from gaugeline.streaming.jobs import start
 ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS = "archive", "documents", "latest", "dead_letters"
 ALL_SINKS = (ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS)
 ALERT_SINKS = (ARCHIVE, DOCUMENTS)
-SEEN = "seen"
+REJECTED, SEEN = "rejected", "seen"
 
 HORIZON_SECONDS = 40 * 60
 
@@ -104,7 +112,12 @@ def _write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _process_valid(
-    valid: DataFrame, batch_id: int, root: str, sinks: Collection[str], horizon: int | None
+    valid: DataFrame,
+    batch_id: int,
+    root: str,
+    sinks: Collection[str],
+    horizon: int | None,
+    checks: Sequence[Check],
 ) -> None:
     spark = valid.sparkSession
     arrived = F.unix_timestamp("timestamp")
@@ -118,7 +131,12 @@ def _process_valid(
         if ARCHIVE in sinks:
             _write_archive(dated_readings(accepted), f"{root}/{ARCHIVE}", batch_id)
         if DOCUMENTS in sinks:
-            _write_documents(accepted, READING_DOCUMENT, f"{root}/{DOCUMENTS}", batch_id)
+            judged = with_outcome(accepted, checks)
+            wanted = accepted_documents(judged)
+            _write_documents(wanted, READING_DOCUMENT, f"{root}/{DOCUMENTS}", batch_id)
+            if checks:
+                refused = rejection_envelopes(judged, READING_COLUMNS, message_id(), ["offset"])
+                _write_dead_letters(refused, f"{root}/{REJECTED}", batch_id)
         if LATEST in sinks:
             newest = last_per_key(puts_from_readings(accepted), ["key"])
             append_batch(newest.select("key", "value", "offset"), f"{root}/{LATEST}", batch_id)
@@ -137,8 +155,13 @@ def process_batch(
     root: str,
     sinks: Collection[str] = ALL_SINKS,
     horizon: int | None = HORIZON_SECONDS,
+    checks: Sequence[Check] = (),
 ) -> None:
-    """Parse one micro-batch, keep new readings and write the wanted sinks."""
+    """Parse one micro-batch, keep new readings and write the wanted sinks.
+
+    A document that fails one of the ``checks`` is not indexed but becomes a dead letter with
+    the reason; it stays in the other sinks.
+    """
     parsed = parse_readings(messages)
     wants_letters = DEAD_LETTERS in sinks
     wants_readings = bool(set(sinks) - {DEAD_LETTERS})
@@ -148,7 +171,7 @@ def process_batch(
         if wants_letters:
             _write_dead_letters(invalid_messages(parsed), f"{root}/{DEAD_LETTERS}", batch_id)
         if wants_readings:
-            _process_valid(valid_readings(parsed), batch_id, root, sinks, horizon)
+            _process_valid(valid_readings(parsed), batch_id, root, sinks, horizon, checks)
     finally:
         parsed.unpersist()
 
@@ -159,6 +182,7 @@ def start_fan_out(
     checkpoint: str,
     sinks: Collection[str] = ALL_SINKS,
     horizon: int | None = HORIZON_SECONDS,
+    checks: Sequence[Check] = (),
     every: str | None = None,
 ) -> StreamingQuery:
     """Run :func:`process_batch` on every micro-batch of a message stream.
@@ -166,7 +190,7 @@ def start_fan_out(
     An id is remembered for ``horizon`` seconds of arrival time, or for good when None. That
     holds within a micro-batch as well, so a long backlog may be drained in one.
     """
-    step = partial(process_batch, root=root, sinks=tuple(sinks), horizon=horizon)
+    step = partial(process_batch, root=root, sinks=tuple(sinks), horizon=horizon, checks=checks)
     return start(messages.writeStream.foreachBatch(step), checkpoint, every)
 
 
@@ -235,4 +259,6 @@ def indexed_alerts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def dead_letters(spark: SparkSession, root: str) -> DataFrame:
-    return read_log(spark, f"{root}/{DEAD_LETTERS}", DEAD_LETTER_LOG)
+    """Messages that could not be read, and documents the index refused."""
+    unread = read_log(spark, f"{root}/{DEAD_LETTERS}", DEAD_LETTER_LOG)
+    return unread.unionByName(read_log(spark, f"{root}/{REJECTED}", DEAD_LETTER_LOG))
