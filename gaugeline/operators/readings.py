@@ -55,16 +55,17 @@ def parse_readings(messages: DataFrame, value: str = "value") -> DataFrame:
         .withColumn("_texts", F.when(loose.isNotNull(), texts(F.col(f"_loose.{_TEXT}"))))
         .withColumn("_accepted", accepted)
     )
-    fallback = dict(zip([*_LONGS, *_INTS], range(len(_LONGS) + len(_INTS))))
-    fields = {}
-    for path in [*_LONGS, _TEXT, *_INTS]:
-        lenient = text if path == _TEXT else numbers[fallback[path]]
-        lenient = lenient.cast("int") if path in _INTS else lenient
-        fields[path.split(".")[-1]] = F.when(whole, F.col(f"_typed.{path}")).when(
-            F.col("_accepted"), lenient
+    lenient = {path: numbers[i] for i, path in enumerate([*_LONGS, *_INTS])}
+    lenient |= {path: lenient[path].cast("int") for path in _INTS} | {_TEXT: text}
+    fields = {
+        path.split(".")[-1]: F.when(whole, F.col(f"_typed.{path}")).when(
+            F.col("_accepted"), lenient[path]
         )
+        for path in lenient
+    }
     ordered = {name: fields[name] for name in READING_COLUMNS}
-    parsed = staged.withColumn("_reading", computed_once(**ordered, valid=whole | F.col("_accepted")))
+    reading = computed_once(**ordered, valid=whole | F.col("_accepted"))
+    parsed = staged.withColumn("_reading", reading)
     return parsed.select(*messages.columns, "_reading.*")
 
 

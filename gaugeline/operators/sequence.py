@@ -22,7 +22,8 @@ def sequence_numbers(
 
     A window over the key alone would send all rows of a busy key to one task. Rows are
     numbered within blocks of offsets instead; each block then adds the row count of the
-    key's earlier blocks, taken from one small row per block.
+    key's earlier blocks, taken from one small row per block. Offsets should be dense, as a
+    broker's are, and keys must not be NULL.
     """
     blocks = [key, partition, "_block"]
     blocked = df.withColumn("_block", F.expr(f"`{offset}` div {block_offsets}"))
@@ -33,7 +34,8 @@ def sequence_numbers(
         .orderBy(partition, "_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = sizes.select(*blocks, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    start = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
+    starts = sizes.select(*blocks, start)
 
     within = F.row_number().over(Window.partitionBy(*blocks).orderBy(offset))
     numbered = blocked.withColumn("_within", within).join(starts, blocks)

@@ -100,7 +100,8 @@ def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_messages(spark, sf_dir):
     landing = scratch_dir(spark, "messages")
     _messages(spark, sf_dir).write.parquet(landing)
-    return topics.landed_table(spark, landing).select("key", "value", F.col("offset").alias("arrival"))
+    landed = topics.landed_table(spark, landing)
+    return landed.select("key", "value", F.col("offset").alias("arrival"))
 
 
 @query(MESSAGES + f"SELECT CAST(station_id AS VARCHAR) AS key, {NESTED_JSON} AS value FROM m")
@@ -255,7 +256,11 @@ def msg_id(spark, sf_dir):
     )
 
 
-@query(MESSAGES + "SELECT arrival, CAST(to_timestamp(status_timestamp) AT TIME ZONE 'UTC' AS DATE) AS date FROM valid")
+@query(
+    MESSAGES
+    + """SELECT arrival,
+    CAST(to_timestamp(status_timestamp) AT TIME ZONE 'UTC' AS DATE) AS date FROM valid"""
+)
 def event_date(spark, sf_dir):
     return _valid(spark, sf_dir).select(
         F.col("offset").alias("arrival"), scalars.event_date().alias("date")
@@ -272,16 +277,17 @@ def partition_path(spark, sf_dir):
     return _valid(spark, sf_dir).select(F.col("offset").alias("arrival"), path.alias("path"))
 
 
-@query("SELECT event_id, CAST(floor((value - 250) * 9.0 / 5.0 + 32 + 0.5) AS INTEGER) AS fahrenheit FROM events")
+@query(
+    """SELECT event_id,
+    CAST(floor((value - 250) * 9.0 / 5.0 + 32 + 0.5) AS INTEGER) AS fahrenheit FROM events"""
+)
 def c_to_f(spark, sf_dir):
     return source.read_events(spark, sf_dir).select(
         "event_id", scalars.celsius_to_fahrenheit(F.col("value") - 250).alias("fahrenheit")
     )
 
 
-@query(
-    """SELECT page_id, replace(trim(url, '/'), '&', ' ') AS key FROM pages"""
-)
+@query("SELECT page_id, replace(trim(url, '/'), '&', ' ') AS key FROM pages")
 def key_decode(spark, sf_dir):
     # Page addresses as request paths: slashes escaped once, equals signs twice, & as +.
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
@@ -306,7 +312,8 @@ def json_escape(spark, sf_dir):
 )
 def record_sizes(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    puts = texts.select("doc_id", F.col("doc_id").cast("string").alias("key"), F.col("text").alias("value"))
+    key, value = F.col("doc_id").cast("string"), F.col("text")
+    puts = texts.select("doc_id", key.alias("key"), value.alias("value"))
     return puts.select(
         "doc_id",
         F.octet_length("key").cast("bigint").alias("key_size"),
@@ -455,7 +462,8 @@ def kv_get(spark, sf_dir):
 )
 def kv_get_many(spark, sf_dir):
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    key = F.concat_ws("-", (F.col("c_custkey") % 11).cast("string"), F.col("c_custkey").cast("string"))
+    number = F.col("c_custkey")
+    key = F.concat_ws("-", (number % 11).cast("string"), number.cast("string"))
     return latest.get_many(_puts(spark, sf_dir), customers.select(key.alias("key")))
 
 
@@ -520,9 +528,8 @@ def kv_compact(spark, sf_dir):
 def kv_csv(spark, sf_dir):
     path = scratch_dir(spark, "csv")
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    export.export_csv(
-        texts.select(F.col("doc_id").cast("string").alias("key"), F.col("text").alias("value")), path
-    )
+    key, value = F.col("doc_id").cast("string"), F.col("text")
+    export.export_csv(texts.select(key.alias("key"), value.alias("value")), path)
     return tables.read_snapshot_csv(spark, path)
 
 
@@ -539,7 +546,8 @@ def kv_json(spark, sf_dir):
 
 @query("SELECT event_id, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events")
 def kv_json_explode(spark, sf_dir):
-    return export.json_entries(source.read_events(spark, sf_dir).select("event_id", "props"), "props")
+    objects = source.read_events(spark, sf_dir).select("event_id", "props")
+    return export.json_entries(objects, "props")
 
 
 # -- documents by id --------------------------------------------------------------------
@@ -552,7 +560,8 @@ def kv_json_explode(spark, sf_dir):
 )
 def index_upsert(spark, sf_dir):
     """Older half indexed first, newer half upserted over it: the same as the last per id."""
-    everything = _valid(spark, sf_dir).withColumn("newer", F.col("timestamp") >= F.lit("2024-01-16"))
+    newer = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
+    everything = _valid(spark, sf_dir).withColumn("newer", newer)
     fields = ["doc_id", *READING_COLUMNS]
     stored = documents.latest_documents(everything.where(~F.col("newer"))).select(*fields)
     incoming = documents.latest_documents(everything.where("newer")).select(*fields)
@@ -563,10 +572,11 @@ def index_upsert(spark, sf_dir):
 def kv_log_table(spark, sf_dir):
     """Two halves appended to a log table, the first compacted away, then read back."""
     path = scratch_dir(spark, "log")
-    puts = _puts(spark, sf_dir).select("key", "value", "offset", (F.col("ts_ms") < 1705363200000).alias("early"))
-    columns = ["key", "value", "offset"]
-    log_table.append_batch(last_per_key(puts.where("early"), ["key"], ["offset"]).select(*columns), path, 0)
-    log_table.append_batch(last_per_key(puts.where(~F.col("early")), ["key"], ["offset"]).select(*columns), path, 1)
+    early = F.col("ts_ms") < 1705363200000
+    for file_id, half in enumerate([early, ~early]):
+        puts = _puts(spark, sf_dir).where(half)
+        newest = last_per_key(puts, ["key"], ["offset"]).select("key", "value", "offset")
+        log_table.append_batch(newest, path, file_id)
     log_table.compact_log(spark, path, fan_out.LATEST_LOG, ["key"])
     return log_table.read_latest(spark, path, fan_out.LATEST_LOG, ["key"]).select("key", "value")
 
@@ -578,7 +588,8 @@ def kv_log_table(spark, sf_dir):
 def stream_alerts(spark, sf_dir):
     path, checkpoint = scratch_dir(spark, "alerts"), scratch_dir(spark, "checkpoint")
     jobs.alert_stream(_message_stream(spark, sf_dir), path, checkpoint).awaitTermination()
-    return topics.landed_table(spark, path).select("key", "value", F.col("offset").alias("arrival"))
+    landed = topics.landed_table(spark, path)
+    return landed.select("key", "value", F.col("offset").alias("arrival"))
 
 
 @query(MESSAGES + "SELECT DISTINCT station_id, s_no FROM valid")
@@ -627,7 +638,8 @@ def _fan_out(spark, sf_dir, *sinks, checks=()):
 
 @query(MESSAGES + _DATED)
 def stream_archive(spark, sf_dir):
-    return tables.read_archive(spark, f"{_fan_out(spark, sf_dir, fan_out.ARCHIVE)}/{fan_out.ARCHIVE}")
+    root = _fan_out(spark, sf_dir, fan_out.ARCHIVE)
+    return tables.read_archive(spark, f"{root}/{fan_out.ARCHIVE}")
 
 
 @query(MESSAGES + "SELECT key, value FROM stations")

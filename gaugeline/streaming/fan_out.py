@@ -124,8 +124,12 @@ def _process_valid(
     first = (dedup_first(valid) if horizon is None else dedup_within(valid, horizon)).persist()
     accepted = first
     try:
-        oldest, until = first.agg(F.min(arrived), F.max(arrived)).first()
-        if oldest is None:
+        rows, oldest, until = first.agg(
+            F.count(F.lit(1)),
+            F.coalesce(F.min(arrived), F.lit(0)),
+            F.coalesce(F.max(arrived), F.lit(0)),
+        ).first()
+        if rows == 0:
             return
         accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon).persist()
         if ARCHIVE in sinks:
