@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,8 @@ from gaugeline.functions.json_fields import (
     texts,
     whole_numbers,
 )
-from gaugeline.schemas import ALERT, ALERT_COLUMNS, INT, LONG
+from gaugeline.operators.ranking import dedup_first
+from gaugeline.schemas import ALERT, ALERT_COLUMNS, INT, LONG, READING_KEY
 
 # What an alert says and when it is raised.
 HUMIDITY_THRESHOLD = 70
@@ -106,12 +109,22 @@ def alert_json() -> Column:
     return F.when(F.col("readable"), text).otherwise(F.lit(UNREADABLE_ALERT))
 
 
+def to_alert_messages(raised: DataFrame) -> DataFrame:
+    """Messages read for alerts, with the alert text in place of the raw one."""
+    texts_in_place = raised.withColumn("value", alert_json())
+    return texts_in_place.drop("station_id", "s_no", "humidity", "readable")
+
+
 def alert_messages(messages: DataFrame, threshold: int = HUMIDITY_THRESHOLD) -> DataFrame:
     """Raw messages in, alert messages out: same key and position, the alert as value."""
-    raised = rain_alerts(messages, threshold)
-    return raised.select(
-        *[alert_json().alias("value") if c == "value" else F.col(c) for c in messages.columns]
-    )
+    return to_alert_messages(rain_alerts(messages, threshold))
+
+
+def alert_messages_once(
+    messages: DataFrame, threshold: int = HUMIDITY_THRESHOLD, keys: Sequence[str] = READING_KEY
+) -> DataFrame:
+    """As :func:`alert_messages`, but an id raises only its first alert."""
+    return to_alert_messages(dedup_first(rain_alerts(messages, threshold), keys))
 
 
 def parse_alerts(messages: DataFrame, value: str = "value") -> DataFrame:

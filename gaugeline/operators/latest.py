@@ -16,6 +16,10 @@ from gaugeline.operators.readings import flat_json
 
 POSITION = ["file_id", "offset"]
 
+# A list of requested keys up to this size is sent to every task.
+SHORT_LIST_KEYS = 100_000
+SHORT_LIST_BYTES = 8 * 1024 * 1024
+
 
 def puts_from_readings(readings: DataFrame) -> DataFrame:
     """Readings as puts: key is the station, value the flat JSON text. Other columns stay."""
@@ -50,8 +54,21 @@ def get(log: DataFrame, key: str) -> DataFrame:
 
 
 def get_many(log: DataFrame, requests: DataFrame) -> DataFrame:
-    """Every requested key with its value, NULL where there is none."""
-    return requests.select("key").join(snapshot(log), "key", "left")
+    """Every requested key with its value, NULL where there is none.
+
+    A short list of keys is sent to all tasks and picks the puts before they are ranked. A
+    long one is joined to the ranked log, which has shed the puts of busy keys by then.
+    """
+    asked = requests.select("key")
+    keys = asked.distinct()
+    count, size = (
+        keys.limit(SHORT_LIST_KEYS + 1)
+        .agg(F.count("key"), F.coalesce(F.sum(F.octet_length("key")), F.lit(0)))
+        .first()
+    )
+    if count <= SHORT_LIST_KEYS and size <= SHORT_LIST_BYTES:
+        log = log.join(F.broadcast(keys), "key", "left_semi")
+    return asked.join(snapshot(log), "key", "left")
 
 
 def key_index(log: DataFrame) -> DataFrame:

@@ -194,6 +194,16 @@ def alert_project(spark, sf_dir):
     return raised.select("key", "value", F.col("offset").alias("arrival"))
 
 
+@query(
+    MESSAGES
+    + f"""SELECT key, {ALERT_JSON} AS value, arrival FROM raised
+    QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival) = 1"""
+)
+def alert_once(spark, sf_dir):
+    raised = alerts.alert_messages_once(_messages(spark, sf_dir))
+    return raised.select("key", "value", F.col("offset").alias("arrival"))
+
+
 _ALERT = "'CRITICAL_RAIN_ALERT' AS event, station_id, s_no, humidity, 'RAIN_DETECTED' AS status"
 
 

@@ -13,6 +13,7 @@ before a compaction keeps a whole, unchanging view until old directories are rem
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,30 +34,51 @@ def append_batch(rows: DataFrame, path: str, file_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/{FILE}={file_id}")
 
 
-def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows that may still matter, with their position. ``schema`` includes file_id."""
+def _base(spark: SparkSession, path: str, schema: T.StructType) -> tuple[int, DataFrame | None]:
+    """The newest committed base and the last file it covers."""
     bases = committed_children(spark, path, BASE)
-    upto = bases[-1] if bases else -1
+    if not bases:
+        return -1, None
+    return bases[-1], spark.read.schema(schema).parquet(f"{path}/{BASE}={bases[-1]}")
+
+
+def _files_after(
+    spark: SparkSession, path: str, schema: T.StructType, upto: int
+) -> DataFrame | None:
     files = [n for n in committed_children(spark, path, FILE) if n > upto]
-    log = spark.createDataFrame([], schema)
-    if bases:
-        log = spark.read.schema(schema).parquet(f"{path}/{BASE}={upto}")
-    if files:
-        recent = (
-            spark.read.schema(schema)
-            .option("basePath", path)
-            .parquet(*[f"{path}/{FILE}={n}" for n in files])
-            .select(*schema.fieldNames())
-        )
-        log = log.unionByName(recent) if bases else recent
-    return log
+    if not files:
+        return None
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(*[f"{path}/{FILE}={n}" for n in files]).select(*schema.fieldNames())
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows that may still matter, with their position. ``schema`` includes file_id."""
+    upto, base = _base(spark, path, schema)
+    recent = _files_after(spark, path, schema, upto)
+    parts = [part for part in (base, recent) if part is not None]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_latest(
     spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]
 ) -> DataFrame:
-    """The newest row of every key."""
-    return last_per_key(read_log(spark, path, schema), keys, POSITION)
+    """The newest row of every key.
+
+    A base holds one row per key, so only the files after it are ranked; the base merely
+    loses the keys they have. While those are few, the base is not shuffled at all.
+    """
+    upto, base = _base(spark, path, schema)
+    recent = _files_after(spark, path, schema, upto)
+    if recent is None:
+        return base if base is not None else spark.createDataFrame([], schema)
+    newest = last_per_key(recent, keys, POSITION)
+    if base is None:
+        return newest
+    replaced = recent.select(*keys)
+    return base.join(replaced, list(keys), "left_anti").unionByName(newest)
 
 
 def compact_log(

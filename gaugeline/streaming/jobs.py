@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from gaugeline.operators.alerts import HUMIDITY_THRESHOLD, alert_messages
+from gaugeline.operators.alerts import HUMIDITY_THRESHOLD, rain_alerts, to_alert_messages
 from gaugeline.operators.readings import parse_readings, valid_readings
 from gaugeline.schemas import READING_KEY
 from gaugeline.sinks.archive import LAYOUT, dated_readings
@@ -55,10 +55,17 @@ def alert_stream(
     path: str,
     checkpoint: str,
     threshold: int = HUMIDITY_THRESHOLD,
+    once_within: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Raw messages to alert messages. Reads the raw topic: repeats raise alerts again."""
-    alerts = alert_messages(messages, threshold)
+    """Raw messages to alert messages. Reads the raw topic: repeats raise alerts again.
+
+    With ``once_within``, an id that raised an alert raises no other for that long.
+    """
+    raised = rain_alerts(messages, threshold)
+    if once_within is not None:
+        raised = dedup_stream(raised, horizon=once_within)
+    alerts = to_alert_messages(raised)
     return start(alerts.writeStream.format("parquet").option("path", path), checkpoint, every)
 
 

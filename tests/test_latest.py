@@ -27,6 +27,21 @@ def test_missing_key(spark):
     assert as_dict(latest.get_many(log, asked)) == {"k": "v", "ghost": None}
 
 
+def test_long_and_short_lists_agree(spark, at, monkeypatch):
+    puts(spark, [(1, f"k{i % 50}", str(i)) for i in range(500)]).write.parquet(at("log"))
+    log = spark.read.schema(PUT_LOG).parquet(at("log"))
+    asked = spark.createDataFrame([(f"k{i}",) for i in [3, 49, 49, 60]] + [(None,)], "key string")
+    short = latest.get_many(log, asked)
+    assert "LeftSemi" in plan(short)
+    monkeypatch.setattr(latest, "SHORT_LIST_KEYS", 1)
+    long = latest.get_many(log, asked)
+    assert "LeftSemi" not in plan(long)
+    assert rows(short) == rows(long)
+    assert rows(short) == sorted(
+        [("k3", "453"), ("k49", "499"), ("k49", "499"), ("k60", None), (None, None)], key=repr
+    )
+
+
 def test_large_data_over_several_files(spark):
     log = puts(spark, [(i // 500, f"key-{i}", "x" * 300 + f"-{i}") for i in range(5000)])
     found = as_dict(latest.snapshot(log))

@@ -75,6 +75,22 @@ def test_alert_stream_equals_batch(spark, topic, at):
     assert streamed.count() == 7
 
 
+def test_alert_stream_once(spark, topic, at):
+    fill(topic)
+    query = jobs.alert_stream(topic.stream(), at("alerts"), at("ck"), once_within="1 hour")
+    query.awaitTermination()
+    ids = [(r["station_id"], r["s_no"]) for r in alert_fields(landed_table(spark, at("alerts")))]
+    once = alert_fields(alerts.alert_messages_once(topic.table()))
+    assert sorted(ids) == sorted((r["station_id"], r["s_no"]) for r in once)
+    assert len(ids) == len(set(ids)) == 5
+    # The first copy of an id raised, not a later one.
+    assert (1, 1, 80) in {(r["station_id"], r["s_no"], r["humidity"]) for r in once}
+
+
+def alert_fields(texts):
+    return alerts.alert_records(alerts.parse_alerts(texts)).collect()
+
+
 def test_fan_out_equals_batch(spark, topic, at):
     fill(topic)
     fan_out.start_fan_out(topic.stream(), at("out"), at("ck")).awaitTermination()
