@@ -24,7 +24,12 @@ from gaugeline.operators.documents import (
     with_outcome,
 )
 from gaugeline.operators.latest import puts_from_readings
-from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
+from gaugeline.operators.ranking import (
+    dedup_first,
+    dedup_within,
+    first_per_key,
+    last_per_key,
+)
 from gaugeline.operators.readings import invalid_messages, parse_readings, valid_readings
 from gaugeline.schemas import (
     ALERT_ARCHIVE,
@@ -121,7 +126,12 @@ def _process_valid(
 ) -> None:
     spark = valid.sparkSession
     arrived = F.unix_timestamp("timestamp")
-    first = (dedup_first(valid) if horizon is None else dedup_within(valid, horizon)).persist()
+    if horizon is None:
+        first = dedup_first(valid).persist()
+    else:
+        # Copies of one second shrink to one, so that a busy id is small in what follows.
+        timed = valid.withColumn("_second", arrived)
+        first = first_per_key(timed, [*READING_KEY, "_second"]).drop("_second").persist()
     accepted = first
     try:
         rows, oldest, until = first.agg(
@@ -131,7 +141,10 @@ def _process_valid(
         ).first()
         if rows == 0:
             return
-        accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon).persist()
+        accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon)
+        if horizon is not None:
+            accepted = dedup_within(accepted, horizon)
+        accepted = accepted.persist()
         if ARCHIVE in sinks:
             _write_archive(dated_readings(accepted), f"{root}/{ARCHIVE}", batch_id)
         if DOCUMENTS in sinks:

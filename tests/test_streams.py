@@ -160,6 +160,19 @@ def test_ids_are_forgotten_after_the_horizon(spark, topic, at):
     assert len(numbered_children(spark, at("out") + "/seen", "until")) == 1
 
 
+def test_a_copy_past_the_horizon_passes_beside_one_within(spark, topic, at):
+    """Both in one micro-batch: the earlier one is a repeat, and must not shadow the later."""
+    raw = [
+        message(reading(1, 1, humidity=h), offset=i, arrived=second)
+        for i, (h, second) in enumerate([(1, 0), (2, 3599), (2, 3599), (3, 3601)])
+    ]
+    first, later = messages(spark, raw[:1]), messages(spark, raw[1:])
+    fan_out.process_batch(first, 0, at("out"), ["archive"], horizon=3600)
+    fan_out.process_batch(later, 1, at("out"), ["archive"], horizon=3600)
+    found = rows(read_archive(spark, at("out") + "/archive").select("humidity"))
+    assert found == [(1,), (3,)]
+
+
 def test_horizon_none_remembers_all(spark, topic, at):
     topic.send(reading(1, 1, humidity=1), arrived=0)
     topic.send(reading(1, 1, humidity=2), arrived=90 * DAY)
