@@ -18,9 +18,9 @@ def test_settings(spark):
 
 
 def test_scratch_is_where_the_cluster_says():
-    shared = {"spark.checkpoint.dir": "s3a://bucket/tmp/"}
+    shared = {"spark.checkpoint.dir": "hdfs:///shared/tmp/"}
     first, second = (scratch_dir(fake("yarn", **shared), "log") for _ in range(2))
-    assert first.startswith("s3a://bucket/tmp/log-") and first != second
+    assert first.startswith("hdfs:///shared/tmp/log-") and first != second
 
 
 def test_no_machine_local_scratch_on_a_cluster():
