@@ -24,16 +24,12 @@ from gaugeline.operators.documents import (
     with_outcome,
 )
 from gaugeline.operators.latest import puts_from_readings
-from gaugeline.operators.ranking import (
-    dedup_first,
-    dedup_within,
-    first_per_key,
-    last_per_key,
-)
+from gaugeline.operators.ranking import dedup_within, first_per_key, last_per_key
 from gaugeline.operators.readings import invalid_messages, parse_readings, valid_readings
 from gaugeline.schemas import (
     ALERT_ARCHIVE,
     ALERT_DOCUMENT,
+    ARRIVAL_ORDER,
     DEAD_LETTER,
     KEY_VALUE,
     LONG,
@@ -116,35 +112,47 @@ def _write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
     append_batch(letters.select("key", "value", "offset"), path, batch_id)
 
 
-def _process_valid(
-    valid: DataFrame,
+def _settled(parsed: DataFrame, with_invalid: bool, horizon: int | None) -> DataFrame:
+    """The rows of a batch that any sink may want, from one parse and one shuffle.
+
+    These are the first copies of each id, per second of arrival where ids are forgotten, and
+    if wanted every invalid message, which counts as an id of its own. Raw text stays on
+    invalid rows only. A busy id is small from here on, and so is what is held for the sinks.
+    """
+    added = {}
+    if horizon is not None:
+        added["_moment"] = F.unix_timestamp("timestamp")
+    if with_invalid:
+        added |= {f"_own_{c}": F.when(~F.col("valid"), F.col(c)) for c in ARRIVAL_ORDER}
+        parsed = parsed.withColumn("value", F.when(~F.col("valid"), F.col("value")))
+    else:
+        parsed = parsed.where("valid")
+    keyed = parsed.withColumns(added) if added else parsed
+    return first_per_key(keyed, [*READING_KEY, *added]).drop(*added)
+
+
+def _write_new_readings(
+    first: DataFrame,
     batch_id: int,
     root: str,
     sinks: Collection[str],
     horizon: int | None,
     checks: Sequence[Check],
 ) -> None:
-    spark = valid.sparkSession
+    spark = first.sparkSession
     arrived = F.unix_timestamp("timestamp")
-    if horizon is None:
-        first = dedup_first(valid).persist()
-    else:
-        # Copies of one second shrink to one, so that a busy id is small in what follows.
-        timed = valid.withColumn("_second", arrived)
-        first = first_per_key(timed, [*READING_KEY, "_second"]).drop("_second").persist()
-    accepted = first
+    rows, oldest, until = first.agg(
+        F.count(F.lit(1)),
+        F.coalesce(F.min(arrived), F.lit(0)),
+        F.coalesce(F.max(arrived), F.lit(0)),
+    ).first()
+    if rows == 0:
+        return
+    accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon)
+    if horizon is not None:
+        accepted = dedup_within(accepted, horizon)
+    accepted = accepted.persist()
     try:
-        rows, oldest, until = first.agg(
-            F.count(F.lit(1)),
-            F.coalesce(F.min(arrived), F.lit(0)),
-            F.coalesce(F.max(arrived), F.lit(0)),
-        ).first()
-        if rows == 0:
-            return
-        accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon)
-        if horizon is not None:
-            accepted = dedup_within(accepted, horizon)
-        accepted = accepted.persist()
         if ARCHIVE in sinks:
             _write_archive(dated_readings(accepted), f"{root}/{ARCHIVE}", batch_id)
         if DOCUMENTS in sinks:
@@ -163,7 +171,6 @@ def _process_valid(
             forget_ids(spark, root, oldest - 2 * horizon)
     finally:
         accepted.unpersist()
-        first.unpersist()
 
 
 def process_batch(
@@ -180,17 +187,19 @@ def process_batch(
     the reason; it stays in the other sinks.
     """
     parsed = parse_readings(messages)
+    letters = f"{root}/{DEAD_LETTERS}"
+    if set(sinks) <= {DEAD_LETTERS}:
+        _write_dead_letters(invalid_messages(parsed), letters, batch_id)
+        return
     wants_letters = DEAD_LETTERS in sinks
-    wants_readings = bool(set(sinks) - {DEAD_LETTERS})
-    if wants_letters and wants_readings:
-        parsed.persist()
+    settled = _settled(parsed, wants_letters, horizon).persist()
     try:
         if wants_letters:
-            _write_dead_letters(invalid_messages(parsed), f"{root}/{DEAD_LETTERS}", batch_id)
-        if wants_readings:
-            _process_valid(valid_readings(parsed), batch_id, root, sinks, horizon, checks)
+            _write_dead_letters(invalid_messages(settled), letters, batch_id)
+        first = valid_readings(settled)
+        _write_new_readings(first, batch_id, root, sinks, horizon, checks)
     finally:
-        parsed.unpersist()
+        settled.unpersist()
 
 
 def start_fan_out(
@@ -218,7 +227,7 @@ def process_alert_batch(
 
     Alerts are archived as often as they were raised; the index keeps one per id.
     """
-    held = parsed.persist()
+    held = parsed.withColumn("value", F.when(~F.col("valid"), F.col("value"))).persist()
     try:
         if DEAD_LETTERS in sinks:
             _write_dead_letters(unreadable_alerts(held), f"{root}/{DEAD_LETTERS}", batch_id)
