@@ -69,5 +69,7 @@ OBSERVATION = _struct(
 
 READING_COLUMNS = READING_FLAT.fieldNames()
 ALERT_COLUMNS = ALERT.fieldNames()
-READING_KEY = ["station_id", "s_no"]
+# The id of a reading. The number comes first because a sort settles most comparisons on its
+# first key, and there are far more numbers than stations.
+READING_KEY = ["s_no", "station_id"]
 ARRIVAL_ORDER = ["partition", "offset"]
