@@ -96,10 +96,9 @@ def compact_log(
         return None
     upto, active = closed[-1], files[-1]
     live = read_latest(spark, path, schema, keys).where(F.col(FILE) < active)
-    # Sorted files keep the key ranges of row groups apart, so a lookup reads few of them.
-    live.repartition(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(
-        f"{path}/{BASE}={upto}"
-    )
+    # Files of even size; sorted, so that a lookup reads few row groups of each.
+    even = live.hint("rebalance", *[F.col(key) for key in keys])
+    even.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{path}/{BASE}={upto}")
     return upto
 
 

@@ -1,4 +1,4 @@
-from helpers import as_dict
+from helpers import as_dict, plan
 
 from gaugeline.sinks import log_table
 from gaugeline.sinks.paths import committed_children
@@ -64,3 +64,18 @@ def test_compaction(spark, at):
     log_table.remove_superseded(spark, at("log"))
     assert values(spark, at("log")) == model | {"k0": "new", "k1": "new"}
     assert committed_children(spark, at("log"), "base_upto") == [5]
+
+
+def test_few_new_keys_do_not_shuffle_the_base(spark, at):
+    append(spark, at("log"), 0, [(f"k{i}", "old") for i in range(1000)])
+    append(spark, at("log"), 1, [("k1", "new"), ("k1", "newer"), ("k2000", "new")])
+    append(spark, at("log"), 2, [("k2", "new")])
+    log_table.compact_log(spark, at("log"), LATEST_LOG, ["key"])
+    append(spark, at("log"), 3, [("k3", "new")])
+    view = latest(spark, at("log"))
+    base_side = plan(view).split("BroadcastHashJoin", 1)[1].split("BroadcastExchange")[0]
+    assert "LeftAnti" in base_side and "FileScan" in base_side
+    assert "Exchange" not in base_side
+    found = as_dict(view.select("key", "value"))
+    assert len(found) == 1001
+    assert [found[k] for k in ("k1", "k2", "k3", "k4", "k2000")] == ["newer", "new", "new", "old", "new"]
