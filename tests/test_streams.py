@@ -1,8 +1,10 @@
+import json
 import os
+import random
 import time
 
 import pytest
-from helpers import as_dict, message, messages, reading, rows
+from helpers import START, as_dict, message, messages, reading, rows
 
 from gaugeline.operators import alerts
 from gaugeline.operators.ranking import dedup_first, last_per_key
@@ -305,3 +307,48 @@ def test_observation_stream_numbers_on(spark, at, tmp_path):
     assert all(r["valid"] and r["station_id"] == 0 for r in found)
     # Numbers follow ingest order over both polls; every third payload left a gap.
     assert sorted((r["s_no"], r["humidity"]) for r in found) == [(n, n) for n in (1, 2, 4, 5, 7, 8)]
+
+
+@pytest.mark.parametrize("horizon", [None, 600])
+def test_random_batches(spark, at, horizon):
+    """However a topic is cut into micro-batches, the rules on copies hold."""
+    rng = random.Random(7)
+    sent, clock = [], 0
+    for offset in range(400):
+        clock += rng.choice([0, 1, 5, 40, 200])
+        s_no = 1 if offset % 3 == 0 else rng.randrange(2, 30)
+        body = "bad" if rng.random() < 0.05 else reading(1, s_no, humidity=offset % 100)
+        sent.append(message(body, offset, arrived=clock))
+    cuts = sorted(rng.sample(range(1, 400), 3))
+    for batch_id, (a, b) in enumerate(zip([0, *cuts], [*cuts, 400])):
+        batch = messages(spark, sent[a:b])
+        fan_out.process_batch(batch, batch_id, at("out"), horizon=horizon)
+
+    everything = messages(spark, sent)
+    archived = read_archive(spark, at("out") + "/archive")
+    assert fan_out.dead_letters(spark, at("out")).count() == sum(m[1] == "bad" for m in sent)
+    if horizon is None:
+        assert rows(archived) == rows(dated_readings(first_rows(everything)))
+        return
+
+    copies = {}
+    for m in sent:
+        if m[1] != "bad":
+            body = json.loads(m[1])
+            arrived = int((m[5] - START).total_seconds())
+            copies.setdefault(body["s_no"], []).append((arrived, body["weather"]["humidity"]))
+    kept = {}
+    for r in archived.collect():
+        place = [i for i, c in enumerate(copies[r["s_no"]]) if c[1] == r["humidity"]]
+        kept.setdefault(r["s_no"], []).extend(place)
+    for s_no, seen in copies.items():
+        times = [arrived for arrived, _ in seen]
+        chosen = sorted(times[i] for i in kept[s_no] if unique(seen, i))
+        assert all(b - a >= horizon for a, b in zip(chosen, chosen[1:]))
+        for i, (arrived, _) in enumerate(seen):
+            alone = i == 0 or arrived - times[i - 1] >= horizon
+            assert not alone or i in kept[s_no], "a copy after a long pause was dropped"
+
+
+def unique(copies, i):
+    return [c[1] for c in copies].count(copies[i][1]) == 1
