@@ -46,7 +46,7 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source.event_messages(source.read_events(spark, sf_dir))
+    return source.event_messages(topics.spread(source.read_events(spark, sf_dir)))
 
 
 def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
