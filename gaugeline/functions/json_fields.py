@@ -8,6 +8,8 @@ and fractions into NULL.
 
 Lenient expressions are long, and a whole stage compiled around them would grow past what the
 JVM optimizes. They therefore run inside ``transform``, and only for texts that need them.
+Expressions are SQL text, which Spark takes in one call each; a streaming job builds them anew
+for every micro-batch.
 """
 
 from __future__ import annotations
@@ -25,11 +27,32 @@ STANDARD_JSON = {
     "allowNonNumericNumbers": "false",
 }
 
-INT_MIN, INT_MAX = -(2**31), 2**31 - 1
-LONG_LIMIT = float(2**63)
-
 # Text read by the typed reader that starts like this may be a number, object or array.
-NOT_PLAIN_TEXT = [*"0123456789", "-", "{", "["]
+_NOT_PLAIN_TEXT = ", ".join(f"'{c}'" for c in [*"0123456789", "-", "{", "["])
+
+# A node n as BIGINT. NULL when it is missing, or a number that 64 bits cannot hold.
+_WHOLE_NUMBER = """
+coalesce(
+  try_variant_get(n, '$', 'bigint'),
+  CASE WHEN n IS NULL THEN NULL
+       WHEN NOT isnan(try_variant_get(n, '$', 'double'))
+            AND abs(try_variant_get(n, '$', 'double')) >= 9223372036854775808D THEN NULL
+       ELSE coalesce(try_cast(try_variant_get(n, '$', 'double') AS BIGINT), 0L) END)
+"""
+
+# A node n as text: scalars as they are, JSON null as "null", objects and arrays as "",
+# fractions in their shortest form, missing as NULL.
+_TEXT = r"""
+CASE WHEN n IS NULL THEN NULL
+     WHEN is_variant_null(n) THEN 'null'
+     WHEN startswith(schema_of_variant(n), 'OBJECT')
+          OR startswith(schema_of_variant(n), 'ARRAY') THEN ''
+     WHEN startswith(schema_of_variant(n), 'DOUBLE')
+          OR (startswith(schema_of_variant(n), 'DECIMAL')
+              AND NOT endswith(schema_of_variant(n), ',0)'))
+          THEN CAST(try_variant_get(n, '$', 'double') AS STRING)
+     ELSE try_variant_get(n, '$', 'string') END
+"""
 
 
 def _marked(schema: T.StructType) -> T.StructType:
@@ -52,60 +75,38 @@ def read_loose(text: str, schema: T.StructType) -> Column:
     return F.from_json(text, _marked(_loose(schema)), STANDARD_JSON)
 
 
-def plain_text(column: Column) -> Column:
+def plain_text(path: str) -> str:
     """True when text from the typed reader was surely a JSON string (or true/false)."""
-    return ~F.substring(column, 1, 1).isin(NOT_PLAIN_TEXT)
-
-
-def whole_number(node: Column) -> Column:
-    """A node as BIGINT. NULL when it is missing, or a number that 64 bits cannot hold."""
-    exact = F.try_variant_get(node, "$", "bigint")
-    size = F.try_variant_get(node, "$", "double")
-    too_large = ~F.isnan(size) & (F.abs(size) >= LONG_LIMIT)
-    cut = F.coalesce(size.try_cast("bigint"), F.lit(0).cast("bigint"))
-    return F.coalesce(exact, F.when(node.isNull() | too_large, F.lit(None)).otherwise(cut))
+    return f"substring({path}, 1, 1) NOT IN ({_NOT_PLAIN_TEXT})"
 
 
-def text_of(node: Column) -> Column:
-    """Scalars as text, JSON null as ``"null"``, objects and arrays as ``""``, missing as NULL."""
-    kind = F.schema_of_variant(node)
-    return (
-        F.when(node.isNull(), F.lit(None).cast("string"))
-        .when(F.is_variant_null(node), F.lit("null"))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
-        .when(
-            kind.rlike(r"^(DOUBLE|DECIMAL\(\d+,[1-9])"),
-            F.try_variant_get(node, "$", "double").cast("string"),
-        )
-        .otherwise(F.try_variant_get(node, "$", "string"))
-    )
+def present(path: str) -> str:
+    return f"{path} IS NOT NULL"
 
 
-def whole_numbers(*nodes: Column) -> Column:
-    return F.transform(F.array(*nodes), whole_number)
+def fits_int(number: str) -> str:
+    return f"{number} BETWEEN -2147483648 AND 2147483647"
 
 
-def texts(*nodes: Column) -> Column:
-    return F.transform(F.array(*nodes), text_of)
+def whole_numbers(*nodes: str) -> Column:
+    return F.expr(f"transform(array({', '.join(nodes)}), n -> {_WHOLE_NUMBER})")
 
 
-def fits_int(number: Column) -> Column:
-    return number.between(INT_MIN, INT_MAX)
+def texts(*nodes: str) -> Column:
+    return F.expr(f"transform(array({', '.join(nodes)}), n -> {_TEXT})")
 
 
-def all_of(*conditions: Column) -> Column:
+def all_of(*conditions: str) -> Column:
     """Every condition holds; an unknown one counts as failed."""
-    combined = F.lit(True)
-    for condition in conditions:
-        combined = combined & condition
-    return F.coalesce(combined, F.lit(False))
+    return F.expr(f"coalesce({' AND '.join(conditions)}, false)")
 
 
-def computed_once(**columns: Column) -> Column:
+def computed_once(**columns: str) -> Column:
     """The columns as one generated struct.
 
     A filter moves below a projection and would repeat the parse there; it does not move
     below a generator. Wrapping the parsed columns in a one-element array keeps the parse at
     once per message.
     """
-    return F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    fields = ", ".join(f"'{name}', {text}" for name, text in columns.items())
+    return F.expr(f"explode(array(named_struct({fields})))")

@@ -14,6 +14,7 @@ from gaugeline.functions.json_fields import (
     computed_once,
     fits_int,
     plain_text,
+    present,
     read_loose,
     read_typed,
     texts,
@@ -42,12 +43,12 @@ _ALERT_NUMBERS = ["station_id", "s_no", "humidity"]
 _ALERT_TEXTS = ["event", "status"]
 
 
-def _int_or_zero(number: Column) -> Column:
-    return F.when(fits_int(number), number.cast("int")).otherwise(F.lit(0))
+def _int_or_zero(number: str) -> str:
+    return f"CASE WHEN {fits_int(number)} THEN CAST({number} AS INT) ELSE 0 END"
 
 
-def _long_or_zero(number: Column) -> Column:
-    return F.coalesce(number, F.lit(0).cast("bigint"))
+def _long_or_zero(number: str) -> str:
+    return f"coalesce({number}, 0L)"
 
 
 def read_humidity(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -57,33 +58,29 @@ def read_humidity(messages: DataFrame, value: str = "value") -> DataFrame:
     needs none of the fields a valid reading must have, so a message may raise an alert and
     still be a dead letter.
     """
-    whole, loose, numbers = F.col("_whole"), F.col("_loose"), F.col("_numbers")
     is_whole = all_of(
-        F.col("_typed")[CORRUPT].isNull(),
-        F.col("_typed.station_id").isNotNull(),
-        F.col("_typed.s_no").isNotNull(),
-        F.col("_typed.weather.humidity").isNotNull(),
+        f"_typed.{CORRUPT} IS NULL",
+        present("_typed.station_id"),
+        present("_typed.s_no"),
+        present("_typed.weather.humidity"),
     )
     # Weather stays one node here, since a weather that is no object is no error.
-    weather = F.col("_loose.weather")
-    nodes = [
-        F.col("_loose.station_id"),
-        F.col("_loose.s_no"),
-        F.try_variant_get(weather, "$.humidity", "variant"),
-    ]
+    numbers = whole_numbers(
+        "_loose.station_id",
+        "_loose.s_no",
+        "try_variant_get(_loose.weather, '$.humidity', 'variant')",
+    )
     staged = (
         messages.withColumn("_typed", read_typed(value, _SOURCE))
         .withColumn("_whole", is_whole)
-        .withColumn("_loose", F.when(~whole, read_loose(value, _SOURCE_NODES)))
-        .withColumn("_numbers", F.when(loose.isNotNull(), whole_numbers(*nodes)))
+        .withColumn("_loose", F.when(~F.col("_whole"), read_loose(value, _SOURCE_NODES)))
+        .withColumn("_numbers", F.when(F.col("_loose").isNotNull(), numbers))
     )
     reading = computed_once(
-        station_id=F.when(whole, F.col("_typed.station_id")).otherwise(_long_or_zero(numbers[0])),
-        s_no=F.when(whole, F.col("_typed.s_no")).otherwise(_long_or_zero(numbers[1])),
-        humidity=F.when(whole, F.col("_typed.weather.humidity")).otherwise(
-            _int_or_zero(numbers[2])
-        ),
-        readable=whole | (loose.isNotNull() & loose[CORRUPT].isNull()),
+        station_id=f"IF(_whole, _typed.station_id, {_long_or_zero('_numbers[0]')})",
+        s_no=f"IF(_whole, _typed.s_no, {_long_or_zero('_numbers[1]')})",
+        humidity=f"IF(_whole, _typed.weather.humidity, {_int_or_zero('_numbers[2]')})",
+        readable=f"_whole OR (_loose IS NOT NULL AND _loose.{CORRUPT} IS NULL)",
     )
     return staged.withColumn("_reading", reading).select(*messages.columns, "_reading.*")
 
@@ -133,46 +130,44 @@ def parse_alerts(messages: DataFrame, value: str = "value") -> DataFrame:
     Missing fields read as 0 or ``""``. Only a text that is not JSON, or a NULL, is invalid;
     blank text and non-objects give a row of defaults.
     """
-    whole, loose = F.col("_whole"), F.col("_loose")
     is_whole = all_of(
-        F.col("_typed")[CORRUPT].isNull(),
-        *[F.col("_typed")[name].isNotNull() for name in ALERT_COLUMNS],
-        plain_text(F.col("_typed.event")),
-        plain_text(F.col("_typed.status")),
+        f"_typed.{CORRUPT} IS NULL",
+        *[present(f"_typed.{name}") for name in ALERT_COLUMNS],
+        *[plain_text(f"_typed.{name}") for name in _ALERT_TEXTS],
     )
     blank = F.regexp_replace(value, r"[ \t\r\n]", "") == ""
     valid = (
-        whole
-        | (loose.isNotNull() & loose[CORRUPT].isNull())
+        F.expr(f"_whole OR (_loose IS NOT NULL AND _loose.{CORRUPT} IS NULL)")
         | F.coalesce(blank, F.lit(False))
         | F.try_parse_json(value).isNotNull()
     )
+    has_loose = F.col("_loose").isNotNull()
     staged = (
         messages.withColumn("_typed", read_typed(value, ALERT))
         .withColumn("_whole", is_whole)
-        .withColumn("_loose", F.when(~whole, read_loose(value, ALERT)))
-        .withColumn(
-            "_numbers",
-            F.when(loose.isNotNull(), whole_numbers(*[loose[name] for name in _ALERT_NUMBERS])),
-        )
-        .withColumn(
-            "_texts", F.when(loose.isNotNull(), texts(*[loose[name] for name in _ALERT_TEXTS]))
+        .withColumn("_loose", F.when(~F.col("_whole"), read_loose(value, ALERT)))
+        .withColumns(
+            {
+                "_numbers": F.when(
+                    has_loose, whole_numbers(*[f"_loose.{name}" for name in _ALERT_NUMBERS])
+                ),
+                "_texts": F.when(has_loose, texts(*[f"_loose.{name}" for name in _ALERT_TEXTS])),
+            }
         )
         .withColumn("_valid", valid)
     )
-    numbers, words = F.col("_numbers"), F.col("_texts")
     lenient = {
-        "event": F.coalesce(words[0], F.lit("")),
-        "station_id": _long_or_zero(numbers[0]),
-        "s_no": _long_or_zero(numbers[1]),
-        "humidity": _int_or_zero(numbers[2]),
-        "status": F.coalesce(words[1], F.lit("")),
+        "event": "coalesce(_texts[0], '')",
+        "station_id": _long_or_zero("_numbers[0]"),
+        "s_no": _long_or_zero("_numbers[1]"),
+        "humidity": _int_or_zero("_numbers[2]"),
+        "status": "coalesce(_texts[1], '')",
     }
     fields = {
-        name: F.when(whole, F.col("_typed")[name]).when(F.col("_valid"), lenient[name])
-        for name in ALERT_COLUMNS
+        name: f"CASE WHEN _whole THEN _typed.{name} WHEN _valid THEN {text} END"
+        for name, text in lenient.items()
     }
-    parsed = staged.withColumn("_alert", computed_once(**fields, valid=F.col("_valid")))
+    parsed = staged.withColumn("_alert", computed_once(**fields, valid="_valid"))
     return parsed.select(*messages.columns, "_alert.*")
 
 

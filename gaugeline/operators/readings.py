@@ -11,6 +11,7 @@ from gaugeline.functions.json_fields import (
     computed_once,
     fits_int,
     plain_text,
+    present,
     read_loose,
     read_typed,
     texts,
@@ -33,40 +34,41 @@ def parse_readings(messages: DataFrame, value: str = "value") -> DataFrame:
     The typed reader settles well-formed readings, nearly all of a real feed. Only the rest
     are read again, leniently.
     """
-    typed, loose = F.col("_typed"), F.col("_loose")
-    whole, numbers, text = F.col("_whole"), F.col("_numbers"), F.col("_texts")[0]
+    numeric = [*_LONGS, *_INTS]
+    numbers = {path: f"_numbers[{i}]" for i, path in enumerate(numeric)}
     is_whole = all_of(
-        typed[CORRUPT].isNull(),
-        *[F.col(f"_typed.{path}").isNotNull() for path in [*_LONGS, _TEXT, *_INTS]],
-        plain_text(typed[_TEXT]),
+        f"_typed.{CORRUPT} IS NULL",
+        *[present(f"_typed.{path}") for path in [*numeric, _TEXT]],
+        plain_text(f"_typed.{_TEXT}"),
     )
-    lenient_numbers = whole_numbers(*[F.col(f"_loose.{path}") for path in [*_LONGS, *_INTS]])
     accepted = all_of(
-        loose[CORRUPT].isNull(),
-        *[numbers[i].isNotNull() for i in range(len(_LONGS))],
-        *[fits_int(numbers[i]) for i in range(len(_LONGS), len(_LONGS) + len(_INTS))],
-        text.isNotNull(),
+        f"_loose.{CORRUPT} IS NULL",
+        *[present(numbers[path]) for path in _LONGS],
+        *[fits_int(numbers[path]) for path in _INTS],
+        present("_texts[0]"),
     )
+    has_loose = F.col("_loose").isNotNull()
     staged = (
         messages.withColumn("_typed", read_typed(value, READING_NESTED))
         .withColumn("_whole", is_whole)
-        .withColumn("_loose", F.when(~whole, read_loose(value, READING_NESTED)))
-        .withColumn("_numbers", F.when(loose.isNotNull(), lenient_numbers))
-        .withColumn("_texts", F.when(loose.isNotNull(), texts(F.col(f"_loose.{_TEXT}"))))
+        .withColumn("_loose", F.when(~F.col("_whole"), read_loose(value, READING_NESTED)))
+        .withColumns(
+            {
+                "_numbers": F.when(has_loose, whole_numbers(*[f"_loose.{p}" for p in numeric])),
+                "_texts": F.when(has_loose, texts(f"_loose.{_TEXT}")),
+            }
+        )
         .withColumn("_accepted", accepted)
     )
-    lenient = {path: numbers[i] for i, path in enumerate([*_LONGS, *_INTS])}
-    lenient |= {path: lenient[path].cast("int") for path in _INTS} | {_TEXT: text}
+    lenient = numbers | {path: f"CAST({numbers[path]} AS INT)" for path in _INTS}
+    lenient[_TEXT] = "_texts[0]"
     fields = {
-        path.split(".")[-1]: F.when(whole, F.col(f"_typed.{path}")).when(
-            F.col("_accepted"), lenient[path]
-        )
-        for path in lenient
+        path.split(".")[-1]: f"CASE WHEN _whole THEN _typed.{path} WHEN _accepted THEN {text} END"
+        for path, text in lenient.items()
     }
     ordered = {name: fields[name] for name in READING_COLUMNS}
-    reading = computed_once(**ordered, valid=whole | F.col("_accepted"))
-    parsed = staged.withColumn("_reading", reading)
-    return parsed.select(*messages.columns, "_reading.*")
+    reading = computed_once(**ordered, valid="_whole OR _accepted")
+    return staged.withColumn("_reading", reading).select(*messages.columns, "_reading.*")
 
 
 def valid_readings(parsed: DataFrame) -> DataFrame:

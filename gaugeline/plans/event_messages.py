@@ -7,8 +7,7 @@ definition stands in SQL beside the oracle queries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from gaugeline.sources.messages import READINGS_TOPIC
@@ -43,57 +42,44 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_readings(events: DataFrame) -> DataFrame:
     """Undamaged readings with their place in the topic."""
-    return events.select(
-        (F.col("user_id") % STATIONS).alias("station_id"),
-        (F.col("event_id") % SEQUENCE_LENGTH).alias("s_no"),
-        F.when(F.col("event_type") == "signup", "low")
-        .when(F.col("event_type").isin("click", "view"), "medium")
-        .otherwise("high")
-        .alias("battery_status"),
-        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("status_timestamp"),
-        F.get_json_object("props", "$.k").cast("int").alias("humidity"),
-        (60 + F.floor("value") % 60).cast("int").alias("temperature"),
-        (1 + F.col("event_id") % 50).cast("int").alias("wind_speed"),
-        (F.col("user_id") % STATIONS % PARTITIONS).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+    station = f"user_id % {STATIONS}"
+    return events.selectExpr(
+        f"{station} AS station_id",
+        f"event_id % {SEQUENCE_LENGTH} AS s_no",
+        """CASE WHEN event_type = 'signup' THEN 'low'
+                WHEN event_type IN ('click', 'view') THEN 'medium' ELSE 'high' END
+           AS battery_status""",
+        "unix_timestamp(CAST(ts AS TIMESTAMP)) AS status_timestamp",
+        "CAST(get_json_object(props, '$.k') AS INT) AS humidity",
+        "CAST(60 + floor(value) % 60 AS INT) AS temperature",
+        "CAST(1 + event_id % 50 AS INT) AS wind_speed",
+        f"CAST({station} % {PARTITIONS} AS INT) AS partition",
+        "event_id AS offset",
+        "CAST(ts AS TIMESTAMP) AS timestamp",
     )
 
 
-def _json_with_damage() -> Column:
-    damage = F.col("offset") % DAMAGE_PERIOD
-    humidity = F.col("humidity").cast("string")
-    humidity = (
-        F.when(damage == TEXT_HUMIDITY, F.concat(F.lit('"'), humidity, F.lit('"')))
-        .when(damage == FRACTION_HUMIDITY, F.concat(humidity, F.lit(".9")))
-        .otherwise(humidity)
-    )
-    battery = F.concat(F.lit(',"battery_status":"'), F.col("battery_status"), F.lit('"'))
-    weather = F.concat(
-        F.lit('{"humidity":'), humidity,
-        F.lit(',"temperature":'), F.col("temperature").cast("string"),
-        F.lit(',"wind_speed":'), F.col("wind_speed").cast("string"),
-        F.lit("}"),
-    )
-    whole = F.concat(
-        F.lit('{"station_id":'), F.col("station_id").cast("string"),
-        F.lit(',"s_no":'), F.col("s_no").cast("string"),
-        F.when(damage == NO_BATTERY, F.lit("")).otherwise(battery),
-        F.lit(',"status_timestamp":'), F.col("status_timestamp").cast("string"),
-        F.lit(',"weather":'),
-        F.when(damage == NULL_WEATHER, F.lit("null")).otherwise(weather),
-        F.lit("}"),
-    )
-    broken = F.substring(whole, F.lit(1), F.length(whole) - 20)
-    return F.when(damage == TRUNCATED, broken).otherwise(whole)
+def _json_with_damage() -> str:
+    damage = f"offset % {DAMAGE_PERIOD}"
+    humidity = f"""CASE {damage} WHEN {TEXT_HUMIDITY} THEN concat('"', humidity, '"')
+                        WHEN {FRACTION_HUMIDITY} THEN concat(humidity, '.9')
+                        ELSE CAST(humidity AS STRING) END"""
+    battery = """concat(',"battery_status":"', battery_status, '"')"""
+    weather = f"""concat('{{"humidity":', {humidity}, ',"temperature":', temperature,
+                         ',"wind_speed":', wind_speed, '}}')"""
+    whole = f"""concat('{{"station_id":', station_id, ',"s_no":', s_no,
+                       IF({damage} = {NO_BATTERY}, '', {battery}),
+                       ',"status_timestamp":', status_timestamp,
+                       ',"weather":', IF({damage} = {NULL_WEATHER}, 'null', {weather}), '}}')"""
+    return f"IF({damage} = {TRUNCATED}, substring({whole}, 1, length({whole}) - 20), {whole})"
 
 
 def event_messages(events: DataFrame) -> DataFrame:
     """The events as raw messages, in topic layout."""
-    return event_readings(events).select(
-        F.col("station_id").cast("string").alias("key"),
-        _json_with_damage().alias("value"),
-        F.lit(READINGS_TOPIC).alias("topic"),
+    return event_readings(events).selectExpr(
+        "CAST(station_id AS STRING) AS key",
+        f"{_json_with_damage()} AS value",
+        f"'{READINGS_TOPIC}' AS topic",
         "partition",
         "offset",
         "timestamp",
