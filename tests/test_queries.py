@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from gaugeline.plans import catalogue
 
 TABLES = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="given tables are absent")
