@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import curriculum, packing
+from gaugeline.llm import curriculum, packing, quality_rules, secrets
 from gaugeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,15 @@ def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             "second_position": F.round(F.get("positions", 1), 6),
         }
     ).drop("positions", "source", "copies")
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *[f"measures.{c}" for c in base], "base_failed", "kept")
+
+
+@query
+def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
