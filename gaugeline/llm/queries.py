@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import curriculum, packing, quality_rules, secrets
+from gaugeline.llm import curriculum, packing, quality_rules, secrets, simhash
 from gaugeline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix(table(spark, sf_dir, "documents"))
