@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import curriculum, packing, quality_rules, secrets, simhash
+from gaugeline.llm import curriculum, packing, quality_rules, secrets, simhash, toxicity
 from gaugeline.llm.common import table
+from gaugeline.llm.labelled import held_out, labelled_sample
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +19,9 @@ ORACLES: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
 
+# Divisor and remainder of the held-out fold, and the score from which a text is labelled 1.
+TOXIC_FOLD, TOXIC_FROM = (3, 1), 0.7
+
 
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
@@ -55,6 +59,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"measures.{c}" for c in base], "base_failed", "kept")
 
 
+@query
+def op9_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    divisor, held = TOXIC_FOLD
+    sample = labelled_sample(docs, labels, "toxic", divisor, held, toxicity.LABELLED)
+    scored = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), divisor, held).alias("held_out"),
+        toxicity.score(F.col("text"), toxicity.fit(sample)).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 @query
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
