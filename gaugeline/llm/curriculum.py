@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import WORD, stored
+from gaugeline.llm.common import WORD, stored, text_key
 
 # A schedule: (moment, weight) from moment 0 to 1, straight between them, never negative.
 Schedule = Sequence[tuple[float, float]]
@@ -37,9 +37,10 @@ SLICE_DIGITS = 3  # hexadecimal digits of the order's md5 that make a slice
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words (null text: 0)."""
+    """doc_id, text_key, source, size in words (null text: 0)."""
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
-    return docs.select("doc_id", "source", words.cast("long").alias("size"))
+    key = text_key(F.col("text")).alias("text_key")
+    return docs.select("doc_id", key, "source", words.cast("long").alias("size"))
 
 
 def targets(
@@ -77,28 +78,32 @@ def targets(
     return rows.select("source", "turn", "source_size", target.alias("target"))
 
 
-def _in_order(rows: DataFrame) -> DataFrame:
-    """Add ``start``: words of the source ahead of the document, in the order of the mix."""
+def _ordered(rows: DataFrame) -> DataFrame:
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    sliced = rows.withColumn("_order", order).withColumn(
-        "_slice", F.substring("_order", 1, SLICE_DIGITS)
-    )
-    sums = sliced.groupBy("source", "_slice").agg(F.sum("size").alias("_words"))
+    slice_of = F.substring("_order", 1, SLICE_DIGITS)
+    return rows.withColumn("_order", order).withColumn("_slice", slice_of)
+
+
+def _slices(ordered: DataFrame) -> DataFrame:
+    """Per source and slice, the words of the source in earlier slices: _name, _at, _before."""
+    sums = ordered.groupBy("source", "_slice").agg(F.sum("size").alias("_words"))
     ahead = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(
-        F.col("source").alias("_source"),
-        F.col("_slice").alias("_at"),
-        F.coalesce(F.sum("_words").over(ahead), F.lit(0)).alias("_before"),
-    )
-    within = (
-        Window.partitionBy("source", "_slice")
-        .orderBy("_order", "doc_id", "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counted = sliced.withColumn("_within", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("_slice") == F.col("_at"))
-    joined = counted.join(before, same).withColumn("start", F.col("_before") + F.col("_within"))
-    return joined.drop("_source", "_at", "_before", "_within", "_slice")
+    before = F.coalesce(F.sum("_words").over(ahead), F.lit(0))
+    return sums.select(F.col("source").alias("_name"), F.col("_slice").alias("_at"), before.alias("_before"))
+
+
+def _spread(slices: DataFrame, per_source: DataFrame) -> DataFrame:
+    """What holds for a source, for each of its slices; ``per_source`` names it ``_source``.
+
+    Documents meet it by slice, so a source with a third of them is not one task's join.
+    """
+    same = F.col("_name").eqNullSafe(F.col("_source"))
+    return slices.join(per_source, same).drop("_source")
+
+
+def _with_slice(rows: DataFrame, spread: DataFrame) -> DataFrame:
+    same = F.col("source").eqNullSafe(F.col("_name")) & (F.col("_slice") == F.col("_at"))
+    return rows.join(spread, same).drop("_name", "_at")
 
 
 def _moment(u: Column, turn: Column, schedules: Sequence[Schedule]) -> Column:
@@ -130,10 +135,11 @@ def mix(
     schedules: Sequence[Schedule] = SCHEDULES,
     share: float = SHARE,
     passes: int = PASSES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """What the mix takes of every document, and when.
 
-    Returns doc_id, source, size, source_size, target, taken (words, repeats counted), copies
+    Returns doc_id, ``keep`` (``text_key`` tells texts of one id apart), source, size, source_size, target, taken (words, repeats counted), copies
     and positions (one moment per copy), sorted by the first position; documents not taken
     come last.
 
@@ -149,31 +155,38 @@ def mix(
     full = F.when(F.col("source_size") > 0, quotient).otherwise(0).cast("long")
     shares = (
         targets(rows, weights, share, passes)
-        .withColumnRenamed("source", "_name")
+        .withColumnRenamed("source", "_source")
         .withColumn("_full", full)
         .withColumn("_rest", F.col("target") - F.col("_full") * F.col("source_size"))
     )
-    same = F.col("source").eqNullSafe(F.col("_name"))
+    ordered = _ordered(rows)
+    slices = stored(_spread(_slices(ordered), shares), "slices")
+    within = (
+        Window.partitionBy("source", "_slice")
+        .orderBy("_order", "doc_id", "size", "text_key")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    start = F.col("_before") + F.coalesce(F.sum("size").over(within), F.lit(0))
     some = F.col("size") > 0
     fits = some & (F.col("start") + F.col("size") <= F.col("_rest"))
-    placed = _in_order(rows).join(shares, same).withColumn("_fits", fits)
-    placed = stored(placed.drop("_name", "_order"), "order")
+    placed = _with_slice(ordered, slices).withColumn("start", start).withColumn("_fits", fits)
+    placed = stored(placed.drop("_order", "_before"), "order")
 
     got = F.coalesce(F.sum(F.when(F.col("_fits"), F.col("size"))), F.lit(0))
-    filled = placed.groupBy("source").agg(F.max("_rest").alias("_rest"), got.alias("_got"))
+    filled = placed.groupBy("source").agg(F.max("_rest").alias("_left"), got.alias("_got"))
     filled = filled.select(
-        F.col("source").alias("_name"), "_got", (F.col("_rest") - F.col("_got")).alias("_gap")
+        F.col("source").alias("_source"), "_got", (F.col("_left") - F.col("_got")).alias("_gap")
     )
+    keys = slices.select("_name", "_at")
     off = F.abs(F.col("size") - F.col("_gap"))
     nearest = F.min(F.struct(off.alias("off"), "start", "size"))
     closing = (
-        placed.where(some & ~F.col("_fits"))
-        .join(filled, same)
+        _with_slice(placed.where(some & ~F.col("_fits")), _spread(keys, filled))
         .where(off < F.col("_gap"))
-        .groupBy(F.col("_name").alias("_closed"))
+        .groupBy(F.col("source").alias("_closed"))
         .agg(nearest.alias("_last"))
     )
-    ends = filled.join(closing, F.col("_name").eqNullSafe(F.col("_closed")), "left")
+    ends = filled.join(closing, F.col("_source").eqNullSafe(F.col("_closed")), "left").drop("_closed")
     # Among documents with words, a start belongs to one row of the source.
     closes = some & F.coalesce(F.col("start") == F.col("_last.start"), F.lit(False))
     before = F.col("_full") * F.col("source_size")
@@ -184,7 +197,8 @@ def mix(
     )
     extra = F.when(F.col("_fits"), before + F.col("start")).when(closes, before + F.col("_got"))
     starts = F.filter(F.concat(runs, F.array(extra)), lambda at: at.isNotNull())
-    joined = placed.join(ends, same).withColumn("_starts", starts).withColumn("_all", everything)
+    joined = _with_slice(placed, _spread(keys, ends))
+    joined = joined.withColumn("_starts", starts).withColumn("_all", everything)
     middle = F.col("size") / 2
     moments = F.transform(
         "_starts", lambda at: _moment((at + middle) / F.col("_all"), F.col("turn"), schedules)
@@ -192,6 +206,7 @@ def mix(
     copies = F.size("_starts").cast("long")
     return joined.select(
         "doc_id",
+        *keep,
         "source",
         "size",
         "source_size",
