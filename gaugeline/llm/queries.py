@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import curriculum, packing, quality_rules, secrets, simhash, toxicity
+from gaugeline.llm import (
+    curriculum,
+    packing,
+    quality_fm,
+    quality_rules,
+    rp_forest,
+    secrets,
+    simhash,
+    toxicity,
+    url_rules,
+)
 from gaugeline.llm.common import table
 from gaugeline.llm.labelled import held_out, labelled_sample
 
@@ -20,6 +30,7 @@ ORACLES: dict[str, str] = {}
 TOKENIZER = "word_bpe_49k.json"
 
 # Divisor and remainder of the held-out fold, and the score from which a text is labelled 1.
+QUALITY_FOLD, QUALITY_FROM = (5, 0), 0.3
 TOXIC_FOLD, TOXIC_FROM = (3, 1), 0.7
 
 
@@ -34,6 +45,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+@query
+def op2_quality_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    divisor, held = QUALITY_FOLD
+    sample = labelled_sample(docs, labels, "quality", divisor, held, quality_fm.LABELLED)
+    scored = docs.select(
+        "doc_id",
+        held_out(F.col("doc_id"), divisor, held).alias("held_out"),
+        quality_fm.score(F.col("text"), quality_fm.fit(sample), F.col("n_chars")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_FROM).cast("int"))
+
+
 @query
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -41,6 +65,27 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+# Stated rules by host and path.
+URL_RULES = (
+    url_rules.Rule("com", "/", "allow"),
+    url_rules.Rule("example.com", "/en/", "block"),
+    url_rules.Rule("www.example.com", "/en/", "allow"),
+    url_rules.Rule("net", "/es/", "block"),
+    url_rules.Rule("net", "/fr/", "block"),
+)
+
+
+@query
+def op4_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's label is that of the document with its number: bad if of low quality or toxic."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    bad = labels.groupBy("doc_id").agg(
+        (F.min(F.coalesce("quality", F.lit(1))) == 0) | (F.max(F.coalesce("toxic", F.lit(0))) == 1)
+    ).toDF("page_id", "bad")
+    judged = url_rules.judge(pages, pages.join(bad, "page_id").select("url", "bad"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix(table(spark, sf_dir, "documents"))
@@ -52,6 +97,12 @@ def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("positions", "source", "copies")
 
 
+@query
+def op7_random_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return rp_forest.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
