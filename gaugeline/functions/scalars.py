@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Bytes a put record spends on its key size, value size and timestamp.
-RECORD_HEADER_BYTES = 24
-
 
 def message_id(station_id: str = "station_id", s_no: str = "s_no") -> Column:
     return F.concat_ws("-", F.col(station_id).cast("string"), F.col(s_no).cast("string"))
@@ -46,11 +41,6 @@ def epoch_millis_now() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def record_size(key: str = "key", value: str = "value") -> Column:
-    """Bytes one put takes in the log: header, UTF-8 key, UTF-8 value."""
-    return (F.lit(RECORD_HEADER_BYTES) + F.octet_length(key) + F.octet_length(value)).cast("bigint")
-
-
 def decode_key(raw: Column) -> Column:
     """A key as it stands in a request path.
 
@@ -62,11 +52,6 @@ def decode_key(raw: Column) -> Column:
     return F.try_url_decode(trimmed)
 
 
-def json_object(columns: Sequence[str]) -> Column:
-    """The columns as one JSON object, in the given order."""
-    return F.to_json(F.struct(*columns))
-
-
 def json_string(text: Column) -> Column:
     """The text as a quoted, escaped JSON string."""
     one = F.to_json(F.array(text))

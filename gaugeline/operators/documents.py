@@ -22,13 +22,20 @@ def latest_documents(records: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -
     return last_per_key(with_document_id(records), ["doc_id"], order)
 
 
-def upsert(stored: DataFrame, incoming: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Incoming documents replace stored ones of the same id; the other stored ones stay.
+def replaced_by(records: DataFrame, newer: Column, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
+    """One document per id from stored and incoming records read together.
 
-    Both sides have one row per id, so no id can make a task large.
+    ``newer`` marks the incoming ones, of which the last replaces whatever is stored under its id;
+    other ids keep their last stored record. One ranking, and no join of the two sides.
     """
-    kept = stored.join(incoming.select(key), key, "left_anti")
-    return kept.unionByName(incoming)
+    marked = with_document_id(records).withColumn("_newer", newer)
+    return last_per_key(marked, ["doc_id"], ["_newer", *order]).drop("_newer")
+
+
+def upsert(stored: DataFrame, incoming: DataFrame, key: str = "doc_id") -> DataFrame:
+    """As :func:`replaced_by` for two tables with one row per id each."""
+    both = stored.withColumn("_newer", F.lit(0)).unionByName(incoming.withColumn("_newer", F.lit(1)))
+    return last_per_key(both, [key], ["_newer"]).drop("_newer")
 
 
 Check = tuple[Column, str]

@@ -10,16 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.scalars import RECORD_HEADER_BYTES, record_size
 from gaugeline.operators.ranking import last_per_key
 from gaugeline.operators.readings import flat_json
 
 POSITION = ["file_id", "offset"]
 
-# A list of requested keys up to this size is sent to every task.
-SHORT_LIST_KEYS = 100_000
-SHORT_LIST_BYTES = 8 * 1024 * 1024
-
 
 def puts_from_readings(readings: DataFrame) -> DataFrame:
     """Readings as puts: key is the station, value the flat JSON text. Other columns stay."""
@@ -40,14 +35,6 @@ def snapshot(log: DataFrame) -> DataFrame:
     return replay(log).select("key", "value")
 
 
-def scan_from(log: DataFrame, file_id: int, offset: int) -> DataFrame:
-    """The puts at or after a position. Both columns reach the file scan as filters."""
-    at_or_after = (F.col("file_id") > file_id) | (
-        (F.col("file_id") == file_id) & (F.col("offset") >= offset)
-    )
-    return log.where(at_or_after & (F.col("file_id") >= file_id))
-
-
 def get(log: DataFrame, key: str) -> DataFrame:
     """The row of one key, or none. The filter on the key goes below the ranking."""
     return snapshot(log.where(F.col("key") == key))
@@ -56,60 +43,8 @@ def get(log: DataFrame, key: str) -> DataFrame:
 def get_many(log: DataFrame, requests: DataFrame) -> DataFrame:
     """Every requested key with its value, NULL where there is none.
 
-    A short list of keys is sent to all tasks and picks the puts before they are ranked. A
-    long one is joined to the ranked log, which has shed the puts of busy keys by then.
+    The requests pick the puts before they are ranked; the optimizer sends a short list to
+    every task.
     """
     asked = requests.select("key")
-    keys = asked.distinct()
-    count, size = (
-        keys.limit(SHORT_LIST_KEYS + 1)
-        .agg(F.count("key"), F.coalesce(F.sum(F.octet_length("key")), F.lit(0)))
-        .first()
-    )
-    if count <= SHORT_LIST_KEYS and size <= SHORT_LIST_BYTES:
-        log = log.join(F.broadcast(keys), "key", "left_semi")
-    return asked.join(snapshot(log), "key", "left")
-
-
-def key_index(log: DataFrame) -> DataFrame:
-    """Where each key's newest put lies. The values themselves are not shuffled.
-
-    On a log table that stores ``value_size`` they are not read either.
-    """
-    sized = log
-    if "value_size" not in log.columns:
-        sized = log.withColumn("value_size", F.octet_length("value").cast("bigint"))
-    narrow = sized.select("key", *POSITION, "value_size", "ts_ms")
-    return last_per_key(narrow, ["key"], POSITION)
-
-
-def end_positions(log: DataFrame) -> DataFrame:
-    """Per file, the position just after its last put."""
-    end = F.col("offset") + RECORD_HEADER_BYTES + F.octet_length("key") + F.octet_length("value")
-    return log.groupBy("file_id").agg(F.max(end).cast("bigint").alias("end_position"))
-
-
-def log_size(log: DataFrame) -> DataFrame:
-    """Newest file and total bytes of the log."""
-    return log.agg(
-        F.max("file_id").alias("max_file_id"), F.sum(record_size()).alias("total_bytes")
-    )
-
-
-def live_in_closed_files(log: DataFrame, active: int | None = None) -> DataFrame:
-    """The puts of closed files that are still their key's newest put in the whole log.
-
-    ``active`` is the file still being written, the newest one unless given.
-    """
-    newest = F.lit(active) if active is not None else log.select(F.max("file_id")).scalar()
-    return replay(log).where(F.col("file_id") < newest)
-
-
-def compact(log: DataFrame) -> DataFrame:
-    """The log without dead puts in closed files. The active file is kept whole.
-
-    A live put is one that replay returns, so closed files shrink to replay's rows from
-    before the active file: one ranking, and no join of the log with its own index.
-    """
-    active_rows = log.where(F.col("file_id") == log.select(F.max("file_id")).scalar())
-    return live_in_closed_files(log).unionByName(active_rows)
+    return asked.join(snapshot(log.join(asked, "key", "left_semi")), "key", "left")

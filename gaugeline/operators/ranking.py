@@ -50,22 +50,56 @@ def dedup_within(
     keys: Sequence[str] = READING_KEY,
     arrival: str = "timestamp",
     order: Sequence[str] = ARRIVAL_ORDER,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
-    """Keep first arrivals, but forget an id after ``horizon`` seconds of arrival time.
+    """Keep an arrival if and only if no kept one of its id lies within ``horizon`` seconds before it.
 
-    Time is cut into cells of one horizon. Each id keeps its first arrival per cell, and that
-    one only if it comes at least a horizon after the id's previous such arrival. So two kept
-    copies are never closer than the horizon, and an id that comes back after a pause of two
-    horizons always passes. The cell step shrinks a busy id to one row per cell before the
-    shuffle; the comparison then sees at most one row per id and cell.
+    A suppressed copy does not prolong the suppression, and nothing is dropped for being late.
+    ``kept`` has arrivals kept before (the keys and ``arrived``, in seconds); one with a clock
+    ahead suppresses nothing before it. Arrivals without a time cannot be compared: the first of
+    an id is kept.
+
+    An id shrinks to one row per second in each task, and is cut at pauses of a horizon, where
+    nothing carries over. What is left of an id in one group is at most a row per second of
+    arrivals that follow each other without such a pause.
     """
-    seconds = F.unix_timestamp(arrival)
-    celled = readings.withColumn("_seconds", seconds).withColumn(
-        "_cell", F.expr(f"_seconds div {int(horizon)}")
+    names = readings.columns
+    firsts = first_per_key(
+        readings.withColumn("_second", F.unix_timestamp(arrival)), [*keys, "_second"], order
     )
-    firsts = first_per_key(celled, [*keys, "_cell"], order)
-    before = F.lag("_seconds").over(Window.partitionBy(*keys).orderBy("_cell"))
-    spaced = firsts.withColumn("_before", before).where(
-        F.col("_before").isNull() | (F.col("_seconds") - F.col("_before") >= horizon)
+    # At equal seconds an arrival kept before comes first.
+    rows = firsts.select(*keys, "_second", F.lit(1).alias("_new"), F.struct(*names).alias("_row"))
+    if kept is not None:
+        known = kept.select(*keys, F.col("arrived").alias("_second"), F.lit(0).alias("_new"))
+        rows = rows.unionByName(known.withColumn("_row", F.lit(None)))
+    of_id = Window.partitionBy(*keys).orderBy(F.col("_second").asc_nulls_first(), "_new")
+    pause = F.col("_second") - F.lag("_second").over(of_id) >= horizon
+    runs = rows.withColumn("_pause", F.coalesce(pause, F.lit(True)).cast("int"))
+    runs = runs.withColumn("_run", F.sum("_pause").over(of_id))
+    grouped = runs.groupBy(*keys, "_run").agg(
+        F.collect_list(F.struct("_second", "_new", "_row")).alias("_found")
     )
-    return spaced.drop("_seconds", "_cell", "_before")
+    steps = F.array_sort("_found", _by_time)
+
+    def step(state, found):
+        free = state["last"].isNull() | (found["_second"] - state["last"] >= horizon)
+        new = found["_new"] == 1
+        accepted = F.when(new & (free | found["_second"].isNull()), F.array(found["_row"]))
+        moved = F.when(~new | free, F.coalesce(found["_second"], state["last"])).otherwise(state["last"])
+        return F.struct(
+            moved.alias("last"), F.concat(state["rows"], F.coalesce(accepted, none)).alias("rows")
+        )
+
+    row_type = rows.schema["_row"].dataType.simpleString()
+    none = F.array().cast(f"array<{row_type}>")
+    start = F.struct(F.lit(None).cast("bigint").alias("last"), none.alias("rows"))
+    chosen = grouped.select(F.explode(F.aggregate(steps, start, step)["rows"]).alias("_row"))
+    return chosen.select(*[F.col(f"_row.`{c}`").alias(c) for c in names])
+
+
+def _by_time(a: Column, b: Column) -> Column:
+    """Earlier first, at equal seconds what was kept before."""
+    a_at, b_at = F.coalesce(a["_second"], F.lit(-(2**62))), F.coalesce(b["_second"], F.lit(-(2**62)))
+    later = (a_at > b_at) | ((a_at == b_at) & (a["_new"] > b["_new"]))
+    earlier = (a_at < b_at) | ((a_at == b_at) & (a["_new"] < b["_new"]))
+    return F.when(later, 1).when(earlier, -1).otherwise(0)

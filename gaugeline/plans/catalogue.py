@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.functions import scalars
 from gaugeline.operators import alerts, documents, latest, observations, readings
-from gaugeline.operators.ranking import dedup_first, dedup_within, last_per_key
+from gaugeline.operators.ranking import dedup_first, dedup_within, first_per_key, last_per_key
 from gaugeline.operators.sequence import sequence_numbers
 from gaugeline.plans import event_messages as source
 from gaugeline.plans.oracles import ALERT_JSON, FLAT_JSON, MESSAGES, NESTED_JSON, READING
-from gaugeline.schemas import ALERT_COLUMNS, KEY_VALUE, PUT_LOG, READING_COLUMNS
+from gaugeline.schemas import ALERT_COLUMNS, ARRIVAL_ORDER, READING_COLUMNS, READING_KEY
 from gaugeline.session import configure, scratch_dir
-from gaugeline.sinks import archive, export, log_table
+from gaugeline.sinks import archive, export
+from gaugeline.sinks.progress import counted
 from gaugeline.sources import messages as topics
 from gaugeline.sources import tables
 from gaugeline.streaming import fan_out, jobs
@@ -46,11 +48,19 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source.event_messages(topics.spread(source.read_events(spark, sf_dir)))
+    return source.event_messages(source.read_events(spark, sf_dir))
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return source.event_messages(source.stream_events(spark, sf_dir))
+def _in_batches(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land the events in three parts, by time; after each, resume the stream until it is drained."""
+    events, landing = source.read_events(spark, sf_dir), scratch_dir(spark, "landing")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    third = ((last or 0) - (first or 0)) // 3 + 1
+    for k in range(3):
+        at = (first or 0) + k * third
+        part = events.where((F.col("event_id") >= at) & (F.col("event_id") < at + third))
+        part.write.mode("append").parquet(landing)
+        run(source.event_messages(source.stream_events(spark, landing))).awaitTermination()
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,13 +90,6 @@ def _puts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _stored_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same log as a stored table, for queries that read it more than once."""
-    path = scratch_dir(spark, "puts")
-    _puts(spark, sf_dir).write.parquet(path)
-    return spark.read.schema(PUT_LOG).parquet(path)
-
-
 def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last accepted reading of every station."""
     newest = last_per_key(latest.puts_from_readings(_first(spark, sf_dir)), ["key"])
@@ -98,10 +101,7 @@ def _stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(MESSAGES + "SELECT key, value, arrival FROM msg")
 def src_messages(spark, sf_dir):
-    landing = scratch_dir(spark, "messages")
-    _messages(spark, sf_dir).write.parquet(landing)
-    landed = topics.landed_table(spark, landing)
-    return landed.select("key", "value", F.col("offset").alias("arrival"))
+    return _messages(spark, sf_dir).select("key", "value", F.col("offset").alias("arrival"))
 
 
 @query(MESSAGES + f"SELECT CAST(station_id AS VARCHAR) AS key, {NESTED_JSON} AS value FROM m")
@@ -159,12 +159,17 @@ def dlq_envelope(spark, sf_dir):
     + f"SELECT key, value FROM msg WHERE damage IN (0, 1, 4) UNION ALL SELECT * FROM ({_REJECTED})"
 )
 def dlq_all(spark, sf_dir):
-    landing = scratch_dir(spark, "dead-letters")
-    raw = readings.invalid_messages(_parsed(spark, sf_dir)).select("key", "value")
-    judged = _documents_with_outcome(spark, sf_dir)
-    turned_away = documents.rejection_envelopes(judged, READING_COLUMNS, scalars.message_id())
-    raw.unionByName(turned_away).write.parquet(landing)
-    return spark.read.schema(raw.schema).parquet(landing)
+    """One parse: first copies are judged, and a message that cannot be read is an id of its own."""
+    parsed = _parsed(spark, sf_dir)
+    own = {f"_own_{c}": F.when(~F.col("valid"), F.col(c)) for c in ARRIVAL_ORDER}
+    settled = first_per_key(parsed.withColumns(own), [*READING_KEY, *own])
+    judged = documents.with_outcome(settled, _index_checks())
+    envelope = F.to_json(F.struct("error", F.struct(*READING_COLUMNS).alias("record")))
+    wanted = judged.where(~F.col("valid") | F.col("error").isNotNull())
+    return wanted.select(
+        F.when(F.col("valid"), scalars.message_id()).otherwise(F.col("key")).alias("key"),
+        F.when(F.col("valid"), envelope).otherwise(F.col("value")).alias("value"),
+    )
 
 
 @query(
@@ -314,24 +319,6 @@ def json_escape(spark, sf_dir):
     return texts.select("doc_id", scalars.json_string(F.col("text")).alias("json"))
 
 
-@query(
-    """SELECT doc_id, octet_length(encode(CAST(doc_id AS VARCHAR))) AS key_size,
-    octet_length(encode(text)) AS value_size,
-    24 + octet_length(encode(CAST(doc_id AS VARCHAR))) + octet_length(encode(text)) AS record_size
-    FROM documents"""
-)
-def record_sizes(spark, sf_dir):
-    texts = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    key, value = F.col("doc_id").cast("string"), F.col("text")
-    puts = texts.select("doc_id", key.alias("key"), value.alias("value"))
-    return puts.select(
-        "doc_id",
-        F.octet_length("key").cast("bigint").alias("key_size"),
-        F.octet_length("value").cast("bigint").alias("value_size"),
-        scalars.record_size().alias("record_size"),
-    )
-
-
 # -- archive ----------------------------------------------------------------------------
 
 _DATED = f"""SELECT {READING},
@@ -377,19 +364,25 @@ def first_arrivals(spark, sf_dir):
     return _first(spark, sf_dir).select(F.col("offset").alias("arrival"), *READING_COLUMNS)
 
 
-@query(
-    MESSAGES
-    + f""", cells AS (
-      SELECT * FROM valid
-      QUALIFY row_number() OVER (PARTITION BY station_id, s_no, status_timestamp // {HORIZON}
-                                 ORDER BY arrival) = 1
-    ), spaced AS (
-      SELECT *, status_timestamp - lag(status_timestamp)
-                OVER (PARTITION BY station_id, s_no ORDER BY status_timestamp) AS gap
-      FROM cells)
-    SELECT arrival, {READING} FROM spaced WHERE gap IS NULL OR gap >= {HORIZON}""",
-    name="dedup_within",
-)
+def _kept(horizon: int) -> str:
+    """MESSAGES with ``kept``: arrivals with no kept one of their id within the horizon before."""
+    return (
+        MESSAGES.replace("WITH", "WITH RECURSIVE", 1)
+        + f""", times AS (
+      SELECT station_id, s_no, min(status_timestamp) AS t FROM valid GROUP BY 1, 2
+      UNION ALL
+      SELECT k.station_id, k.s_no, min(v.status_timestamp) FROM times k JOIN valid v
+        ON v.station_id = k.station_id AND v.s_no = k.s_no AND v.status_timestamp >= k.t + {horizon}
+      GROUP BY k.station_id, k.s_no, k.t
+    ), kept AS (
+      SELECT v.* FROM valid v JOIN times k
+        ON v.station_id = k.station_id AND v.s_no = k.s_no AND v.status_timestamp = k.t
+      QUALIFY row_number() OVER (PARTITION BY v.station_id, v.s_no, k.t ORDER BY arrival) = 1)
+    """
+    )
+
+
+@query(_kept(HORIZON) + f"SELECT arrival, {READING} FROM kept", name="dedup_within")
 def spaced_arrivals(spark, sf_dir):
     kept = dedup_within(_valid(spark, sf_dir), HORIZON)
     return kept.select(F.col("offset").alias("arrival"), *READING_COLUMNS)
@@ -460,8 +453,7 @@ def kv_count(spark, sf_dir):
 
 @query(MESSAGES + "SELECT key, value FROM newest WHERE key = '7-77'")
 def kv_get(spark, sf_dir):
-    log = _stored_puts(spark, sf_dir)
-    return latest.get(log, "7-77").unionByName(latest.get(log, "ghost"))
+    return latest.get(_puts(spark, sf_dir), "7-77")
 
 
 @query(
@@ -489,51 +481,6 @@ def kv_replay(spark, sf_dir):
     return _positioned(latest.replay(_puts(spark, sf_dir)))
 
 
-@query(
-    MESSAGES
-    + """SELECT key, file_id, offset_ AS arrival, octet_length(encode(value)) AS value_size, ts_ms
-    FROM newest"""
-)
-def kv_index(spark, sf_dir):
-    return _positioned(latest.key_index(_stored_puts(spark, sf_dir)))
-
-
-@query(
-    MESSAGES
-    + """SELECT file_id, CAST(max(offset_ + 24 + octet_length(encode(key))
-    + octet_length(encode(value))) AS BIGINT) AS end_position FROM puts GROUP BY 1"""
-)
-def kv_end_positions(spark, sf_dir):
-    return latest.end_positions(_puts(spark, sf_dir))
-
-
-@query(
-    MESSAGES
-    + """SELECT max(file_id) AS max_file_id, CAST(sum(24 + octet_length(encode(key))
-    + octet_length(encode(value))) AS BIGINT) AS total_bytes FROM puts"""
-)
-def kv_sizes(spark, sf_dir):
-    return latest.log_size(_puts(spark, sf_dir))
-
-
-@query(
-    MESSAGES
-    + f"""SELECT {_POSITIONED} FROM puts
-    WHERE file_id > 2 OR (file_id = 2 AND offset_ >= 2500)"""
-)
-def kv_scan_from(spark, sf_dir):
-    return _positioned(latest.scan_from(_puts(spark, sf_dir), 2, 2500))
-
-
-@query(
-    MESSAGES
-    + f"""SELECT {_POSITIONED} FROM newest WHERE file_id < (SELECT max(file_id) FROM puts)
-    UNION ALL SELECT {_POSITIONED} FROM puts WHERE file_id = (SELECT max(file_id) FROM puts)"""
-)
-def kv_compact(spark, sf_dir):
-    return _positioned(latest.compact(_stored_puts(spark, sf_dir)))
-
-
 @query("SELECT CAST(doc_id AS VARCHAR) AS key, text AS value FROM documents")
 def kv_csv(spark, sf_dir):
     path = scratch_dir(spark, "csv")
@@ -549,9 +496,27 @@ def kv_csv(spark, sf_dir):
     || '"', ',' ORDER BY key) || '}' AS json FROM stations"""
 )
 def kv_json(spark, sf_dir):
-    path = scratch_dir(spark, "snapshot")
-    _stations(spark, sf_dir).write.parquet(path)
-    return export.snapshot_json(spark.read.schema(KEY_VALUE).parquet(path))
+    return export.snapshot_json(_stations(spark, sf_dir))
+
+
+@query("SELECT 0 AS object_id, '{}' AS json")
+def kv_json_empty(spark, sf_dir):
+    return export.snapshot_json(_stations(spark, sf_dir).where(F.col("key") == "no station"))
+
+
+@query(
+    """SELECT event_id, 'k' AS key, '[' || event_id || ']' AS value FROM events UNION ALL
+    SELECT event_id, 'n', CASE WHEN event_id % 2 = 0 THEN NULL ELSE event_type END FROM events
+    UNION ALL SELECT event_id, 'o', replace(props, ' ', '') FROM events"""
+)
+def kv_json_repeated(spark, sf_dir):
+    """Objects with a repeated key, whose last value counts, a nested one and a null."""
+    text = F.expr(
+        """concat('{"k":"first","n":', IF(event_id % 2 = 0, 'null', concat('"', event_type, '"')),
+                  ',"o":', props, ',"k":[', event_id, ']}')"""
+    )
+    objects = source.read_events(spark, sf_dir).select("event_id", text.alias("json"))
+    return export.json_entries(objects, "json")
 
 
 @query("SELECT event_id, 'k' AS key, json_extract_string(props, '$.k') AS value FROM events")
@@ -571,24 +536,8 @@ def kv_json_explode(spark, sf_dir):
 def index_upsert(spark, sf_dir):
     """Older half indexed first, newer half upserted over it: the same as the last per id."""
     newer = F.col("timestamp") >= F.lit("2024-01-16").cast("timestamp")
-    everything = _valid(spark, sf_dir).withColumn("newer", newer)
-    fields = ["doc_id", *READING_COLUMNS]
-    stored = documents.latest_documents(everything.where(~F.col("newer"))).select(*fields)
-    incoming = documents.latest_documents(everything.where("newer")).select(*fields)
-    return documents.upsert(stored, incoming)
-
-
-@query(MESSAGES + "SELECT key, value FROM newest")
-def kv_log_table(spark, sf_dir):
-    """Two halves appended to a log table, the first compacted away, then read back."""
-    path = scratch_dir(spark, "log")
-    early = F.col("ts_ms") < 1705363200000
-    for file_id, half in enumerate([early, ~early]):
-        puts = _puts(spark, sf_dir).where(half)
-        newest = last_per_key(puts, ["key"], ["offset"]).select("key", "value", "offset")
-        log_table.append_batch(newest, path, file_id)
-    log_table.compact_log(spark, path, fan_out.LATEST_LOG, ["key"])
-    return log_table.read_latest(spark, path, fan_out.LATEST_LOG, ["key"]).select("key", "value")
+    found = documents.replaced_by(_valid(spark, sf_dir), newer)
+    return found.select("doc_id", *READING_COLUMNS)
 
 
 # -- streams ----------------------------------------------------------------------------
@@ -597,24 +546,19 @@ def kv_log_table(spark, sf_dir):
 @query(MESSAGES + f"SELECT key, {ALERT_JSON} AS value, arrival FROM raised")
 def stream_alerts(spark, sf_dir):
     path, checkpoint = scratch_dir(spark, "alerts"), scratch_dir(spark, "checkpoint")
-    jobs.alert_stream(_message_stream(spark, sf_dir), path, checkpoint).awaitTermination()
+    _in_batches(spark, sf_dir, lambda topic: jobs.alert_stream(topic, path, checkpoint))
     landed = topics.landed_table(spark, path)
     return landed.select("key", "value", F.col("offset").alias("arrival"))
 
 
-@query(MESSAGES + "SELECT DISTINCT station_id, s_no FROM valid")
-def stream_dedup(spark, sf_dir):
-    """Ids that pass the state store. The horizon spans the table, so each passes once."""
-    path, checkpoint = scratch_dir(spark, "archive"), scratch_dir(spark, "checkpoint")
-    messages = _message_stream(spark, sf_dir)
-    jobs.archive_stream(messages, path, checkpoint, horizon="60 days").awaitTermination()
-    return tables.read_archive(spark, path).select("station_id", "s_no")
-
-
 def _alert_fan_out(spark, sf_dir, sink):
     root, checkpoint = scratch_dir(spark, "alert-fan-out"), scratch_dir(spark, "checkpoint")
-    topic = alerts.alert_messages(_message_stream(spark, sf_dir))
-    fan_out.start_alert_fan_out(topic, root, checkpoint, [sink]).awaitTermination()
+
+    def run(topic):
+        raised = alerts.alert_messages(topic)
+        return fan_out.start_alert_fan_out(raised, root, checkpoint, [sink])
+
+    _in_batches(spark, sf_dir, run)
     return root
 
 
@@ -637,35 +581,95 @@ def stream_observations(spark, sf_dir):
     return observed.observation_messages(spark, root)
 
 
-def _fan_out(spark, sf_dir, *sinks, checks=()):
+def _fan_out(spark, sf_dir, *sinks, checks=(), horizon=fan_out.HORIZON_SECONDS):
     root, checkpoint = scratch_dir(spark, "fan-out"), scratch_dir(spark, "checkpoint")
-    messages = _message_stream(spark, sf_dir)
-    fan_out.start_fan_out(
-        messages, root, checkpoint, sinks, horizon=None, checks=checks
-    ).awaitTermination()
+
+    def run(topic):
+        return fan_out.start_fan_out(topic, root, checkpoint, sinks, horizon, checks)
+
+    _in_batches(spark, sf_dir, run)
     return root
 
 
-@query(MESSAGES + _DATED)
+_STREAMED = _kept(fan_out.HORIZON_SECONDS)
+_DATED_KEPT = _DATED.replace("FROM first", "FROM kept")
+
+
+@query(_kept(HORIZON) + _DATED_KEPT)
+def stream_dedup(spark, sf_dir):
+    """A horizon that ends within the table: ids are suppressed, and pass again."""
+    root = _fan_out(spark, sf_dir, fan_out.ARCHIVE, horizon=HORIZON)
+    return tables.read_archive(spark, f"{root}/{fan_out.ARCHIVE}")
+
+
+@query(_STREAMED + _DATED_KEPT)
 def stream_archive(spark, sf_dir):
     root = _fan_out(spark, sf_dir, fan_out.ARCHIVE)
     return tables.read_archive(spark, f"{root}/{fan_out.ARCHIVE}")
 
 
-@query(MESSAGES + "SELECT key, value FROM stations")
+@query(
+    _STREAMED
+    + f"""SELECT CAST(station_id AS VARCHAR) AS key, {FLAT_JSON} AS value FROM kept
+    QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY arrival DESC) = 1"""
+)
 def stream_latest(spark, sf_dir):
     return fan_out.latest_values(spark, _fan_out(spark, sf_dir, fan_out.LATEST))
 
 
-@query(MESSAGES + f"SELECT station_id || '-' || s_no AS doc_id, {READING} FROM first")
+@query(
+    _STREAMED
+    + f"""SELECT station_id || '-' || s_no AS doc_id, {READING} FROM kept
+    QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival DESC) = 1"""
+)
 def stream_index(spark, sf_dir):
     return fan_out.indexed_documents(spark, _fan_out(spark, sf_dir, fan_out.DOCUMENTS))
 
 
+# A batch indexes the last reading of an id, of which all that were kept have been judged.
 @query(
-    MESSAGES
-    + f"SELECT key, value FROM msg WHERE damage IN (0, 1, 4) UNION ALL SELECT * FROM ({_REJECTED})"
+    _STREAMED
+    + "SELECT key, value FROM msg WHERE damage IN (0, 1, 4) UNION ALL SELECT * FROM ("
+    + _REJECTED.replace("FROM first", "FROM kept")
+    + ")"
 )
 def stream_dead_letters(spark, sf_dir):
     root = _fan_out(spark, sf_dir, fan_out.DEAD_LETTERS, fan_out.DOCUMENTS, checks=_index_checks())
     return fan_out.dead_letters(spark, root).select("key", "value")
+
+
+# -- values that depend on the clock, as checks of it -------------------------------------
+
+
+@query("SELECT true AS today, true AS seconds, true AS millis, count(*) AS events FROM events")
+def clock(spark, sf_dir):
+    """The processing date and the time in seconds and milliseconds agree with one another."""
+    events = source.read_events(spark, sf_dir).select(
+        F.current_date().alias("day"),
+        scalars.epoch_seconds_now().alias("seconds"),
+        scalars.epoch_millis_now().alias("millis"),
+    )
+    day = F.to_date(F.timestamp_seconds("seconds"))
+    return events.agg(
+        F.every(F.col("day") == day).alias("today"),
+        F.every(F.col("seconds") > 1_700_000_000).alias("seconds"),
+        F.every(F.floor(F.col("millis") / 1000) == F.col("seconds")).alias("millis"),
+        F.count("*").alias("events"),
+    )
+
+
+@query(MESSAGES + f"SELECT {_ALERT}, true AS dated FROM raised")
+def alert_processing_date(spark, sf_dir):
+    """Alerts archived under the day they are processed on."""
+    path = scratch_dir(spark, "alerts-today")
+    archive.write_archive(archive.dated_alerts(alerts.alert_records(_parsed_alerts(spark, sf_dir))), path)
+    near = F.abs(F.datediff(F.current_date(), "date")) <= 1
+    return tables.read_alert_archive(spark, path).withColumn("dated", near).drop("date")
+
+
+@query(MESSAGES + "SELECT count(*) AS indexed FROM valid")
+def progress_count(spark, sf_dir):
+    """The rows counted on their way to a sink."""
+    seen = Observation("indexed")
+    counted(_valid(spark, sf_dir), seen).write.format("noop").mode("overwrite").save()
+    return spark.range(1).select(F.lit(seen.get["rows"]).cast("bigint").alias("indexed"))

@@ -35,9 +35,8 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A glob takes the table whether it is one file or a directory of them.
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/event[s].parquet")
+def stream_events(spark: SparkSession, landing: str) -> DataFrame:
+    return spark.readStream.schema(EVENTS).parquet(landing)
 
 
 def event_readings(events: DataFrame) -> DataFrame:

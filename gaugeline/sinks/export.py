@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 
 from gaugeline.functions.scalars import json_string
 
-# Text of one JSON object at most, roughly; a larger snapshot becomes several objects.
-JSON_OBJECT_BYTES = 32 * 1024 * 1024
-
 
 def export_csv(snapshot: DataFrame, path: str, line_end: str = "\n") -> None:
     """Write ``key,value`` files. A small snapshot is one file, a large one several.
@@ -33,30 +30,30 @@ def export_csv(snapshot: DataFrame, path: str, line_end: str = "\n") -> None:
     )
 
 
-def snapshot_json(snapshot: DataFrame, object_bytes: int = JSON_OBJECT_BYTES) -> DataFrame:
-    """The snapshot as JSON objects: one when it fits ``object_bytes``, else several.
+def snapshot_json(snapshot: DataFrame, objects: int = 1) -> DataFrame:
+    """The snapshot as ``objects`` JSON objects, always that many: ``{}`` where no key falls.
 
-    Keys are unique, so spreading them by hash bounds every object, and the objects together
-    hold every key once. The size is measured first, as one row.
+    Keys are unique and spread by hash, so the objects together hold every key once. An object
+    is made in one task; ask for as many as make one fit.
     """
-    length = F.octet_length("key") + F.octet_length("value")
-    total = snapshot.agg(F.sum(length.cast("bigint"))).first()[0] or 0
-    objects = total // object_bytes + 1
     member = F.concat(json_string(F.col("key")), F.lit(":"), json_string(F.col("value")))
     members = snapshot.select(
         F.pmod(F.xxhash64("key"), F.lit(objects)).cast("int").alias("object_id"),
         F.struct(F.col("key"), member.alias("member")).alias("entry"),
     )
     ordered = F.sort_array(F.collect_list("entry"))["member"]
-    body = F.concat(F.lit("{"), F.concat_ws(",", ordered), F.lit("}"))
-    return members.groupBy("object_id").agg(body.alias("json"))
+    bodies = members.groupBy("object_id").agg(F.concat_ws(",", ordered).alias("body"))
+    every = snapshot.sparkSession.range(objects).select(F.col("id").cast("int").alias("object_id"))
+    body = F.concat(F.lit("{"), F.coalesce("body", F.lit("")), F.lit("}"))
+    return every.join(bodies, "object_id", "left").select("object_id", body.alias("json"))
 
 
 def json_entries(objects: DataFrame, column: str) -> DataFrame:
-    """The members of JSON objects as key/value rows. Other columns stay."""
+    """The members of JSON objects as key/value rows, the last of a repeated key. Other columns stay."""
     as_map = F.from_json(column, T.MapType(T.StringType(), T.StringType()))
+    # A parsed map holds repeated keys; building it again keeps the last (see session settings).
     kept = [c for c in objects.columns if c != column]
-    return objects.select(*kept, F.explode(as_map))
+    return objects.select(*kept, F.explode(F.map_from_entries(F.map_entries(as_map))))
 
 
 def publish_table(messages: DataFrame, servers: str, topic: str) -> None:

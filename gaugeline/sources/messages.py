@@ -65,15 +65,5 @@ def landed_stream(
     return reader.parquet(path)
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Use every core on a table of fewer partitions, such as one unsplittable file.
-
-    Parsing costs far more than moving the text once. A table with enough partitions, as any
-    large one has, is left as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def landed_table(spark: SparkSession, path: str, schema: T.StructType = MESSAGE) -> DataFrame:
     return spark.read.schema(schema).parquet(path)

@@ -17,8 +17,8 @@ from gaugeline.schemas import (
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Archived readings.
 
-    The schema is always given: left to itself, Spark types the station in the path as INT.
-    Filters on station_id and date pick directories; the rest reach the file scan.
+    Filters on the date pick directories; the rest reach the file scan, where files sorted by
+    station skip most rows of others.
     """
     table = spark.read.schema(READING_ARCHIVE).parquet(path)
     return table.select(*READING_COLUMNS, "date")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeline.operators.alerts import alert_records, parse_alerts, unreadable_alerts
 from gaugeline.functions.scalars import message_id
+from gaugeline.operators.alerts import alert_records, parse_alerts, unreadable_alerts
 from gaugeline.operators.documents import (
     Check,
     accepted_documents,
@@ -31,21 +31,15 @@ from gaugeline.schemas import (
     ALERT_DOCUMENT,
     ARRIVAL_ORDER,
     DEAD_LETTER,
+    INT,
     KEY_VALUE,
     LONG,
     READING_COLUMNS,
     READING_DOCUMENT,
     READING_KEY,
 )
-from gaugeline.sinks.archive import LAYOUT, dated_readings, spread_by_layout
-from gaugeline.sinks.log_table import (
-    append_batch,
-    compact_log,
-    read_latest,
-    read_log,
-    remove_superseded,
-)
-from gaugeline.sinks.paths import exists, numbered_children, remove
+from gaugeline.sinks.archive import DIRECTORIES, dated_readings, spread_by_layout
+from gaugeline.sinks.batches import BATCH, read_batch, read_batches, write_batch
 from gaugeline.streaming.jobs import start
 
 ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS = "archive", "documents", "latest", "dead_letters"
@@ -53,82 +47,72 @@ ALL_SINKS = (ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS)
 ALERT_SINKS = (ARCHIVE, DOCUMENTS)
 REJECTED, SEEN = "rejected", "seen"
 
+# How long an id is remembered: what 100,000 ids amount to at 45 readings a second.
 HORIZON_SECONDS = 40 * 60
 
+POSITION = [T.StructField("partition", INT), T.StructField("offset", LONG)]
+BATCH_FIELD = T.StructField(BATCH, LONG)
+NEWEST = [BATCH, *ARRIVAL_ORDER]
 
-def _longs(*names: str) -> list[T.StructField]:
-    return [T.StructField(name, LONG) for name in names]
+LATEST_TABLE = T.StructType([*KEY_VALUE.fields, *POSITION, BATCH_FIELD])
+READING_TABLE = T.StructType([*READING_DOCUMENT.fields, *POSITION, BATCH_FIELD])
+ALERT_TABLE = T.StructType([*ALERT_DOCUMENT.fields, *POSITION, BATCH_FIELD])
+DEAD_LETTER_TABLE = T.StructType([*DEAD_LETTER.fields, T.StructField("offset", LONG)])
+SEEN_IDS = T.StructType([T.StructField(name, LONG) for name in [*READING_KEY, "arrived"]])
 
 
-LATEST_LOG = T.StructType(KEY_VALUE.fields + _longs("offset", "file_id"))
-DOCUMENT_LOG = T.StructType(READING_DOCUMENT.fields + _longs("offset", "file_id"))
-ALERT_LOG = T.StructType(ALERT_DOCUMENT.fields + _longs("offset", "file_id"))
-DEAD_LETTER_LOG = T.StructType(DEAD_LETTER.fields + _longs("offset", "file_id"))
-SEEN_IDS = T.StructType(_longs(*READING_KEY, "arrived", "until", "batch_id"))
+def _remembered(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The ids the batch before left. Each batch writes all that are still within the horizon."""
+    if batch_id == 0:
+        return spark.createDataFrame([], SEEN_IDS)
+    return read_batch(spark, f"{root}/{SEEN}", batch_id - 1, SEEN_IDS)
 
 
-def _unseen(
-    first: DataFrame, path: str, batch_id: int, oldest: int, horizon: int | None
-) -> DataFrame:
-    """Rows whose id was not accepted by an earlier batch within the horizon."""
-    spark = first.sparkSession
-    if not exists(spark, path):
-        return first
-    seen = spark.read.schema(SEEN_IDS).parquet(path).where(F.col("batch_id") < batch_id)
-    same_id = [first[name] == seen[name] for name in READING_KEY]
-    if horizon is not None:
-        # The first filter picks directories; the second judges each pair.
-        seen = seen.where(F.col("until") >= oldest - horizon)
-        same_id.append(seen["arrived"] > F.unix_timestamp(first["timestamp"]) - horizon)
-    return first.join(seen, same_id, "left_anti")
-
+def _remember(
+    accepted: DataFrame, known: DataFrame, root: str, batch_id: int, horizon: int
+) -> None:
+    """Write the ids the next batch needs, and empty the directory no batch will read again.
 
-def forget_ids(spark: SparkSession, root: str, before: int) -> None:
-    """Drop the ids of batches that ended before an epoch second."""
-    for until in numbered_children(spark, f"{root}/{SEEN}", "until"):
-        if until < before:
-            remove(spark, f"{root}/{SEEN}/until={until}")
+    An id is forgotten once the median arrival of a batch is two horizons past it, so one clock
+    ahead makes no other id forgotten, and a message late by less than a horizon is still compared.
+    """
+    now = accepted.agg(F.percentile_approx(F.unix_timestamp("timestamp"), 0.5).alias("now"))
+    new = accepted.select(*READING_KEY, F.unix_timestamp("timestamp").alias("arrived"))
+    every = known.unionByName(new).where(F.col("arrived").isNotNull())
+    oldest = F.coalesce(now.scalar() - 2 * horizon, F.lit(-(2**62)))
+    write_batch(every.where(F.col("arrived") >= oldest), f"{root}/{SEEN}", batch_id)
+    if batch_id >= 2:
+        empty = accepted.sparkSession.createDataFrame([], SEEN_IDS)
+        write_batch(empty.coalesce(1), f"{root}/{SEEN}", batch_id - 2)
 
 
 def _write_archive(dated: DataFrame, path: str, batch_id: int) -> None:
-    """Replace only the directories of this batch; a replay hits the same ones."""
-    (
-        spread_by_layout(dated)
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .partitionBy(*LAYOUT, "batch_id")
-        .parquet(path)
-    )
+    write_batch(spread_by_layout(dated), path, batch_id, DIRECTORIES)
 
 
 def _write_documents(records: DataFrame, schema: T.StructType, path: str, batch_id: int) -> None:
-    documents = latest_documents(records).select(*schema.fieldNames(), "offset")
-    append_batch(documents, path, batch_id)
+    documents = latest_documents(records).select(*schema.fieldNames(), *ARRIVAL_ORDER)
+    write_batch(documents, path, batch_id)
 
 
 def _write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
-    append_batch(letters.select("key", "value", "offset"), path, batch_id)
+    write_batch(letters.select("key", "value", "offset"), path, batch_id)
 
 
-def _settled(parsed: DataFrame, with_invalid: bool, horizon: int | None) -> DataFrame:
+def _settled(parsed: DataFrame, with_invalid: bool) -> DataFrame:
     """The rows of a batch that any sink may want, from one parse and one shuffle.
 
-    These are the first copies of each id, per second of arrival where ids are forgotten, and
+    These are the first copies of each id per second of arrival, and
     if wanted every invalid message, which counts as an id of its own. Raw text stays on
     invalid rows only. A busy id is small from here on, and so is what is held for the sinks.
     """
-    added = {}
-    if horizon is not None:
-        added["_moment"] = F.unix_timestamp("timestamp")
+    added = {"_moment": F.unix_timestamp("timestamp")}
     if with_invalid:
         added |= {f"_own_{c}": F.when(~F.col("valid"), F.col(c)) for c in ARRIVAL_ORDER}
         parsed = parsed.withColumn("value", F.when(~F.col("valid"), F.col("value")))
     else:
         parsed = parsed.where("valid")
-    keyed = parsed.withColumns(added) if added else parsed
-    return first_per_key(keyed, [*READING_KEY, *added]).drop(*added)
+    return first_per_key(parsed.withColumns(added), [*READING_KEY, *added]).drop(*added)
 
 
 def _write_new_readings(
@@ -136,22 +120,11 @@ def _write_new_readings(
     batch_id: int,
     root: str,
     sinks: Collection[str],
-    horizon: int | None,
+    horizon: int,
     checks: Sequence[Check],
 ) -> None:
-    spark = first.sparkSession
-    arrived = F.unix_timestamp("timestamp")
-    rows, oldest, until = first.agg(
-        F.count(F.lit(1)),
-        F.coalesce(F.min(arrived), F.lit(0)),
-        F.coalesce(F.max(arrived), F.lit(0)),
-    ).first()
-    if rows == 0:
-        return
-    accepted = _unseen(first, f"{root}/{SEEN}", batch_id, oldest, horizon)
-    if horizon is not None:
-        accepted = dedup_within(accepted, horizon)
-    accepted = accepted.persist()
+    known = _remembered(first.sparkSession, root, batch_id)
+    accepted = dedup_within(first, horizon, kept=known).persist()
     try:
         if ARCHIVE in sinks:
             _write_archive(dated_readings(accepted), f"{root}/{ARCHIVE}", batch_id)
@@ -164,11 +137,8 @@ def _write_new_readings(
                 _write_dead_letters(refused, f"{root}/{REJECTED}", batch_id)
         if LATEST in sinks:
             newest = last_per_key(puts_from_readings(accepted), ["key"])
-            append_batch(newest.select("key", "value", "offset"), f"{root}/{LATEST}", batch_id)
-        ids = accepted.select(*READING_KEY, arrived.alias("arrived"))
-        ids.write.mode("overwrite").parquet(f"{root}/{SEEN}/until={until}/batch_id={batch_id}")
-        if horizon is not None:
-            forget_ids(spark, root, oldest - 2 * horizon)
+            write_batch(newest.select("key", "value", *ARRIVAL_ORDER), f"{root}/{LATEST}", batch_id)
+        _remember(accepted, known, root, batch_id, horizon)
     finally:
         accepted.unpersist()
 
@@ -178,13 +148,14 @@ def process_batch(
     batch_id: int,
     root: str,
     sinks: Collection[str] = ALL_SINKS,
-    horizon: int | None = HORIZON_SECONDS,
+    horizon: int = HORIZON_SECONDS,
     checks: Sequence[Check] = (),
 ) -> None:
     """Parse one micro-batch, keep new readings and write the wanted sinks.
 
     A document that fails one of the ``checks`` is not indexed but becomes a dead letter with
-    the reason; it stays in the other sinks.
+    the reason; it stays in the other sinks. Batches are numbered from 0 without gaps, as a
+    checkpoint numbers them.
     """
     parsed = parse_readings(messages)
     letters = f"{root}/{DEAD_LETTERS}"
@@ -192,7 +163,7 @@ def process_batch(
         _write_dead_letters(invalid_messages(parsed), letters, batch_id)
         return
     wants_letters = DEAD_LETTERS in sinks
-    settled = _settled(parsed, wants_letters, horizon).persist()
+    settled = _settled(parsed, wants_letters).persist()
     try:
         if wants_letters:
             _write_dead_letters(invalid_messages(settled), letters, batch_id)
@@ -207,14 +178,15 @@ def start_fan_out(
     root: str,
     checkpoint: str,
     sinks: Collection[str] = ALL_SINKS,
-    horizon: int | None = HORIZON_SECONDS,
+    horizon: int = HORIZON_SECONDS,
     checks: Sequence[Check] = (),
     every: str | None = None,
 ) -> StreamingQuery:
     """Run :func:`process_batch` on every micro-batch of a message stream.
 
-    An id is remembered for ``horizon`` seconds of arrival time, or for good when None. That
-    holds within a micro-batch as well, so a long backlog may be drained in one.
+    A reading is kept if no kept one of its id arrived within ``horizon`` seconds before it,
+    in its own batch or an earlier one. That is told by the arrival times alone: nothing waits for
+    a watermark, and nothing is dropped for being late.
     """
     step = partial(process_batch, root=root, sinks=tuple(sinks), horizon=horizon, checks=checks)
     return start(messages.writeStream.foreachBatch(step), checkpoint, every)
@@ -258,33 +230,25 @@ def start_alert_fan_out(
     return start(dated.writeStream.foreachBatch(step), checkpoint, every)
 
 
-def compact_tables(spark: SparkSession, root: str, remove_old: bool = False) -> None:
-    """Compact the latest-value and document tables. Run it on a schedule or on demand.
-
-    With ``remove_old`` the replaced directories go at once, which is safe only while nobody
-    reads a view opened earlier.
-    """
-    for name, schema, key in [(LATEST, LATEST_LOG, "key"), (DOCUMENTS, DOCUMENT_LOG, "doc_id")]:
-        compact_log(spark, f"{root}/{name}", schema, [key])
-        if remove_old:
-            remove_superseded(spark, f"{root}/{name}")
+def latest_values(spark: SparkSession, root: str) -> DataFrame:
+    table = read_batches(spark, f"{root}/{LATEST}", LATEST_TABLE)
+    return last_per_key(table, ["key"], NEWEST).select("key", "value")
 
 
-def latest_values(spark: SparkSession, root: str) -> DataFrame:
-    return read_latest(spark, f"{root}/{LATEST}", LATEST_LOG, ["key"]).select("key", "value")
+def _indexed(spark: SparkSession, root: str, table: T.StructType, document: T.StructType) -> DataFrame:
+    rows = read_batches(spark, f"{root}/{DOCUMENTS}", table)
+    return last_per_key(rows, ["doc_id"], NEWEST).select(*document.fieldNames())
 
 
 def indexed_documents(spark: SparkSession, root: str) -> DataFrame:
-    table = read_latest(spark, f"{root}/{DOCUMENTS}", DOCUMENT_LOG, ["doc_id"])
-    return table.select(*READING_DOCUMENT.fieldNames())
+    return _indexed(spark, root, READING_TABLE, READING_DOCUMENT)
 
 
 def indexed_alerts(spark: SparkSession, root: str) -> DataFrame:
-    table = read_latest(spark, f"{root}/{DOCUMENTS}", ALERT_LOG, ["doc_id"])
-    return table.select(*ALERT_DOCUMENT.fieldNames())
+    return _indexed(spark, root, ALERT_TABLE, ALERT_DOCUMENT)
 
 
 def dead_letters(spark: SparkSession, root: str) -> DataFrame:
     """Messages that could not be read, and documents the index refused."""
-    unread = read_log(spark, f"{root}/{DEAD_LETTERS}", DEAD_LETTER_LOG)
-    return unread.unionByName(read_log(spark, f"{root}/{REJECTED}", DEAD_LETTER_LOG))
+    unread = read_batches(spark, f"{root}/{DEAD_LETTERS}", DEAD_LETTER_TABLE)
+    return unread.unionByName(read_batches(spark, f"{root}/{REJECTED}", DEAD_LETTER_TABLE))

@@ -2,22 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from gaugeline.operators.alerts import HUMIDITY_THRESHOLD, rain_alerts, to_alert_messages
-from gaugeline.operators.readings import parse_readings, valid_readings
-from gaugeline.schemas import READING_KEY
-from gaugeline.sinks.archive import LAYOUT, dated_readings
-
-# How long an id is remembered: what 100,000 ids amount to at 45 readings a second.
-DEDUP_HORIZON = "40 minutes"
-
-# Pieces a busy id, or a busy directory of the archive, is cut into within a micro-batch.
-PIECES = 8
 
 
 def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -26,73 +14,18 @@ def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def dedup_stream(
-    readings: DataFrame,
-    keys: Sequence[str] = READING_KEY,
-    arrival: str = "timestamp",
-    horizon: str = DEDUP_HORIZON,
-    pieces: int = PIECES,
-) -> DataFrame:
-    """Drop repeated ids on a stream, in a state store that forgets after the horizon.
-
-    The clock is the arrival time: on event time a watermark would also drop late readings,
-    which are kept here. Of copies inside one micro-batch any may survive; where copies can
-    differ use :func:`gaugeline.streaming.fan_out.start_fan_out`, which keeps the first.
-
-    Ids are first compared within ``pieces`` slices of the topic and then across them, so
-    that an id sent over and over does not land in one task. This doubles the state; with
-    ``pieces=1`` there is one step. Keep the number while a checkpoint is in use.
-    """
-    marked = readings.withWatermark(arrival, horizon)
-    if pieces > 1:
-        sliced = marked.withColumn("_slice", F.pmod(F.xxhash64("offset"), F.lit(pieces)))
-        marked = sliced.dropDuplicatesWithinWatermark([*keys, "_slice"]).drop("_slice")
-    return marked.dropDuplicatesWithinWatermark(list(keys))
-
-
 def alert_stream(
     messages: DataFrame,
     path: str,
     checkpoint: str,
     threshold: int = HUMIDITY_THRESHOLD,
-    once_within: str | None = None,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Raw messages to alert messages. Reads the raw topic: repeats raise alerts again.
-
-    With ``once_within``, an id that raised an alert raises no other for that long.
-    """
-    raised = rain_alerts(messages, threshold)
-    if once_within is not None:
-        raised = dedup_stream(raised, horizon=once_within)
-    alerts = to_alert_messages(raised)
+    """Raw messages to alert messages. Reads the raw topic: repeats raise alerts again."""
+    alerts = to_alert_messages(rain_alerts(messages, threshold))
     return start(alerts.writeStream.format("parquet").option("path", path), checkpoint, every)
 
 
-def archive_stream(
-    messages: DataFrame,
-    path: str,
-    checkpoint: str,
-    horizon: str = DEDUP_HORIZON,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Raw messages to the partitioned archive, repeats removed in the state store.
-
-    Rows of one directory are brought together first, or every task would leave a file in
-    every directory. A busy directory is cut into pieces by sequence number.
-    """
-    readings = dedup_stream(valid_readings(parse_readings(messages)), horizon=horizon)
-    dated = dated_readings(readings)
-    together = dated.repartition(*LAYOUT, F.pmod(F.xxhash64("s_no"), F.lit(PIECES)))
-    writer = (
-        together.writeStream.format("parquet")
-        .option("path", path)
-        .option("compression", "snappy")
-        .partitionBy(*LAYOUT)
-    )
-    return start(writer, checkpoint, every)
-
-
 def console_stream(
     dead_letters: DataFrame, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:

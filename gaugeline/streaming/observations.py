@@ -12,34 +12,33 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline.operators.observations import normalize_observations
 from gaugeline.operators.readings import to_messages
 from gaugeline.schemas import KEY_VALUE, LONG
-from gaugeline.sinks.log_table import FILE, append_batch, read_log
-from gaugeline.sinks.paths import committed_children, remove
+from gaugeline.sinks.batches import read_batch, read_batches, write_batch
 from gaugeline.streaming.jobs import start
 
 MESSAGES, TOTALS = "messages", "totals"
 
 TOTAL = T.StructType([T.StructField("payloads", LONG)])
-MESSAGE_LOG = T.StructType([*KEY_VALUE.fields, T.StructField("file_id", LONG)])
 
 
 def _earlier_payloads(spark: SparkSession, path: str, batch_id: int) -> int:
-    """Payloads seen before this batch. Older totals than the one in use are dropped."""
-    before = [n for n in committed_children(spark, path, FILE) if n < batch_id]
-    if not before:
+    """Payloads of all batches before this one, as the last of them left it: one row."""
+    if batch_id == 0:
         return 0
-    for n in before[:-1]:
-        remove(spark, f"{path}/{FILE}={n}")
-    return spark.read.schema(TOTAL).parquet(f"{path}/{FILE}={before[-1]}").first()["payloads"]
+    return read_batch(spark, path, batch_id - 1, TOTAL).first()["payloads"]
 
 
 def process_observations(payloads: DataFrame, batch_id: int, root: str) -> None:
     """Turn one micro-batch into messages, numbered on from the batches before it."""
     totals = f"{root}/{TOTALS}"
     earlier = _earlier_payloads(payloads.sparkSession, totals, batch_id)
-    messages = to_messages(normalize_observations(payloads, earlier))
-    append_batch(messages, f"{root}/{MESSAGES}", batch_id)
-    upto_here = payloads.agg((F.count(F.lit(1)) + F.lit(earlier)).alias("payloads"))
-    append_batch(upto_here, totals, batch_id)
+    held = payloads.persist()
+    try:
+        messages = to_messages(normalize_observations(held, earlier))
+        write_batch(messages, f"{root}/{MESSAGES}", batch_id)
+        upto_here = held.agg((F.count(F.lit(1)) + F.lit(earlier)).alias("payloads"))
+        write_batch(upto_here, totals, batch_id)
+    finally:
+        held.unpersist()
 
 
 def start_observations(
@@ -50,4 +49,4 @@ def start_observations(
 
 
 def observation_messages(spark: SparkSession, root: str) -> DataFrame:
-    return read_log(spark, f"{root}/{MESSAGES}", MESSAGE_LOG).select("key", "value")
+    return read_batches(spark, f"{root}/{MESSAGES}", KEY_VALUE)

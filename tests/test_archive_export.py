@@ -30,8 +30,9 @@ def archived(spark, at):
 
 
 def test_layout_and_types(spark, archived):
-    found = glob.glob(f"{archived}/station_id=*/date=*/*.snappy.parquet")
-    assert {p.split("/")[-3] for p in found} == {"station_id=1", "station_id=10"}
+    found = glob.glob(f"{archived}/date=*/*.snappy.parquet")
+    assert {p.split("/")[-2] for p in found} == {f"date=2024-01-0{d}" for d in (1, 2, 3)}
+    assert len(found) == 3
     table = tables.read_archive(spark, archived)
     assert table.columns == [*READING_COLUMNS, "date"]
     assert dict(table.dtypes)["station_id"] == "bigint"
@@ -46,9 +47,9 @@ def test_filters_reach_the_scan(spark, archived):
         .select("s_no", "humidity")
     )
     scan = next(l for l in shown.splitlines() if "FileScan" in l)
-    assert "station_id" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
-    assert "GreaterThan(s_no,3)" in scan
-    assert scan.split("ReadSchema:")[1].strip() == "struct<s_no:bigint,humidity:int>"
+    assert "date" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert "GreaterThan(s_no,3)" in scan and "EqualTo(station_id,10)" in scan
+    assert scan.split("ReadSchema:")[1].strip() == "struct<station_id:bigint,s_no:bigint,humidity:int>"
 
 
 def test_appending_and_late_readings(spark, archived):
@@ -73,7 +74,7 @@ def test_busy_directory_is_split(spark, at):
         archive.write_archive(archive.dated_readings(bodies), at("busy"))
     finally:
         spark.conf.unset(setting)
-    assert len(glob.glob(at("busy") + "/station_id=1/date=2024-01-01/*.parquet")) > 1
+    assert len(glob.glob(at("busy") + "/date=2024-01-01/*.parquet")) > 1
     assert tables.read_archive(spark, at("busy")).count() == 200_000
 
 
@@ -85,7 +86,7 @@ def test_alerts_are_dated_by_processing(spark, at):
     assert tables.read_alert_archive(spark, at("today")).first()["date"] == today
     given = archive.dated_alerts(records, F.lit("2030-05-06").cast("date"))
     archive.write_archive(given, at("given"))
-    assert glob.glob(at("given") + "/station_id=2/date=2030-05-06/*.parquet")
+    assert glob.glob(at("given") + "/date=2030-05-06/*.parquet")
 
 
 AWKWARD = {
@@ -129,25 +130,34 @@ def test_reads_foreign_csv(spark, at):
     assert tables.read_snapshot_csv(spark, at("empty.csv")).count() == 0
 
 
-def test_snapshot_as_one_or_several_objects(spark):
+def test_snapshot_as_as_many_objects_as_asked_for(spark):
     snapshot = spark.createDataFrame(list(AWKWARD.items()), "key string, value string")
     one = export.snapshot_json(snapshot).collect()
     assert len(one) == 1 and json.loads(one[0]["json"]) == AWKWARD
-    several = export.snapshot_json(snapshot, object_bytes=20)
+    several = export.snapshot_json(snapshot, objects=20)
     parts = [json.loads(r["json"]) for r in several.collect()]
-    assert len(parts) > 1
+    assert len(parts) == 20 and {} in parts
     assert sum(map(len, parts)) == len(AWKWARD)
     assert {k: v for p in parts for k, v in p.items()} == AWKWARD
     assert as_dict(export.json_entries(several.drop("object_id"), "json")) == AWKWARD
 
 
-def test_empty_snapshot(spark, at):
+@pytest.mark.parametrize("objects", [1, 3])
+def test_empty_snapshot(spark, at, objects):
     nothing = spark.createDataFrame([], "key string, value string")
-    assert export.snapshot_json(nothing).count() == 0
+    found = export.snapshot_json(nothing, objects).collect()
+    assert [(r["object_id"], r["json"]) for r in found] == [(i, "{}") for i in range(objects)]
     export.export_csv(nothing, at("csv"))
     assert tables.read_snapshot_csv(spark, at("csv")).count() == 0
 
 
+def test_entries_keep_the_last_of_a_repeated_key(spark):
+    text = '{"a":"1","b":{"c":[1,2]},"a":null,"d":null,"a":"3","e":1.50}'
+    objects = spark.createDataFrame([(1, text), (2, "{}"), (3, None), (4, "no object")], "n int, json string")
+    found = rows(export.json_entries(objects, "json"))
+    assert found == sorted([(1, "a", "3"), (1, "b", '{"c":[1,2]}'), (1, "d", None), (1, "e", "1.5")], key=repr)
+
+
 def test_counting_on_the_way(spark):
     seen = Observation("indexed")
     counted(spark.range(7), seen).write.format("noop").mode("overwrite").save()

@@ -27,17 +27,13 @@ def test_missing_key(spark):
     assert as_dict(latest.get_many(log, asked)) == {"k": "v", "ghost": None}
 
 
-def test_long_and_short_lists_agree(spark, at, monkeypatch):
+def test_list_of_keys(spark, at):
     puts(spark, [(1, f"k{i % 50}", str(i)) for i in range(500)]).write.parquet(at("log"))
     log = spark.read.schema(PUT_LOG).parquet(at("log"))
     asked = spark.createDataFrame([(f"k{i}",) for i in [3, 49, 49, 60]] + [(None,)], "key string")
-    short = latest.get_many(log, asked)
-    assert "LeftSemi" in plan(short)
-    monkeypatch.setattr(latest, "SHORT_LIST_KEYS", 1)
-    long = latest.get_many(log, asked)
-    assert "LeftSemi" not in plan(long)
-    assert rows(short) == rows(long)
-    assert rows(short) == sorted(
+    found = latest.get_many(log, asked)
+    assert "LeftSemi" in plan(found)
+    assert rows(found) == sorted(
         [("k3", "453"), ("k49", "499"), ("k49", "499"), ("k60", None), (None, None)], key=repr
     )
 
@@ -47,26 +43,6 @@ def test_large_data_over_several_files(spark):
     found = as_dict(latest.snapshot(log))
     assert len(found) == 5000
     assert found["key-4999"] == "x" * 300 + "-4999"
-    assert latest.log_size(log).first()["max_file_id"] == 9
-
-
-def test_index_agrees_with_replay(spark):
-    log = puts(spark, [(i // 300, f"h-{i % 700}", "v" * 200 + str(i)) for i in range(2000)])
-    index = latest.key_index(log).collect()
-    replayed = {r["key"]: r for r in latest.replay(log).collect()}
-    assert len(index) == 700
-    for r in index:
-        newest = replayed[r["key"]]
-        assert (r["file_id"], r["offset"]) == (newest["file_id"], newest["offset"])
-        assert r["value_size"] == len(newest["value"])
-
-
-def test_index_does_not_shuffle_values(spark, at):
-    puts(spark, [(1, "k", "v")]).write.parquet(at("log"))
-    shown = plan(latest.key_index(spark.read.schema(PUT_LOG).parquet(at("log"))))
-    exchange = next(l for l in shown.splitlines() if "Exchange" in l)
-    below = shown[shown.index(exchange) :]
-    assert "octet_length(value" in below
 
 
 def test_restart_with_overwrites(spark):
@@ -84,57 +60,13 @@ def test_position_beats_clock(spark):
     assert as_dict(latest.snapshot(log)) == {"k": "new", "j": "b"}
 
 
-def test_scan_from_position(spark):
-    log = puts(spark, [(i // 3, f"k{i}", "v") for i in range(9)])
-    assert [r["offset"] for r in latest.scan_from(log, 1, 4).orderBy("offset").collect()] == [4, 5, 6, 7, 8]
-
-
-def test_end_positions_and_size_count_bytes(spark):
-    log = spark.createDataFrame([("é", "ab", 0, 1, 100), ("k", "€", 0, 1, 40)], PUT_LOG)
-    assert rows(latest.end_positions(log)) == [(1, 100 + 24 + 2 + 2)]
-    assert latest.log_size(log).first()["total_bytes"] == 24 + 4 + 24 + 4
-
-
-def test_compaction_correct(spark):
-    log = puts(
-        spark, [(r, f"ck-{i}", "p" * 400 + f"{r}ck-{i}") for r in range(5) for i in range(500)]
-    )
-    packed = latest.compact(log)
-    assert as_dict(latest.snapshot(packed)) == {
-        f"ck-{i}": "p" * 400 + f"4ck-{i}" for i in range(500)
-    }
-    assert packed.select("file_id").distinct().count() <= 5
-
-
-def test_compaction_shrinks(spark):
-    log = puts(
-        spark,
-        [(1, f"sk-{i}", "z" * 800) for i in range(3000)] + [(2, f"sk-{i}", "s") for i in range(3000)],
-    )
-    before = latest.log_size(log).first()["total_bytes"]
-    packed = latest.compact(log)
-    assert packed.count() == 3000
-    assert latest.log_size(packed).first()["total_bytes"] < before / 10
-
-
-def test_compaction_keeps_active_file_whole(spark):
-    log = puts(spark, [(1, "a", "1"), (1, "b", "1"), (2, "a", "2"), (2, "a", "3")])
-    kept = [(r["file_id"], r["key"], r["value"]) for r in latest.compact(log).collect()]
-    assert sorted(kept) == [(1, "b", "1"), (2, "a", "2"), (2, "a", "3")]
-
-
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 5), st.text(max_size=5)), min_size=1, max_size=30))
-def test_compaction_never_changes_reads(spark, drawn):
+def test_replay_is_the_last_put(spark, drawn):
     written = [(f, f"k{k}", v) for f, k, v in sorted(drawn, key=lambda d: d[0])]
     log = puts(spark, written)
-    packed = latest.compact(log)
-    assert as_dict(latest.snapshot(packed)) == as_dict(latest.snapshot(log))
-    assert rows(latest.compact(packed)) == rows(packed)
-    model = {}
-    for _, k, v in written:
-        model[k] = v
-    assert as_dict(latest.snapshot(log)) == model
+    assert as_dict(latest.snapshot(log)) == {k: v for _, k, v in written}
+    assert rows(latest.replay(latest.replay(log))) == rows(latest.replay(log))
 
 
 @pytest.mark.parametrize("writers", [8])

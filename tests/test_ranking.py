@@ -57,17 +57,45 @@ def test_dedup_is_idempotent_and_takes_more_keys(spark):
 
 def within(rows, horizon):
     """dedup_within, said plainly."""
-    cells = {}
-    for r in sorted(rows, key=lambda r: (r[2], r[3])):
-        cells.setdefault((r[:2], r[4] // horizon), r)
-    kept, previous = [], {}
-    for (key, _), r in sorted(cells.items()):
-        if key not in previous or r[4] - previous[key] >= horizon:
+    kept, last = [], {}
+    for r in sorted(rows, key=lambda r: (r[4], r[2], r[3])):
+        if r[:2] not in last or r[4] - last[r[:2]] >= horizon:
             kept.append(r)
-        previous[key] = r[4]
+            last[r[:2]] = r[4]
     return sorted(kept)
 
 
+def arrivals(spark, seconds, s_no=1):
+    return table(spark, [(1, s_no, 0, i, a, str(a)) for i, a in enumerate(seconds)])
+
+
+@pytest.mark.parametrize(
+    "seconds, kept",
+    [
+        (range(0, 9901, 900), [0, 1800, 3600, 5400, 7200, 9000]),
+        ([900, 1100, 1950], [900, 1950]),
+        ([0, 999, 1000, 1001, 1999, 2000], [0, 1000, 2000]),
+        (range(0, 20_000, 1), list(range(0, 20_000, 1000))),  # without a pause
+    ],
+)
+def test_a_suppressed_copy_does_not_prolong(spark, seconds, kept):
+    found = dedup_within(arrivals(spark, seconds), 1000).collect()
+    assert sorted(int(r["payload"]) for r in found) == kept
+
+
+def test_dedup_within_continues_from_what_was_kept(spark):
+    known = spark.createDataFrame([(1, 1, 500), (1, 1, 10**9), (2, 1, 100)], "station_id long, s_no long, arrived long")
+    found = dedup_within(arrivals(spark, [0, 500, 1400, 1500, 2400]), 1000, kept=known).collect()
+    # 0 came before what was kept, and the kept one with a clock far ahead suppresses nothing.
+    assert sorted(int(r["payload"]) for r in found) == [0, 1500]
+
+
+def test_dedup_within_without_arrival_times(spark):
+    rows = [(1, 1, 0, 0, None, "a"), (1, 1, 0, 1, None, "b"), (1, 1, 0, 2, 5, "c"), (None, 1, 0, 3, 5, "d")]
+    found = dedup_within(table(spark, rows), 1000).collect()
+    assert {r["payload"] for r in found} == {"a", "c", "d"}
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(st.tuples(st.integers(0, 1), st.integers(0, 2), st.integers(0, 400)), max_size=40),
@@ -91,17 +119,24 @@ def test_dedup_within_lets_a_restarted_station_pass(spark):
     assert {r["payload"] for r in kept} == {"a", "b"}
 
 
-@pytest.mark.parametrize("block", [1, 7, 10_000])
-def test_sequence_numbers(spark, block):
-    rows = skewed(400)
+@pytest.mark.parametrize("blocks", [1, 7, 64])
+@pytest.mark.parametrize("stretch", [1, 10**13])
+def test_sequence_numbers(spark, blocks, stretch):
+    rows = [(*r[:3], r[3] ** 2 * stretch, *r[4:]) for r in skewed(400)]  # sparse offsets
     counters, expected = {}, {}
     for r in sorted(rows, key=lambda r: (r[2], r[3])):
         counters[r[0]] = counters.get(r[0], 0) + 1
         expected[r[3]] = counters[r[0]]
-    numbered = sequence_numbers(table(spark, rows), name="seq", block_offsets=block)
+    numbered = sequence_numbers(table(spark, rows), name="seq", blocks=blocks)
     assert {r["offset"]: r["seq"] for r in numbered.collect()} == expected
 
 
+def test_sequence_numbers_lose_no_row(spark):
+    rows = [(1, 1, 0, None, 0, "a"), (1, 1, 0, 5, 0, "b"), (1, 1, None, 9, 0, "c"), (None, 1, 0, 7, 0, "d"), (1, 1, 0, None, 0, "e")]
+    found = {r["payload"]: r["seq"] for r in sequence_numbers(table(spark, rows), name="seq").collect()}
+    assert found["c"] == 1 and {found["a"], found["e"]} == {2, 3} and found["b"] == 4 and found["d"] == 1
+
+
 def test_sequence_numbers_shuffle_rows_once_by_block(spark, at):
     table(spark, skewed()).write.parquet(at("t"))
     shown = plan(sequence_numbers(spark.read.parquet(at("t")), name="seq"))

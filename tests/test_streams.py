@@ -12,7 +12,6 @@ from gaugeline.operators.latest import puts_from_readings
 from gaugeline.operators.readings import parse_readings, valid_readings
 from gaugeline.schemas import MESSAGE, READING_COLUMNS
 from gaugeline.sinks.archive import dated_readings
-from gaugeline.sinks.paths import numbered_children
 from gaugeline.sinks.progress import counted
 from gaugeline.sources.messages import kafka_records, landed_stream, landed_table
 from gaugeline.sources.tables import observation_stream, read_alert_archive, read_archive
@@ -77,18 +76,6 @@ def test_alert_stream_equals_batch(spark, topic, at):
     assert streamed.count() == 7
 
 
-def test_alert_stream_once(spark, topic, at):
-    fill(topic)
-    query = jobs.alert_stream(topic.stream(), at("alerts"), at("ck"), once_within="1 hour")
-    query.awaitTermination()
-    ids = [(r["station_id"], r["s_no"]) for r in alert_fields(landed_table(spark, at("alerts")))]
-    once = alert_fields(alerts.alert_messages_once(topic.table()))
-    assert sorted(ids) == sorted((r["station_id"], r["s_no"]) for r in once)
-    assert len(ids) == len(set(ids)) == 5
-    # The first copy of an id raised, not a later one.
-    assert (1, 1, 80) in {(r["station_id"], r["s_no"], r["humidity"]) for r in once}
-
-
 def alert_fields(texts):
     return alerts.alert_records(alerts.parse_alerts(texts)).collect()
 
@@ -158,8 +145,10 @@ def test_ids_are_forgotten_after_the_horizon(spark, topic, at):
     ).awaitTermination()
     found = rows(read_archive(spark, at("out") + "/archive").select("s_no", "humidity"))
     assert found == [(1, 1), (1, 3), (2, 50)]
-    # Batches that ended long before the last one are no longer remembered.
-    assert len(numbered_children(spark, at("out") + "/seen", "until")) == 1
+    # Ids of long ago are no longer remembered, and no file of theirs is left.
+    remembered = spark.read.parquet(at("out") + "/seen")
+    assert {r["s_no"] for r in remembered.where("batch_id = 3").collect()} == {2}
+    assert remembered.where("batch_id < 2").count() == 0
 
 
 def test_a_copy_past_the_horizon_passes_beside_one_within(spark, topic, at):
@@ -175,15 +164,6 @@ def test_a_copy_past_the_horizon_passes_beside_one_within(spark, topic, at):
     assert found == [(1,), (3,)]
 
 
-def test_horizon_none_remembers_all(spark, topic, at):
-    topic.send(reading(1, 1, humidity=1), arrived=0)
-    topic.send(reading(1, 1, humidity=2), arrived=90 * DAY)
-    fan_out.start_fan_out(
-        topic.stream(), at("out"), at("ck"), ["archive"], horizon=None
-    ).awaitTermination()
-    assert read_archive(spark, at("out") + "/archive").first()["humidity"] == 1
-
-
 def test_only_bad_or_no_messages(spark, topic, at):
     topic.send("bad", None)
     fan_out.start_fan_out(topic.stream(), at("out"), at("ck")).awaitTermination()
@@ -191,41 +171,51 @@ def test_only_bad_or_no_messages(spark, topic, at):
     assert fan_out.latest_values(spark, at("out")).count() == 0
 
 
-def test_latest_survives_compaction_between_polls(spark, topic, at):
-    fill(topic)
-    fan_out.start_fan_out(topic.stream(), at("out"), at("ck")).awaitTermination()
-    before = as_dict(fan_out.latest_values(spark, at("out")))
-    documents = rows(fan_out.indexed_documents(spark, at("out")))
-    fan_out.compact_tables(spark, at("out"), remove_old=True)
-    fan_out.compact_tables(spark, at("out"), remove_old=True)
-    assert numbered_children(spark, at("out") + "/latest", "file_id") == [3]
-    assert as_dict(fan_out.latest_values(spark, at("out"))) == before
-    assert rows(fan_out.indexed_documents(spark, at("out"))) == documents
-    topic.send(reading(1, 77))
-    fan_out.start_fan_out(topic.stream(), at("out"), at("ck")).awaitTermination()
-    after = as_dict(fan_out.latest_values(spark, at("out")))
-    assert '"s_no":77' in after["1"] and after["2"] == before["2"]
+def drained(spark, at, name, sent, cuts, horizon):
+    """Arrivals (s_no, second, partition) cut into batches; what was kept."""
+    raw = [
+        message(reading(1, s_no, humidity=i % 100), offset=i, partition=part, arrived=second)
+        for i, (s_no, second, part) in enumerate(sent)
+    ]
+    edges = [0, *cuts, len(raw)]
+    for batch_id, (a, b) in enumerate(zip(edges, edges[1:])):
+        fan_out.process_batch(messages(spark, raw[a:b]), batch_id, at(name), ["documents", "archive"], horizon)
+    table = read_archive(spark, at(name) + "/archive")
+    assert all("batch_id" not in c for c in table.columns)
+    return sorted((r["s_no"], r["humidity"]) for r in table.collect())
 
 
-@pytest.mark.parametrize("pieces", [1, 4])
-def test_state_store_dedup(spark, topic, at, pieces):
-    fill(topic)
-    readings = valid_readings(parse_readings(topic.stream()))
-    unique = jobs.dedup_stream(readings, pieces=pieces).select("station_id", "s_no")
-    writer = unique.writeStream.format("parquet").option("path", at("ids"))
-    jobs.start(writer, at("ck")).awaitTermination()
-    found = rows(spark.read.schema("station_id long, s_no long").parquet(at("ids")))
-    # The reading of station 2 with an event time 40 days back was not dropped.
-    assert found == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1)]
+@pytest.mark.parametrize("cuts", [[], [3], [1, 4, 7, 9]])
+def test_copies_closer_than_the_horizon_pass_again(spark, at, cuts):
+    sent = [(1, 900 * i, 0) for i in range(12)]
+    assert drained(spark, at, "out", sent, cuts, 1000) == [(1, i) for i in range(0, 12, 2)]
 
 
-def test_archive_stream(spark, topic, at):
-    fill(topic)
-    jobs.archive_stream(topic.stream(), at("archive"), at("ck")).awaitTermination()
-    table = read_archive(spark, at("archive"))
-    assert table.count() == 5
-    assert table.where("date = DATE '2023-11-22'").first()["station_id"] == 2
-    assert os.path.isdir(at("archive") + "/station_id=1/date=2024-01-01")
+@pytest.mark.parametrize("cuts", [[], [1], [1, 2]])
+def test_suppressed_copy_does_not_prolong(spark, at, cuts):
+    assert drained(spark, at, "out", [(1, 900, 0), (1, 1100, 0), (1, 1950, 0)], cuts, 1000) == [(1, 0), (1, 2)]
+
+
+@pytest.mark.parametrize("cuts", [[], [1], [2, 4]])
+def test_one_clock_ahead_loses_nothing(spark, at, cuts):
+    sent = [(1, DAY, 0), (2, 0, 0), (3, 1, 0), (1, 10, 0), (4, 2, 0), (5, 3, 0), (1, 20, 0)]
+    assert drained(spark, at, "out", sent, cuts, 1000) == [(1, 0), (1, 3), (2, 1), (3, 2), (4, 4), (5, 5)]
+
+
+@pytest.mark.parametrize("cuts", [[], [4], [2, 5]])
+def test_partitions_that_drift_apart(spark, at, cuts):
+    """One partition is hours behind another; all of its distinct ids arrive."""
+    sent = [(i, 9000 + i, 0) if i % 2 else (i, i, 1) for i in range(1, 9)]
+    assert drained(spark, at, "out", sent, cuts, 600) == [(i + 1, i) for i in range(8)]
+
+
+def test_alert_index_keeps_every_column(spark, at):
+    raw = messages(spark, [message(reading(1, n, humidity=90), n) for n in range(3)])
+    dated = alerts.parse_alerts(alerts.alert_messages(raw)).selectExpr("*", "DATE '2024-05-06' AS date")
+    for batch_id in range(3):
+        fan_out.process_alert_batch(dated, batch_id, at("out"))
+    found = fan_out.indexed_alerts(spark, at("out")).collect()
+    assert len(found) == 3 and all(r["event"] and r["status"] for r in found)
 
 
 def test_console_stream_runs(spark, topic, at, capfd):
@@ -309,11 +299,10 @@ def test_observation_stream_numbers_on(spark, at, tmp_path):
     assert sorted((r["s_no"], r["humidity"]) for r in found) == [(n, n) for n in (1, 2, 4, 5, 7, 8)]
 
 
-@pytest.mark.parametrize("horizon", [None, 600])
-def test_random_batches(spark, at, horizon):
-    """However a topic is cut into micro-batches, the rules on copies hold."""
+def test_random_batches(spark, at):
+    """However a topic is cut into micro-batches, the same readings are kept."""
     rng = random.Random(7)
-    sent, clock = [], 0
+    sent, clock, horizon = [], 0, 600
     for offset in range(400):
         clock += rng.choice([0, 1, 5, 40, 200])
         s_no = 1 if offset % 3 == 0 else rng.randrange(2, 30)
@@ -321,34 +310,14 @@ def test_random_batches(spark, at, horizon):
         sent.append(message(body, offset, arrived=clock))
     cuts = sorted(rng.sample(range(1, 400), 3))
     for batch_id, (a, b) in enumerate(zip([0, *cuts], [*cuts, 400])):
-        batch = messages(spark, sent[a:b])
-        fan_out.process_batch(batch, batch_id, at("out"), horizon=horizon)
-
-    everything = messages(spark, sent)
-    archived = read_archive(spark, at("out") + "/archive")
+        fan_out.process_batch(messages(spark, sent[a:b]), batch_id, at("out"), horizon=horizon)
     assert fan_out.dead_letters(spark, at("out")).count() == sum(m[1] == "bad" for m in sent)
-    if horizon is None:
-        assert rows(archived) == rows(dated_readings(first_rows(everything)))
-        return
-
-    copies = {}
+    kept, last = [], {}
     for m in sent:
         if m[1] != "bad":
-            body = json.loads(m[1])
-            arrived = int((m[5] - START).total_seconds())
-            copies.setdefault(body["s_no"], []).append((arrived, body["weather"]["humidity"]))
-    kept = {}
-    for r in archived.collect():
-        place = [i for i, c in enumerate(copies[r["s_no"]]) if c[1] == r["humidity"]]
-        kept.setdefault(r["s_no"], []).extend(place)
-    for s_no, seen in copies.items():
-        times = [arrived for arrived, _ in seen]
-        chosen = sorted(times[i] for i in kept[s_no] if unique(seen, i))
-        assert all(b - a >= horizon for a, b in zip(chosen, chosen[1:]))
-        for i, (arrived, _) in enumerate(seen):
-            alone = i == 0 or arrived - times[i - 1] >= horizon
-            assert not alone or i in kept[s_no], "a copy after a long pause was dropped"
-
-
-def unique(copies, i):
-    return [c[1] for c in copies].count(copies[i][1]) == 1
+            body, arrived = json.loads(m[1]), int((m[5] - START).total_seconds())
+            if arrived - last.get(body["s_no"], -horizon) >= horizon:
+                last[body["s_no"]] = arrived
+                kept.append((body["s_no"], body["weather"]["humidity"]))
+    archived = read_archive(spark, at("out") + "/archive")
+    assert sorted((r["s_no"], r["humidity"]) for r in archived.collect()) == sorted(kept)
