@@ -22,11 +22,12 @@ from gaugeline.llm import (
 )
 from gaugeline.llm.common import table
 from gaugeline.llm.labelled import held_out, labelled_sample
+from gaugeline.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
 
 TOKENIZER = "word_bpe_49k.json"
 
