@@ -21,6 +21,13 @@ class Remembered(Generic[T]):
         self.known: dict[str, T] = {}
         self.before: dict[str, T] = {}
 
+    def recall(self, word: str) -> T:
+        answer = self.known.get(word)
+        if answer is None:
+            answer = self.before.get(word)
+            answer = self.known[word] = self.ask(word) if answer is None else answer
+        return answer
+
     def __call__(self, words) -> list[T]:
         if len(self.known) >= self.most:
             self.known, self.before = {}, self.known
@@ -29,9 +36,7 @@ class Remembered(Generic[T]):
         if None in found:
             for i, answer in enumerate(found):
                 if answer is None:
-                    word = words[i]
-                    answer = self.before.get(word)
-                    found[i] = self.known[word] = self.ask(word) if answer is None else answer
+                    found[i] = self.recall(words[i])
         return found
 
 

@@ -27,6 +27,7 @@ TREES = 12
 DEPTH = 7
 SAMPLE = 16384
 SHARE = 0.9  # of the index's size, in candidates counted once per tree
+LEAST = 64  # candidates per tree, so that a small index is searched whole
 BLOCK = 4096
 SPARE = 2  # candidates kept before the last scoring, per neighbour asked for
 
@@ -222,7 +223,8 @@ def nearest(
     ).distinct()
     asking = stored(asking.join(known.select("class_id", "vector"), "vector"), "asking")
     asked = asking.groupBy(F.col("class_id").alias("query")).agg(F.first("vector").alias("vector"))
-    opened = F.explode(_leaves_for(forest, sizes, share * total)("vector")).alias("leaf")
+    enough = max(share * total, max(LEAST, wanted) * trees)
+    opened = F.explode(_leaves_for(forest, sizes, enough)("vector")).alias("leaf")
     probes = stored(asked.select("query", "vector", opened), "probes")
 
     # A leaf and the queries that open it are met block by block, whatever their numbers.

@@ -4,8 +4,8 @@ Features are the words of a text and the beginnings of longer words, each presen
 one sentence tells in a long text. A bounded sample of labelled texts is counted on Spark, the
 features that tell the labels apart are selected, and their weights are trained. Besides the
 usual loss, every labelled sentence that names a group is paired with the same sentence
-about another group, and the squared change of its score is penalised: a group that is
-merely often insulted in the sample gets no weight of its own.
+about another group, and the squared change of its score, before it is squeezed between 0 and 1, is
+penalised: a group that is merely often insulted in the sample gets no weight of its own.
 """
 
 from __future__ import annotations
@@ -174,10 +174,9 @@ def train(
         error = cost * (_sigmoid(bias + thin.sums(weights)) - y)
         grad = np.append(thin.back(error) + DECAY * weights, error.sum())
         if own_rows.n:
-            a, b = _sigmoid(bias + own_rows.sums(weights)), _sigmoid(bias + other_rows.sums(weights))
-            change = counterfactual * 2 * (a - b) / own_rows.n
-            up, down = change * a * (1 - a), change * b * (1 - b)
-            grad += np.append(own_rows.back(up) - other_rows.back(down), (up - down).sum())
+            change = (own_rows.sums(weights) - other_rows.sums(weights)) / own_rows.n
+            change *= 2 * counterfactual
+            grad += np.append(own_rows.back(change) - other_rows.back(change), 0.0)
         mean = 0.9 * mean + 0.1 * grad
         square = 0.999 * square + 0.001 * grad**2
         params -= RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
