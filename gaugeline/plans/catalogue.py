@@ -16,7 +16,7 @@ from gaugeline.plans import event_messages as source
 from gaugeline.plans.oracles import ALERT_JSON, FLAT_JSON, MESSAGES, NESTED_JSON, READING
 from gaugeline.schemas import ALERT_COLUMNS, ARRIVAL_ORDER, READING_COLUMNS, READING_KEY
 from gaugeline.session import configure, scratch_dir
-from gaugeline.sinks import archive, export
+from gaugeline.sinks import archive, export, search
 from gaugeline.sinks.progress import counted
 from gaugeline.sources import messages as topics
 from gaugeline.sources import tables
@@ -540,6 +540,18 @@ def index_upsert(spark, sf_dir):
     return found.select("doc_id", *READING_COLUMNS)
 
 
+@query(MESSAGES + f"SELECT station_id || '-' || s_no AS doc_id, {READING} FROM first")
+def index_typed(spark, sf_dir):
+    """A typed index declared twice, filled, and read by its name."""
+    path = scratch_dir(spark, "index")
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    for _ in range(2):
+        search.create_index(spark, table, path)
+    indexed = documents.latest_documents(_first(spark, sf_dir))
+    indexed.select("doc_id", *READING_COLUMNS).write.insertInto(table)
+    return spark.table(table)
+
+
 # -- streams ----------------------------------------------------------------------------
 
 
