@@ -155,24 +155,20 @@ def _blocks(steps: list[Step]):
     return matrices
 
 
-def _ends() -> object:
+def _ends(group: pd.DataFrame) -> pd.DataFrame:
     """Through the matrices of one conversation: the states at the ends of its blocks."""
-
-    def ends(group: pd.DataFrame) -> pd.DataFrame:
-        rows = group.sort_values("block")
-        costs = [np.asarray(c).reshape(STATES, STATES) for c in rows["cost"]]
-        ahead = [np.zeros(STATES)]
-        for cost in reversed(costs):
-            ahead.append((cost + ahead[-1][None, :]).min(axis=1))
-        ahead.reverse()
-        state, starts, stops = START, [], []
-        for i, cost in enumerate(costs):
-            starts.append(state)
-            state = int(np.argmin(cost[state] + ahead[i + 1]))
-            stops.append(state)
-        return rows.assign(start=starts, stop=stops)[["conv_key", "block", "start", "stop"]]
-
-    return ends
+    rows = group.sort_values("block")
+    costs = [np.asarray(c).reshape(STATES, STATES) for c in rows["cost"]]
+    ahead = [np.zeros(STATES)]
+    for cost in reversed(costs):
+        ahead.append((cost + ahead[-1][None, :]).min(axis=1))
+    ahead.reverse()
+    state, starts, stops = START, [], []
+    for i, cost in enumerate(costs):
+        starts.append(state)
+        state = int(np.argmin(cost[state] + ahead[i + 1]))
+        stops.append(state)
+    return rows.assign(start=starts, stop=stops)[["conv_key", "block", "start", "stop"]]
 
 
 def _paths(steps: list[Step]):
@@ -227,7 +223,7 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), block: int = BLOCK)
     matrices = blocks.mapInPandas(
         _blocks(steps), "conv_key string, block long, roles array<int>, cost array<double>"
     ).drop("roles")
-    ends = matrices.groupBy("conv_key").applyInPandas(_ends(), "conv_key string, block long, start int, stop int")
+    ends = matrices.groupBy("conv_key").applyInPandas(_ends, "conv_key string, block long, start int, stop int")
     shape = "conv_key string, block long, taken array<int>, merged array<int>, put array<int>, cost array<double>"
     paths = blocks.join(ends, ["conv_key", "block"]).mapInPandas(_paths(steps), shape)
     at = (F.col("place") % block).cast("int")

@@ -23,17 +23,15 @@ from gaugeline.llm import (
 from gaugeline.llm.common import table
 from gaugeline.llm.labelled import held_out, labelled_sample
 from gaugeline.llm.oracles import ORACLES
+from gaugeline.llm.stages import TOKENIZER, TOXIC_FOLD, TOXIC_FROM
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 __all__ = ["ORACLES", "QUERIES"]
 
-TOKENIZER = "word_bpe_49k.json"
-
 # Divisor and remainder of the held-out fold, and the score from which a text is labelled 1.
 QUALITY_FOLD, QUALITY_FROM = (5, 0), 0.3
-TOXIC_FOLD, TOXIC_FROM = (3, 1), 0.7
 
 
 def query(run: Query) -> Query:

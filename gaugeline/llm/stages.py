@@ -16,7 +16,7 @@ from gaugeline.llm.labelled import labelled_sample
 
 TOKENIZER = "word_bpe_49k.json"
 
-# As in the operator's query: the held-out fold teaches nothing, and 0.7 rejects.
+# Divisor and remainder of the fold that teaches nothing, and the score that rejects.
 TOXIC_FOLD, TOXIC_FROM = (3, 1), 0.7
 
 
