@@ -79,36 +79,47 @@ def _steps(costs: Costs) -> list[Step]:
 
 STATES = 4
 FAR = 1e18
+ANY_END = -1
 
 
-def block_matrix(roles: np.ndarray, steps: list[Step]) -> np.ndarray:
+class Moves(NamedTuple):
+    """By a message's own role, from state to state: the least cost, and the step that has it."""
+
+    cost: np.ndarray
+    step: list[list[list[Step | None]]]
+
+
+def _moves(costs: Costs) -> Moves:
+    least = np.full((STATES, STATES, STATES), FAR)
+    best: list = [[[None] * STATES for _ in range(STATES)] for _ in range(STATES)]
+    for step in _steps(costs):
+        for role, cost in enumerate(step.cost):
+            if cost < least[role, step.source, step.target]:
+                least[role, step.source, step.target] = cost
+                best[role][step.source][step.target] = step
+    return Moves(least, best)
+
+
+def block_matrix(roles: np.ndarray, moves: Moves) -> np.ndarray:
     """The least cost from each state before a block of turns to each state after it."""
     total = np.full((STATES, STATES), FAR)
     np.fill_diagonal(total, 0.0)
     for role in roles:
-        after = np.full((STATES, STATES), FAR)
-        for step in steps:
-            after[:, step.target] = np.minimum(after[:, step.target], total[:, step.source] + step.cost[role])
-        total = after
-    return total
+        total = (total[:, :, None] + moves.cost[role][None]).min(axis=1)
+    return np.minimum(total, FAR)
 
 
-def block_path(roles: np.ndarray, steps: list[Step], start: int, end: int) -> list[Step]:
-    """The cheapest steps of a block between two states."""
+def block_path(roles: np.ndarray, moves: Moves, start: int, end: int) -> list[Step]:
+    """The cheapest steps of a block between two states, or to any."""
     ahead = np.full((len(roles) + 1, STATES), FAR)
-    ahead[-1, end] = 0.0
+    ahead[-1, slice(None) if end == ANY_END else end] = 0.0
     for i in range(len(roles) - 1, -1, -1):
-        for step in steps:
-            cost = step.cost[roles[i]] + ahead[i + 1, step.target]
-            ahead[i, step.source] = min(ahead[i, step.source], cost)
+        ahead[i] = (moves.cost[roles[i]] + ahead[i + 1]).min(axis=1)
     path, state = [], start
     for i, role in enumerate(roles):
-        best = min(
-            (s for s in steps if s.source == state),
-            key=lambda s: s.cost[role] + ahead[i + 1, s.target],
-        )
-        path.append(best)
-        state = best.target
+        target = int(np.argmin(moves.cost[role, state] + ahead[i + 1]))
+        path.append(moves.step[role][state][target])
+        state = target
     return path
 
 
@@ -146,10 +157,10 @@ def _role_code(role: Column) -> Column:
     return code
 
 
-def _blocks(steps: list[Step]):
+def _blocks(moves: Moves):
     def matrices(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            cost = [block_matrix(np.asarray(roles), steps).ravel().tolist() for roles in part["roles"]]
+            cost = [block_matrix(np.asarray(roles), moves).ravel().tolist() for roles in part["roles"]]
             yield part.assign(cost=cost)
 
     return matrices
@@ -171,13 +182,13 @@ def _ends(group: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(start=starts, stop=stops)[["conv_key", "block", "start", "stop"]]
 
 
-def _paths(steps: list[Step]):
+def _paths(moves: Moves):
     def paths(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for roles, start, stop in zip(part["roles"], part["start"], part["stop"]):
                 codes = np.asarray(roles)
-                path = block_path(codes, steps, int(start), int(stop))
+                path = block_path(codes, moves, int(start), int(stop))
                 rows.append(
                     [(s.target, int(s.merge), s.inserted, s.cost[r]) for s, r in zip(path, codes)]
                 )
@@ -204,7 +215,7 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), block: int = BLOCK)
     a conversation. A system message that cannot stand first is relabelled. An empty
     table gives an empty result; extra columns are dropped.
     """
-    steps = _steps(costs)
+    moves = _moves(costs)
     turns = conversations.select(
         F.col("conv_id").alias("conv_id"),
         F.col("turn").alias("turn"),
@@ -220,12 +231,24 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), block: int = BLOCK)
     blocks = stored(
         placed.groupBy("conv_key", "block").agg(F.transform(listed, lambda x: x["code"]).alias("roles")), "blocks"
     )
-    matrices = blocks.mapInPandas(
-        _blocks(steps), "conv_key string, block long, roles array<int>, cost array<double>"
-    ).drop("roles")
-    ends = matrices.groupBy("conv_key").applyInPandas(_ends, "conv_key string, block long, start int, stop int")
-    shape = "conv_key string, block long, taken array<int>, merged array<int>, put array<int>, cost array<double>"
-    paths = blocks.join(ends, ["conv_key", "block"]).mapInPandas(_paths(steps), shape)
+    sizes = placed.groupBy("conv_key").agg(F.max("place").alias("last"))
+    spread = stored(blocks.join(sizes, "conv_key"), "spread")
+    # Only conversations of several blocks have ends that must meet.
+    long = spread.where(F.col("last") >= block)
+    matrices = long.select("conv_key", "block", "roles").mapInPandas(
+        _blocks(moves), "conv_key string, block long, roles array<int>, cost array<double>"
+    )
+    shape = "conv_key string, block long, start int, stop int"
+    ends = matrices.drop("roles").groupBy("conv_key").applyInPandas(_ends, shape)
+    short = spread.where(F.col("last") < block).select(
+        "conv_key", "block", "roles", F.lit(START).alias("start"), F.lit(ANY_END).alias("stop")
+    )
+    bounded = long.join(ends, ["conv_key", "block"]).select(short.columns).union(short)
+    shape = (
+        "conv_key string, block long, taken array<int>, merged array<int>, put array<int>, "
+        "cost array<double>"
+    )
+    paths = bounded.mapInPandas(_paths(moves), shape)
     at = (F.col("place") % block).cast("int")
     found = placed.join(paths, ["conv_key", "block"]).select(
         "conv_id", "turn", "place", "role", "text", "code", "conv_key", "block",
@@ -250,9 +273,7 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), block: int = BLOCK)
             opening(name(F.col("taken"))),
         )
     )
-    sizes = placed.groupBy("conv_key").agg(F.max("place").alias("last"))
-    spread = blocks.select("conv_key", "block").join(sizes, "conv_key")
-    whole = found.join(spread, ["conv_key", "block"])
+    whole = found.join(spread.select("conv_key", "block", "last"), ["conv_key", "block"])
     after = F.when(F.col("place") == F.col("last"), close).otherwise("")
     return whole.select(
         "conv_id",
