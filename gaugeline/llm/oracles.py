@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from gaugeline.llm.curriculum import PASSES, SCHEDULES, SHARE, WEIGHTS
+from gaugeline.llm.mean_search import CENTROIDS, COMPONENTS, ROUNDS, SCALE, SEED
+from gaugeline.llm.prefix_trie import GROUP, SHARED
 from gaugeline.llm.quality_rules import RULES, STOP_WORDS, WINDOW
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -114,4 +116,96 @@ SELECT doc_id, size, source_size, target, (len(begun) * size)::BIGINT AS taken,
 FROM shares
 """
 
-ORACLES = {"op6_curriculum_mix": CURRICULUM, "op8_quality_rules": QUALITY_RULES}
+
+def _rounds(rounds: int, centroids: int, size: int) -> str:
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT r, vec_id, v, cluster, distance FROM (
+    SELECT w.r, w.vec_id, w.v, c.cluster,
+           list_sum(list_transform(list_zip(w.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+    FROM whole w, centroids{k} c)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, cluster) = 1
+)""")
+        if k < rounds:
+            steps.append(f"""centroids{k + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM centroids{k} c LEFT JOIN (
+    SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+      SELECT cluster, i, sum(v[i]) AS s, count(*) AS n
+      FROM near{k}, unnest(range(1, {size} + 1)) AS t(i) GROUP BY cluster, i) GROUP BY cluster) m USING (cluster)
+)""")
+    return ",\n".join(steps)
+
+
+CLUSTERING = f"""
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {COMPONENTS}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {COMPONENTS}
+), centroids0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('{SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1)::INTEGER AS cluster, v
+  FROM whole QUALIFY cluster < {CENTROIDS}
+), {_rounds(ROUNDS, CENTROIDS, COMPONENTS)}
+SELECT vec_id, n.cluster, distance, (sum(distance) OVER (PARTITION BY n.cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM near{ROUNDS} n JOIN centroids{ROUNDS} c ON n.cluster = c.cluster
+"""
+
+# crc32 is not built in: a step of eight bits at a time over the digits of an id.
+_CRC_STEP = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+
+PREFIX_TRIE = rf"""
+WITH RECURSIVE crc(conv_id, rest, c, bits) AS (
+  SELECT DISTINCT conv_id, conv_id::VARCHAR, 4294967295::BIGINT, 0 FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT conv_id, CASE WHEN bits = 0 THEN rest[2:] ELSE rest END,
+         CASE WHEN bits = 0 THEN xor(c, ord(rest[1])::BIGINT) ELSE {_CRC_STEP} END, (bits + 1) % 9
+  FROM crc WHERE bits > 0 OR rest <> ''
+), shares AS (
+  SELECT conv_id, xor(c, 4294967295) % {SHARED} AS h, conv_id - conv_id % {GROUP} AS base
+  FROM crc WHERE bits = 0 AND rest = ''
+), turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place FROM (
+    SELECT conv_id, turn, coalesce(text, '') AS text,
+           sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+    FROM conversations WHERE conv_id IS NOT NULL)
+), kept AS (
+  SELECT s.conv_id, 0 AS own, t.place, t.digest, t.text FROM shares s JOIN turns t ON t.conv_id = s.base AND t.place <= s.h
+  UNION ALL
+  SELECT s.conv_id, 1, t.place, t.digest, t.text FROM shares s JOIN turns t ON t.conv_id = s.conv_id AND t.place > s.h
+), rebuilt AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(digest, '') OVER (w ROWS UNBOUNDED PRECEDING) AS path,
+         len(regexp_extract_all(text, '{_WORD}')) AS words
+  FROM kept WINDOW w AS (PARTITION BY conv_id ORDER BY own, place)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM shares
+), members AS (
+  SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM rebuilt
+), nodes AS (
+  SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM members GROUP BY path
+), parents AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, p.path AS above
+  FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.path = left(n.path, (64 * (n.depth - 1))::INTEGER)
+), children AS (
+  SELECT above AS path, count(*) AS n_children FROM parents WHERE above IS NOT NULL GROUP BY above
+), own AS (
+  SELECT parents.*, coalesce(n_children, 0) AS n_children FROM parents LEFT JOIN children USING (path)
+), below AS (
+  SELECT left(u.path, (64 * d)::INTEGER) AS path, u.n_children, u.n_convs, u.words
+  FROM own u, unnest(range(0, u.depth + 1)) AS t(d)
+), totals AS (
+  SELECT path, sum((n_children = 0)::INTEGER)::BIGINT AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM below GROUP BY path
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+FROM own JOIN totals USING (path)
+"""
+
+ORACLES = {
+    "op6_curriculum_mix": CURRICULUM,
+    "op8_quality_rules": QUALITY_RULES,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op13_mean_search_clustering": CLUSTERING,
+}

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from gaugeline.llm import (
     chat_repair,
     curriculum,
+    mean_search,
     packing,
+    prefix_trie,
     quality_fm,
     quality_rules,
     rp_forest,
@@ -131,3 +133,16 @@ def op9_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.trie(table(spark, sf_dir, "conversations")).nodes
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+@query
+def op13_mean_search_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mean_search.digest(mean_search.cluster(table(spark, sf_dir, "embeddings")))

@@ -1,0 +1,142 @@
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from gaugeline.llm import prefix_trie
+from gaugeline.llm.spill_queue import SpillQueue
+
+SCHEMA = "conv_id long, turn int, role string, text string, depth string, K1 int, size int"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+
+
+def slow(rows, group=20, shared=4):
+    """Every prefix as a tuple in a dictionary."""
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn, role or "", text or ""))
+
+    def order(t):
+        turn, role, text = t
+        return turn is not None, turn or 0, hashlib.sha256(f"{len(role)}:{role}{text}".encode()).hexdigest()
+
+    turns = {c: [t[1:] for t in sorted(ts, key=order)] for c, ts in own.items()}
+    members, ends = {}, {}
+    for c in turns:
+        h = zlib.crc32(str(c).encode()) % shared
+        base = c - (abs(c) % group) * (1 if c >= 0 else -1)
+        whole = tuple(turns.get(base, [])[:h] + turns[c][h:])
+        for d in range(len(whole) + 1):
+            members.setdefault(whole[:d], []).append(c)
+        ends.setdefault(whole, []).append(c)
+    children, found = {}, set()
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    totals = {}
+    for node in sorted(members, key=len, reverse=True):
+        below = [totals[n] for n in children.get(node, [])]
+        words = len(WORD.findall(node[-1][1])) if node else 0
+        leaves = sum(b[0] for b in below) if below else 1
+        totals[node] = leaves, (len(members[node]) - 1) * words + sum(b[1] for b in below)
+    for node, ids in members.items():
+        parent = min(members[node[:-1]]) if node else None
+        listed = ",".join(map(str, sorted(ends.get(node, []))))
+        sha = hashlib.sha256(listed.encode()).hexdigest()
+        found.add((min(ids), len(node), parent, len(ids), len(children.get(node, [])), *totals[node], sha))
+    return found
+
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def run(spark, rows, **settings):
+    found = prefix_trie.trie(table(spark, rows), **settings).nodes.select(COLUMNS).collect()
+    assert len(found) == len(set(map(tuple, found)))
+    return set(map(tuple, found))
+
+
+def conversations(seed, n=120, texts=3, longest=9):
+    rng = random.Random(seed)
+    rows = []
+    for c in range(n):
+        for turn in range(rng.randint(1, longest)):
+            rows.append((c, turn, rng.choice(["user", "assistant"]), " ".join(["w"] * rng.randint(0, texts))))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_against_dictionary_of_prefixes(spark):
+    rows = conversations(0)
+    assert run(spark, rows) == slow(rows)
+
+
+def test_many_small_shards_and_spilling_queues(spark):
+    rows = conversations(1, longest=14)
+    assert run(spark, rows, depth_block=3, shard_rows=5, held=2) == slow(rows)
+
+
+def test_one_long_conversation_and_one_common_opening(spark):
+    rng = random.Random(2)
+    rows = [(40, i, "user", f"t{i % 7}") for i in range(300)]
+    rows += [(c, t, "user", "same" if t < 3 else str(rng.random())) for c in range(100, 220) for t in range(5)]
+    assert run(spark, rows, depth_block=8, shard_rows=64) == slow(rows)
+
+
+def test_edges(spark):
+    rows = [
+        (None, 0, "user", "nobody's"), (0, 0, "system", None), (0, 1, None, ""), (0, None, "user", "null turn first"),
+        (3, 5, "user", "a b"), (3, 5, "user", "a b"), (3, 5, "user", "c"), (3, 5, None, None),
+        (-7, 0, "user", "negative"), (-7, 1, "user", "goes to 0"), (61, 0, "user", "no first of its group"),
+        (62, 0, "user", "x" * 50000 + " é " * 3), (41, 0, "user", "one"), (40, 0, "user", "one"),
+    ]
+    rows += [(80, None, "user", "again")] * 40
+    assert run(spark, rows) == slow(rows)
+    assert run(spark, rows, depth_block=2, shard_rows=2, held=1) == slow(rows)
+    assert run(spark, []) == set()
+    only = [(None, None, None, None)]
+    assert run(spark, only) == set()
+
+
+def test_members_name_every_prefix(spark):
+    found = prefix_trie.trie(table(spark, conversations(3, n=30)))
+    keys = {(r["depth"], r["k1"], r["k2"]): r["n_convs"] for r in found.nodes.collect()}
+    counted = found.members.groupBy("depth", "k1", "k2").count().collect()
+    assert {(r["depth"], r["k1"], r["k2"]): r["count"] for r in counted} == keys
+
+
+def test_no_shard_is_heavier_than_allowed(spark):
+    """Subtrees within a block beyond the limit are cut, so a common opening is not one task."""
+    rows = [(c, t, "user", "same" if t < 2 else f"{c} {t}") for c in range(400) for t in range(4)]
+    keyed = prefix_trie._keyed(prefix_trie._rebuilt(prefix_trie._turns(table(spark, rows)), 20, 4), 64)
+    nodes = prefix_trie._nodes(prefix_trie._sharded(keyed, 64, 50))
+    sizes = [r["count"] for r in nodes.groupBy(*prefix_trie.SHARD).count().collect()]
+    assert len(sizes) > 100 and max(sizes) <= 50
+
+
+@pytest.mark.parametrize("held, runs", [(1, 2), (3, 2), (10, 32), (1000, 32)])
+def test_spill_queue_returns_in_order(held, runs):
+    rng = random.Random(held)
+    queue, waiting, last = SpillQueue(2, held, runs), [], -1
+    for _ in range(600):
+        if waiting and rng.random() < 0.45:
+            assert queue.peek() == min(waiting)
+            last = queue.pop()[0]
+            waiting.remove(min(waiting))
+        else:
+            entry = (max(last, 0) + rng.randint(0, 50), rng.randint(-(2**62), 2**62))
+            queue.push(entry)
+            waiting.append(entry)
+    while waiting:
+        entry = queue.pop()
+        assert entry == min(waiting)
+        waiting.remove(entry)
+    assert queue.peek() is None
+    assert held == 1000 or queue.spilled
