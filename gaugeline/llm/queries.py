@@ -13,6 +13,7 @@ from gaugeline.llm import (
     curriculum,
     mean_search,
     packing,
+    personal_data,
     prefix_trie,
     quality_fm,
     quality_rules,
@@ -143,6 +144,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.digest(personal_data.scan(docs, personal_data.fit(docs)))
+
+
 @query
 def op13_mean_search_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_search.digest(mean_search.cluster(table(spark, sf_dir, "embeddings")))
