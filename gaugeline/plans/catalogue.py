@@ -14,9 +14,10 @@ from gaugeline.operators.ranking import dedup_first, dedup_within, first_per_key
 from gaugeline.operators.sequence import sequence_numbers
 from gaugeline.plans import event_messages as source
 from gaugeline.plans.oracles import ALERT_JSON, FLAT_JSON, MESSAGES, NESTED_JSON, READING
-from gaugeline.schemas import ALERT_COLUMNS, ARRIVAL_ORDER, READING_COLUMNS, READING_KEY
+from gaugeline.schemas import ALERT_COLUMNS, ARRIVAL_ORDER, KEY_VALUE, READING_COLUMNS, READING_KEY
 from gaugeline.session import configure, scratch_dir
 from gaugeline.sinks import archive, export, search
+from gaugeline.sinks.keyed import KeyedTable
 from gaugeline.sinks.progress import counted
 from gaugeline.sources import messages as topics
 from gaugeline.sources import tables
@@ -29,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 PUTS_PER_FILE = 1000
+VALUE_BUCKETS = 8
 PROCESSING_DAY = "2024-02-01"
 HORIZON = 10 * 24 * 3600
 
@@ -451,8 +453,20 @@ def kv_count(spark, sf_dir):
     return latest.snapshot(_puts(spark, sf_dir)).agg(F.count(F.lit(1)).alias("keys"))
 
 
+def _stored_puts(spark, sf_dir):
+    """The put log as a stored table by key, which the readers of single keys open."""
+    stored = KeyedTable(spark, scratch_dir(spark, "values"), KEY_VALUE, "key", VALUE_BUCKETS)
+    stored.upsert(_puts(spark, sf_dir), latest.POSITION, "log", 0)
+    return stored
+
+
 @query(MESSAGES + "SELECT key, value FROM newest WHERE key = '7-77'")
 def kv_get(spark, sf_dir):
+    return _stored_puts(spark, sf_dir).get("7-77")
+
+
+@query(MESSAGES + "SELECT key, value FROM newest WHERE key = '7-77'")
+def kv_get_from_log(spark, sf_dir):
     return latest.get(_puts(spark, sf_dir), "7-77")
 
 
@@ -466,7 +480,7 @@ def kv_get_many(spark, sf_dir):
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
     number = F.col("c_custkey")
     key = F.concat_ws("-", (number % 11).cast("string"), number.cast("string"))
-    return latest.get_many(_puts(spark, sf_dir), customers.select(key.alias("key")))
+    return _stored_puts(spark, sf_dir).get_many(customers.select(key.alias("key")))
 
 
 _POSITIONED = "key, value, ts_ms, file_id, offset_ AS arrival"
@@ -576,8 +590,7 @@ def _alert_fan_out(spark, sf_dir, sink):
 
 @query(MESSAGES + f"SELECT {_ALERT} FROM raised")
 def stream_alert_archive(spark, sf_dir):
-    path = f"{_alert_fan_out(spark, sf_dir, fan_out.ARCHIVE)}/{fan_out.ARCHIVE}"
-    return tables.read_alert_archive(spark, path).drop("date")
+    return fan_out.archived_alerts(spark, _alert_fan_out(spark, sf_dir, fan_out.ARCHIVE)).drop("date")
 
 
 @query(MESSAGES + _INDEXED_ALERTS)
@@ -610,14 +623,12 @@ _DATED_KEPT = _DATED.replace("FROM first", "FROM kept")
 @query(_kept(HORIZON) + _DATED_KEPT)
 def stream_dedup(spark, sf_dir):
     """A horizon that ends within the table: ids are suppressed, and pass again."""
-    root = _fan_out(spark, sf_dir, fan_out.ARCHIVE, horizon=HORIZON)
-    return tables.read_archive(spark, f"{root}/{fan_out.ARCHIVE}")
+    return fan_out.archived(spark, _fan_out(spark, sf_dir, fan_out.ARCHIVE, horizon=HORIZON))
 
 
 @query(_STREAMED + _DATED_KEPT)
 def stream_archive(spark, sf_dir):
-    root = _fan_out(spark, sf_dir, fan_out.ARCHIVE)
-    return tables.read_archive(spark, f"{root}/{fan_out.ARCHIVE}")
+    return fan_out.archived(spark, _fan_out(spark, sf_dir, fan_out.ARCHIVE))
 
 
 @query(
@@ -629,15 +640,50 @@ def stream_latest(spark, sf_dir):
     return fan_out.latest_values(spark, _fan_out(spark, sf_dir, fan_out.LATEST))
 
 
-@query(
-    _STREAMED
-    + f"""SELECT station_id || '-' || s_no AS doc_id, {READING} FROM kept
-    QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival DESC) = 1"""
-)
+_INDEXED = f"""SELECT station_id || '-' || s_no AS doc_id, {READING} FROM kept
+QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival DESC) = 1"""
+
+
+@query(_STREAMED + _INDEXED)
 def stream_index(spark, sf_dir):
     return fan_out.indexed_documents(spark, _fan_out(spark, sf_dir, fan_out.DOCUMENTS))
 
 
+@query(_STREAMED + _INDEXED)
+def stream_index_buckets(spark, sf_dir):
+    """Every document by its own id, out of the bucket it lies in."""
+    root = _fan_out(spark, sf_dir, fan_out.DOCUMENTS)
+    found = fan_out.indexed_documents(spark, root).select("doc_id")
+    return fan_out.document_table(spark, root).get_many(found)
+
+
+@query(
+    MESSAGES
+    + f"""SELECT {READING}, 1 AS run FROM first WHERE arrival % 2 = 0
+    UNION ALL SELECT {READING}, 2 FROM (SELECT * FROM valid WHERE arrival % 2 = 1
+      QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival) = 1)""".replace(
+        "FROM first WHERE arrival % 2 = 0",
+        """FROM (SELECT * FROM valid WHERE arrival % 2 = 0
+      QUALIFY row_number() OVER (PARTITION BY station_id, s_no ORDER BY arrival) = 1)""",
+    )
+)
+def stream_archive_rerun(spark, sf_dir):
+    """Two checkpoints on one root: even messages under the first, odd ones under the second."""
+    root, events = scratch_dir(spark, "rerun"), source.read_events(spark, sf_dir)
+    seen = None
+    for run in (1, 2):
+        landing = scratch_dir(spark, "landing")
+        events.where(F.col("event_id") % 2 == run - 1).write.parquet(landing)
+        topic = source.event_messages(source.stream_events(spark, landing))
+        sinks, forever = [fan_out.ARCHIVE], 10 * 365 * 24 * 3600
+        fan_out.start_fan_out(topic, root, scratch_dir(spark, "checkpoint"), sinks, forever).awaitTermination()
+        stored = fan_out.archived(spark, root).drop("date")
+        added = stored if seen is None else stored.exceptAll(seen.drop("run"))
+        numbered = added.withColumn("run", F.lit(run))
+        seen = numbered if seen is None else seen.unionByName(numbered)
+    return seen
+
+
 # A batch indexes the last reading of an id, of which all that were kept have been judged.
 @query(
     _STREAMED

@@ -16,6 +16,13 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # State lies on local disk, and a batch uploads its changes only.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # What is to be forgotten is forgotten with the next messages; no batch runs for it alone.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 

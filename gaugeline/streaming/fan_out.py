@@ -1,7 +1,8 @@
 """One pass over the readings topic that feeds every sink, keeping the first copy of an id.
 
-Each micro-batch is parsed once. Every sink writes under the batch's own number, so a batch
-replayed after a failure replaces what it wrote before.
+Each micro-batch is parsed once; repeats are told by the state store. Every sink commits a batch under
+the run and the batch's number, so one replayed after a failure is skipped by the sinks that
+have it, and a stream with a new checkpoint adds to what earlier ones wrote.
 """
 
 from __future__ import annotations
@@ -19,158 +20,88 @@ from gaugeline.operators.alerts import alert_records, parse_alerts, unreadable_a
 from gaugeline.operators.documents import (
     Check,
     accepted_documents,
-    latest_documents,
     rejection_envelopes,
+    with_document_id,
     with_outcome,
 )
 from gaugeline.operators.latest import puts_from_readings
-from gaugeline.operators.ranking import dedup_within, first_per_key, last_per_key
 from gaugeline.operators.readings import invalid_messages, parse_readings, valid_readings
 from gaugeline.schemas import (
     ALERT_ARCHIVE,
     ALERT_DOCUMENT,
     ARRIVAL_ORDER,
     DEAD_LETTER,
-    INT,
     KEY_VALUE,
     LONG,
+    READING_ARCHIVE,
     READING_COLUMNS,
     READING_DOCUMENT,
-    READING_KEY,
 )
 from gaugeline.sinks.archive import DIRECTORIES, dated_readings, spread_by_layout
-from gaugeline.sinks.batches import BATCH, read_batch, read_batches, write_batch
+from gaugeline.sinks.batches import read_batches, write_batch
+from gaugeline.sinks.keyed import KeyedTable
+from gaugeline.sinks.versions import run_of
+from gaugeline.streaming.first_arrivals import first_arrivals
 from gaugeline.streaming.jobs import start
 
 ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS = "archive", "documents", "latest", "dead_letters"
 ALL_SINKS = (ARCHIVE, DOCUMENTS, LATEST, DEAD_LETTERS)
 ALERT_SINKS = (ARCHIVE, DOCUMENTS)
-REJECTED, SEEN = "rejected", "seen"
+REJECTED = "rejected"
 
 # How long an id is remembered: what 100,000 ids amount to at 45 readings a second.
 HORIZON_SECONDS = 40 * 60
 
-POSITION = [T.StructField("partition", INT), T.StructField("offset", LONG)]
-BATCH_FIELD = T.StructField(BATCH, LONG)
-NEWEST = [BATCH, *ARRIVAL_ORDER]
-
-LATEST_TABLE = T.StructType([*KEY_VALUE.fields, *POSITION, BATCH_FIELD])
-READING_TABLE = T.StructType([*READING_DOCUMENT.fields, *POSITION, BATCH_FIELD])
-ALERT_TABLE = T.StructType([*ALERT_DOCUMENT.fields, *POSITION, BATCH_FIELD])
 DEAD_LETTER_TABLE = T.StructType([*DEAD_LETTER.fields, T.StructField("offset", LONG)])
-SEEN_IDS = T.StructType([T.StructField(name, LONG) for name in [*READING_KEY, "arrived"]])
-
-
-def _remembered(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """The ids the batch before left. Each batch writes all that are still within the horizon."""
-    if batch_id == 0:
-        return spark.createDataFrame([], SEEN_IDS)
-    return read_batch(spark, f"{root}/{SEEN}", batch_id - 1, SEEN_IDS)
 
 
-def _remember(
-    accepted: DataFrame, known: DataFrame, root: str, batch_id: int, horizon: int
-) -> None:
-    """Write the ids the next batch needs, and empty the directory no batch will read again.
-
-    An id is forgotten once the median arrival of a batch is two horizons past it, so one clock
-    ahead makes no other id forgotten, and a message late by less than a horizon is still compared.
-    """
-    now = accepted.agg(F.percentile_approx(F.unix_timestamp("timestamp"), 0.5).alias("now"))
-    new = accepted.select(*READING_KEY, F.unix_timestamp("timestamp").alias("arrived"))
-    every = known.unionByName(new).where(F.col("arrived").isNotNull())
-    oldest = F.coalesce(now.scalar() - 2 * horizon, F.lit(-(2**62)))
-    write_batch(every.where(F.col("arrived") >= oldest), f"{root}/{SEEN}", batch_id)
-    if batch_id >= 2:
-        empty = accepted.sparkSession.createDataFrame([], SEEN_IDS)
-        write_batch(empty.coalesce(1), f"{root}/{SEEN}", batch_id - 2)
+def document_table(spark: SparkSession, root: str, schema: T.StructType = READING_DOCUMENT) -> KeyedTable:
+    return KeyedTable(spark, f"{root}/{DOCUMENTS}", schema, "doc_id")
 
 
-def _write_archive(dated: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(spread_by_layout(dated), path, batch_id, DIRECTORIES)
+def latest_table(spark: SparkSession, root: str) -> KeyedTable:
+    return KeyedTable(spark, f"{root}/{LATEST}", KEY_VALUE, "key")
 
 
-def _write_documents(records: DataFrame, schema: T.StructType, path: str, batch_id: int) -> None:
-    documents = latest_documents(records).select(*schema.fieldNames(), *ARRIVAL_ORDER)
-    write_batch(documents, path, batch_id)
+def _write_archive(dated: DataFrame, root: str, run: str, batch_id: int) -> None:
+    write_batch(spread_by_layout(dated), f"{root}/{ARCHIVE}", run, batch_id, DIRECTORIES)
 
 
-def _write_dead_letters(letters: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(letters.select("key", "value", "offset"), path, batch_id)
-
-
-def _settled(parsed: DataFrame, with_invalid: bool) -> DataFrame:
-    """The rows of a batch that any sink may want, from one parse and one shuffle.
-
-    These are the first copies of each id per second of arrival, and
-    if wanted every invalid message, which counts as an id of its own. Raw text stays on
-    invalid rows only. A busy id is small from here on, and so is what is held for the sinks.
-    """
-    added = {"_moment": F.unix_timestamp("timestamp")}
-    if with_invalid:
-        added |= {f"_own_{c}": F.when(~F.col("valid"), F.col(c)) for c in ARRIVAL_ORDER}
-        parsed = parsed.withColumn("value", F.when(~F.col("valid"), F.col("value")))
-    else:
-        parsed = parsed.where("valid")
-    return first_per_key(parsed.withColumns(added), [*READING_KEY, *added]).drop(*added)
-
-
-def _write_new_readings(
-    first: DataFrame,
-    batch_id: int,
-    root: str,
-    sinks: Collection[str],
-    horizon: int,
-    checks: Sequence[Check],
-) -> None:
-    known = _remembered(first.sparkSession, root, batch_id)
-    accepted = dedup_within(first, horizon, kept=known).persist()
-    try:
-        if ARCHIVE in sinks:
-            _write_archive(dated_readings(accepted), f"{root}/{ARCHIVE}", batch_id)
-        if DOCUMENTS in sinks:
-            judged = with_outcome(accepted, checks)
-            wanted = accepted_documents(judged)
-            _write_documents(wanted, READING_DOCUMENT, f"{root}/{DOCUMENTS}", batch_id)
-            if checks:
-                refused = rejection_envelopes(judged, READING_COLUMNS, message_id(), ["offset"])
-                _write_dead_letters(refused, f"{root}/{REJECTED}", batch_id)
-        if LATEST in sinks:
-            newest = last_per_key(puts_from_readings(accepted), ["key"])
-            write_batch(newest.select("key", "value", *ARRIVAL_ORDER), f"{root}/{LATEST}", batch_id)
-        _remember(accepted, known, root, batch_id, horizon)
-    finally:
-        accepted.unpersist()
+def _write_dead_letters(letters: DataFrame, path: str, run: str, batch_id: int) -> None:
+    write_batch(letters.select("key", "value", "offset"), path, run, batch_id)
 
 
 def process_batch(
-    messages: DataFrame,
+    rows: DataFrame,
     batch_id: int,
     root: str,
+    run: str,
     sinks: Collection[str] = ALL_SINKS,
-    horizon: int = HORIZON_SECONDS,
     checks: Sequence[Check] = (),
 ) -> None:
-    """Parse one micro-batch, keep new readings and write the wanted sinks.
+    """Write one micro-batch of parsed messages, free of repeats, to the wanted sinks.
 
     A document that fails one of the ``checks`` is not indexed but becomes a dead letter with
-    the reason; it stays in the other sinks. Batches are numbered from 0 without gaps, as a
-    checkpoint numbers them.
+    the reason; it stays in the other sinks.
     """
-    parsed = parse_readings(messages)
-    letters = f"{root}/{DEAD_LETTERS}"
-    if set(sinks) <= {DEAD_LETTERS}:
-        _write_dead_letters(invalid_messages(parsed), letters, batch_id)
-        return
-    wants_letters = DEAD_LETTERS in sinks
-    settled = _settled(parsed, wants_letters).persist()
+    spark, held = rows.sparkSession, rows.persist()
     try:
-        if wants_letters:
-            _write_dead_letters(invalid_messages(settled), letters, batch_id)
-        first = valid_readings(settled)
-        _write_new_readings(first, batch_id, root, sinks, horizon, checks)
+        if DEAD_LETTERS in sinks:
+            _write_dead_letters(invalid_messages(held), f"{root}/{DEAD_LETTERS}", run, batch_id)
+        accepted = valid_readings(held)
+        if ARCHIVE in sinks:
+            _write_archive(dated_readings(accepted), root, run, batch_id)
+        if DOCUMENTS in sinks:
+            judged = with_outcome(accepted, checks)
+            wanted = with_document_id(accepted_documents(judged))
+            document_table(spark, root).upsert(wanted, ARRIVAL_ORDER, run, batch_id)
+            if checks:
+                refused = rejection_envelopes(judged, READING_COLUMNS, message_id(), ["offset"])
+                _write_dead_letters(refused, f"{root}/{REJECTED}", run, batch_id)
+        if LATEST in sinks:
+            latest_table(spark, root).upsert(puts_from_readings(accepted), ARRIVAL_ORDER, run, batch_id)
     finally:
-        settled.unpersist()
+        held.unpersist()
 
 
 def start_fan_out(
@@ -185,15 +116,20 @@ def start_fan_out(
     """Run :func:`process_batch` on every micro-batch of a message stream.
 
     A reading is kept if no kept one of its id arrived within ``horizon`` seconds before it,
-    in its own batch or an earlier one. That is told by the arrival times alone: nothing waits for
-    a watermark, and nothing is dropped for being late.
+    in its own batch or an earlier one of the same checkpoint.
     """
-    step = partial(process_batch, root=root, sinks=tuple(sinks), horizon=horizon, checks=checks)
-    return start(messages.writeStream.foreachBatch(step), checkpoint, every)
+    parsed = parse_readings(messages)
+    if set(sinks) <= {DEAD_LETTERS}:
+        rows = parsed.where(~F.col("valid"))
+    else:
+        rows = first_arrivals(parsed if DEAD_LETTERS in sinks else parsed.where("valid"), horizon)
+    run = run_of(messages.sparkSession, checkpoint)
+    step = partial(process_batch, root=root, run=run, sinks=tuple(sinks), checks=checks)
+    return start(rows.writeStream.foreachBatch(step), checkpoint, every)
 
 
 def process_alert_batch(
-    parsed: DataFrame, batch_id: int, root: str, sinks: Collection[str] = ALERT_SINKS
+    parsed: DataFrame, batch_id: int, root: str, run: str, sinks: Collection[str] = ALERT_SINKS
 ) -> None:
     """Write one micro-batch of parsed, dated alerts to the wanted sinks.
 
@@ -202,13 +138,13 @@ def process_alert_batch(
     held = parsed.withColumn("value", F.when(~F.col("valid"), F.col("value"))).persist()
     try:
         if DEAD_LETTERS in sinks:
-            _write_dead_letters(unreadable_alerts(held), f"{root}/{DEAD_LETTERS}", batch_id)
+            _write_dead_letters(unreadable_alerts(held), f"{root}/{DEAD_LETTERS}", run, batch_id)
         alerts = alert_records(held)
         if ARCHIVE in sinks:
-            dated = alerts.select(*ALERT_ARCHIVE.fieldNames())
-            _write_archive(dated, f"{root}/{ARCHIVE}", batch_id)
+            _write_archive(alerts.select(*ALERT_ARCHIVE.fieldNames()), root, run, batch_id)
         if DOCUMENTS in sinks:
-            _write_documents(alerts, ALERT_DOCUMENT, f"{root}/{DOCUMENTS}", batch_id)
+            table = document_table(parsed.sparkSession, root, ALERT_DOCUMENT)
+            table.upsert(with_document_id(alerts), ARRIVAL_ORDER, run, batch_id)
     finally:
         held.unpersist()
 
@@ -226,26 +162,29 @@ def start_alert_fan_out(
     is taken on the stream, where a replayed batch gets its original date again.
     """
     dated = parse_alerts(messages).withColumn("date", F.current_date())
-    step = partial(process_alert_batch, root=root, sinks=tuple(sinks))
+    run = run_of(messages.sparkSession, checkpoint)
+    step = partial(process_alert_batch, root=root, run=run, sinks=tuple(sinks))
     return start(dated.writeStream.foreachBatch(step), checkpoint, every)
 
 
-def latest_values(spark: SparkSession, root: str) -> DataFrame:
-    table = read_batches(spark, f"{root}/{LATEST}", LATEST_TABLE)
-    return last_per_key(table, ["key"], NEWEST).select("key", "value")
+def archived(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, f"{root}/{ARCHIVE}", READING_ARCHIVE)
+
 
+def archived_alerts(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, f"{root}/{ARCHIVE}", ALERT_ARCHIVE)
 
-def _indexed(spark: SparkSession, root: str, table: T.StructType, document: T.StructType) -> DataFrame:
-    rows = read_batches(spark, f"{root}/{DOCUMENTS}", table)
-    return last_per_key(rows, ["doc_id"], NEWEST).select(*document.fieldNames())
+
+def latest_values(spark: SparkSession, root: str) -> DataFrame:
+    return latest_table(spark, root).rows()
 
 
 def indexed_documents(spark: SparkSession, root: str) -> DataFrame:
-    return _indexed(spark, root, READING_TABLE, READING_DOCUMENT)
+    return document_table(spark, root).rows()
 
 
 def indexed_alerts(spark: SparkSession, root: str) -> DataFrame:
-    return _indexed(spark, root, ALERT_TABLE, ALERT_DOCUMENT)
+    return document_table(spark, root, ALERT_DOCUMENT).rows()
 
 
 def dead_letters(spark: SparkSession, root: str) -> DataFrame:

@@ -5,38 +5,30 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.operators.observations import normalize_observations
 from gaugeline.operators.readings import to_messages
-from gaugeline.schemas import KEY_VALUE, LONG
-from gaugeline.sinks.batches import read_batch, read_batches, write_batch
+from gaugeline.schemas import KEY_VALUE
+from gaugeline.sinks.batches import read_batches, write_batch
+from gaugeline.sinks.versions import Versions, run_of
 from gaugeline.streaming.jobs import start
 
-MESSAGES, TOTALS = "messages", "totals"
+MESSAGES = "messages"
+PAYLOADS = "payloads"
 
-TOTAL = T.StructType([T.StructField("payloads", LONG)])
 
-
-def _earlier_payloads(spark: SparkSession, path: str, batch_id: int) -> int:
-    """Payloads of all batches before this one, as the last of them left it: one row."""
-    if batch_id == 0:
-        return 0
-    return read_batch(spark, path, batch_id - 1, TOTAL).first()["payloads"]
-
-
-def process_observations(payloads: DataFrame, batch_id: int, root: str) -> None:
-    """Turn one micro-batch into messages, numbered on from the batches before it."""
-    totals = f"{root}/{TOTALS}"
-    earlier = _earlier_payloads(payloads.sparkSession, totals, batch_id)
+def process_observations(payloads: DataFrame, batch_id: int, root: str, run: str) -> None:
+    """Turn one micro-batch into messages, numbered on from the payloads counted before it."""
+    path = f"{root}/{MESSAGES}"
+    before = Versions(payloads.sparkSession, path).state()
+    if before.has(run, batch_id):
+        return
+    earlier = before.facts.get(PAYLOADS, 0)
     held = payloads.persist()
     try:
         messages = to_messages(normalize_observations(held, earlier))
-        write_batch(messages, f"{root}/{MESSAGES}", batch_id)
-        upto_here = held.agg((F.count(F.lit(1)) + F.lit(earlier)).alias("payloads"))
-        write_batch(upto_here, totals, batch_id)
+        write_batch(messages, path, run, batch_id, facts={PAYLOADS: earlier + held.count()})
     finally:
         held.unpersist()
 
@@ -44,7 +36,7 @@ def process_observations(payloads: DataFrame, batch_id: int, root: str) -> None:
 def start_observations(
     payloads: DataFrame, root: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    step = partial(process_observations, root=root)
+    step = partial(process_observations, root=root, run=run_of(payloads.sparkSession, checkpoint))
     return start(payloads.writeStream.foreachBatch(step), checkpoint, every)
 
 

@@ -1,0 +1,139 @@
+import glob
+import os
+import random
+
+import pytest
+from helpers import as_dict, plan, rows
+
+from gaugeline.schemas import KEY_VALUE
+from gaugeline.sinks import batches
+from gaugeline.sinks.keyed import KeyedTable
+from gaugeline.sinks.versions import WHOLE_EVERY, Versions, VersionTaken, run_of
+
+ROWS = "key string, value string, at int"
+
+
+def table(spark, path, buckets=8):
+    return KeyedTable(spark, path, KEY_VALUE, "key", buckets)
+
+
+def put(spark, stored, pairs, run="r", batch_id=0):
+    some = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(pairs)], ROWS)
+    return stored.upsert(some, ["at"], run, batch_id)
+
+
+def test_random_upserts_equal_a_dictionary(spark, at):
+    rng, kept, stored = random.Random(0), {}, table(spark, at("t"))
+    for batch_id in range(5):
+        pairs = [(f"k{rng.randrange(60)}", str(rng.random())) for _ in range(rng.choice([0, 1, 40]))]
+        assert put(spark, stored, pairs, batch_id=batch_id)
+        kept |= dict(pairs)
+        assert as_dict(stored.rows()) == kept
+    assert not put(spark, stored, [("k1", "replayed")], batch_id=4)  # committed before
+    assert as_dict(stored.rows()) == kept
+    assert put(spark, stored, [("k1", "another run")], run="s")
+    assert as_dict(stored.rows())["k1"] == "another run"
+
+
+def test_reading_ranks_nothing(spark, at):
+    stored = table(spark, at("t"))
+    put(spark, stored, [("a", "1"), ("b", "2")])
+    text = plan(stored.rows())
+    assert "Window" not in text and "Exchange" not in text and "Sort" not in text
+
+
+def test_untouched_files_keep_their_names(spark, at):
+    stored = table(spark, at("t"))
+    put(spark, stored, [(f"k{i}", "v") for i in range(200)])
+    before = stored.versions.state().live
+    put(spark, stored, [("k7", "new")], batch_id=1)
+    after = stored.versions.state().live
+    changed = [b for b in before if before[b] != after[b]]
+    assert len(before) == 8 and len(changed) == 1
+    written = glob.glob(f"{at('t')}/{after[changed[0]].split('/bucket')[0]}/*/*.parquet")
+    assert len(written) == 1  # and only that bucket was written
+
+
+def test_get_opens_one_bucket_and_few_rows(spark, at):
+    stored = table(spark, at("t"))
+    spark.conf.set("parquet.block.size", 64 * 1024)
+    many = spark.range(40_000).selectExpr("cast(id AS string) AS key", "repeat('v', 40) AS value", "1 AS at")
+    stored.upsert(many, ["at"], "r", 0)
+    found = stored.get("12345")
+    assert len(found.inputFiles()) == 1 and "EqualTo(key,12345)" in plan(found)
+    assert [r["key"] for r in found.collect()] == ["12345"]
+    leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    read = leaf.metrics().apply("numOutputRows").value()
+    assert read < 5000  # a bucket holds as many, and only some of its row groups are opened
+    assert rows(stored.get("none")) == [] and rows(stored.get(None)) == []
+
+
+def test_get_many(spark, at):
+    stored = table(spark, at("t"), buckets=32)
+    put(spark, stored, [(f"k{i}", str(i)) for i in range(100)])
+    asked = spark.createDataFrame([("k3",), ("k3",), ("none",), (None,)], "key string")
+    found = stored.get_many(asked)
+    assert rows(found) == [("k3", "3"), ("k3", "3"), ("none", None), (None, None)]
+    assert len([f for f in found.inputFiles() if "/bucket=" in f]) <= 3
+    empty = table(spark, at("e"))
+    assert rows(empty.rows()) == [] and rows(empty.get("k")) == [] and empty.get_many(asked).count() == 4
+
+
+def test_clean_leaves_what_is_live(spark, at):
+    stored = table(spark, at("t"), buckets=1)
+    for batch_id in range(3):
+        put(spark, stored, [("a", str(batch_id))], batch_id=batch_id)
+    assert stored.clean() == []  # too young
+    assert len(stored.clean(older_than=0)) == 2
+    assert as_dict(stored.rows()) == {"a": "2"}
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n long")
+
+
+def test_appends_of_two_writers_both_stay(spark, at):
+    schema = numbers(spark, 1).schema
+    assert batches.write_batch(numbers(spark, 1, 2), at("t"), "a", 0)
+    assert not batches.write_batch(numbers(spark, 1, 2), at("t"), "a", 0)
+    assert batches.write_batch(numbers(spark, 3), at("t"), "b", 0)
+    assert rows(batches.read_batches(spark, at("t"), schema)) == [(1,), (2,), (3,)]
+
+
+def test_a_reader_sees_before_or_after(spark, at):
+    schema = numbers(spark, 1).schema
+    batches.write_batch(numbers(spark, 1), at("t"), "a", 0)
+    begun = batches.read_batches(spark, at("t"), schema)
+    numbers(spark, 9).write.parquet(at("t") + "/data/batch=failed-attempt")
+    batches.write_batch(numbers(spark, 2), at("t"), "a", 1)
+    assert batches.compact_batches(spark, at("t"), schema) == 2
+    assert rows(begun) == [(1,)]  # its files are still there
+    assert rows(batches.read_batches(spark, at("t"), schema)) == [(1,), (2,)]
+    assert len(batches.clean(spark, at("t"), older_than=0)) == 3
+    assert rows(batches.read_batches(spark, at("t"), schema)) == [(1,), (2,)]
+    assert not batches.write_batch(numbers(spark, 2), at("t"), "a", 1)  # still known after compaction
+
+
+def test_two_commits_of_one_version(spark, at):
+    log = Versions(spark, at("t"))
+    before = log.state()
+    log.commit(before, {"x": "data/x"}, "a", 0)
+    with pytest.raises(VersionTaken):
+        log.commit(before, {"y": "data/y"}, "b", 0)
+    assert log.state().live == {"x": "data/x"} and not log.state().has("b", 0)
+    assert not [n for n in os.listdir(at("t") + "/versions") if n.endswith(".tmp")]
+
+
+def test_the_log_stays_short(spark, at):
+    log = Versions(spark, at("t"))
+    for i in range(4 * WHOLE_EVERY + 2):
+        log.commit(log.state(), {str(i % 5): f"data/{i}"}, "a", i, facts={"n": i})
+    found = log.state()
+    assert found.version == i and found.facts == {"n": i} and found.runs == {"a": i}
+    assert sorted(found.live.values()) == [f"data/{k}" for k in range(i - 4, i + 1)]
+    assert len([n for n in os.listdir(at("t") + "/versions") if n.endswith(".json")]) <= 3 * WHOLE_EVERY
+
+
+def test_a_run_is_a_checkpoint(spark, at):
+    first = run_of(spark, at("a"))
+    assert run_of(spark, at("a")) == first != run_of(spark, at("b"))
