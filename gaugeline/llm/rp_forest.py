@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import stored
+from gaugeline.llm.common import let, stored
 
 TREES = 12
 DEPTH = 7
@@ -29,7 +29,7 @@ SAMPLE = 16384
 SHARE = 0.9  # of the index's size, in candidates counted once per tree
 LEAST = 64  # candidates per tree, so that a small index is searched whole
 BLOCK = 4096
-SPARE = 2  # candidates kept before the last scoring, per neighbour asked for
+NEAR = 1e-9  # scores of one product of matrices are off by less
 
 
 class Forest(NamedTuple):
@@ -95,6 +95,20 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
+def _scaled(vector: Column) -> Column:
+    """The vector times a power of two that brings its largest component near 1.
+
+    Neither cosines nor their rounding change by it, and no product is too small or large.
+    """
+
+    def by(v: Column) -> Column:
+        power = -F.floor(F.log2(F.array_max(F.transform(v, F.abs))))
+        half = F.floor(power / 2)
+        return F.transform(v, lambda x: x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half))
+
+    return let(vector, by)
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -102,6 +116,8 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def classes(vectors: DataFrame, keep: int, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """Distinct usable vectors: class_id, ids, vector; ``ids`` are the ``keep`` smallest of them.
 
+    Vectors that are a power of two times each other are one class, as their cosines are the same.
+
     Null, empty and zero vectors, vectors with a null or non-finite component or of another length than most,
     and rows without id take no part. A third of all rows can be one vector: only the
     smallest ids of each task reach the group.
@@ -114,7 +130,8 @@ def classes(vectors: DataFrame, keep: int, vec_id: str = "vec_id", embedding: st
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(~bad & some)
     by_length = usable.groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("rows"))
     length = by_length.orderBy(F.desc("rows"), F.desc("n")).first()
-    usable = usable.where(F.size("vector") == (length["n"] if length else 0)).distinct()
+    usable = usable.where(F.size("vector") == (length["n"] if length else 0))
+    usable = usable.withColumn("vector", _scaled(F.col("vector"))).distinct()
     place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     firsts = usable.withColumn("place", place).where(F.col("place") <= keep)
     grouped = firsts.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
@@ -145,24 +162,39 @@ def _leaves_for(forest: Forest, sizes: np.ndarray, enough: float):
     return opened
 
 
+def _in_order(products: np.ndarray) -> np.ndarray:
+    """Sums of rows, component after component."""
+    total = np.zeros(len(products))
+    for column in products.T:
+        total += column
+    return total
+
+
 def _best(keep: int):
-    """Scores of a block of queries against a block of a leaf; the best of each query."""
+    """The best of a block of a leaf for each of a block of queries, by exact score, then number.
+
+    A product of matrices finds who can be among them; whoever is as near as the last, up to what
+    rounding may hide, is scored again component after component, however many they are.
+    """
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query": [], "class_id": [], "near": []}).astype(
-                {"query": "int64", "class_id": "int64", "near": "float64"}
+            return pd.DataFrame({"query": [], "class_id": [], "score": []}).astype(
+                {"query": "int64", "class_id": "int64", "score": "float64"}
             )
-        scores = _unit(_matrix(left["vector"])) @ _unit(_matrix(right["vector"])).T
-        ids = right["class_id"].to_numpy(np.int64)
-        n = min(keep, len(ids))
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        asked, there = _matrix(left["vector"]), _matrix(right["vector"])
+        near = _unit(asked) @ _unit(there).T
+        ids, n = right["class_id"].to_numpy(np.int64), min(keep, near.shape[1])
+        least = -np.partition(-near, n - 1, axis=1)[:, n - 1]
+        row, column = np.nonzero(near >= (least - NEAR)[:, None])
+        a, b = np.sqrt(_in_order(asked * asked)), np.sqrt(_in_order(there * there))
+        score = _in_order(asked[row] * there[column]) / (a[row] * b[column])
+        order = np.lexsort((ids[column], -score, row))
+        row, column, score = row[order], column[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        first = place < n
         return pd.DataFrame(
-            {
-                "query": np.repeat(left["query"].to_numpy(np.int64), n),
-                "class_id": ids[top].ravel(),
-                "near": np.take_along_axis(scores, top, axis=1).ravel(),
-            }
+            {"query": left["query"].to_numpy(np.int64)[row[first]], "class_id": ids[column[first]], "score": score[first]}
         )
 
     return best
@@ -172,15 +204,6 @@ def _blocks(counts: DataFrame, block: int) -> DataFrame:
     return counts.select("leaf", F.ceil(F.col("n") / block).cast("long").alias("blocks"))
 
 
-def _cosine(a: Column, b: Column) -> Column:
-    """In double precision, component after component."""
-
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
-
-
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -220,7 +243,9 @@ def nearest(
     own = F.col("vec_id").cast("long").alias("query_id")
     asking = vectors.where(is_query & F.col("vec_id").isNotNull()).select(
         own, F.col("embedding").cast("array<double>").alias("vector")
-    ).distinct()
+    )
+    usable = F.exists("vector", lambda x: x != 0) & ~F.exists("vector", lambda x: x.isNull())
+    asking = asking.where(usable).withColumn("vector", _scaled(F.col("vector"))).distinct()
     asking = stored(asking.join(known.select("class_id", "vector"), "vector"), "asking")
     asked = asking.groupBy(F.col("class_id").alias("query")).agg(F.first("vector").alias("vector"))
     enough = max(share * total, max(LEAST, wanted) * trees)
@@ -242,17 +267,15 @@ def nearest(
     near = (
         left.groupBy("leaf", "i", "j")
         .cogroup(right.groupBy("leaf", "i", "j"))
-        .applyInPandas(_best(SPARE * wanted), "query long, class_id long, near double")
+        .applyInPandas(_best(wanted), "query long, class_id long, score double")
     )
-    once = near.groupBy("query", "class_id").agg(F.max("near").alias("near"))
-    first = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("near"), "class_id"))
-    short = once.withColumn("n", first).where(F.col("n") <= SPARE * wanted).drop("n", "near")
-
-    scored = (
-        short.join(known, "class_id")
-        .join(asked.select("query", F.col("vector").alias("asked")), "query")
-        .select("query", "ids", _cosine(F.col("asked"), F.col("vector")).alias("score"))
-        .select("query", F.explode("ids").alias("vec_id"), "score")
+    # A class found in several trees has the same score in each.
+    once = near.groupBy("query", "class_id").agg(F.first("score").alias("score"))
+    first = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "class_id"))
+    short = once.withColumn("n", first).where(F.col("n") <= wanted).drop("n")
+
+    scored = short.join(known.select("class_id", "ids"), "class_id").select(
+        "query", F.explode("ids").alias("vec_id"), "score"
     )
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     listed = scored.withColumn("n", F.row_number().over(by_score)).where(F.col("n") <= wanted)

@@ -76,3 +76,28 @@ def test_queue_opens_nearest_planes_first():
     assert {opened[t][0] for t in range(4)} == {0, 1, 2, 3}
     assert all((t, leaves[7, t]) in opened[:4] for t in range(4))
     assert sum(sizes[t, n] for t, n in forest.open_leaves(points[7], sizes, 30)) >= 30
+
+
+def test_ties_go_to_the_smallest_ids(spark):
+    v = [0.3, -0.7, 0.1, 0.9, 0.2, 0.4, -0.5, 0.6]
+    rows = [(0, v)] + [(i, [x * 2.0 ** (i % 41 - 20) for x in v]) for i in range(1, 60)]
+    found = run(spark, rows, k=5)
+    assert [i for _, i in found[0]] == [1, 2, 3, 4, 5] and found[0][0][0] == -1.0
+
+
+def test_many_parallel_vectors_that_are_no_powers_of_two(spark):
+    v = np.array([3, -7, 1, 9, 2, 4, -5, 6], dtype=float)
+    rows = [(i, (v * (i % 50 + 1)).tolist()) for i in range(200)]
+    found = run(spark, rows, k=5)
+    expected = slow(rows, lambda q: q % 10 == 0, 5)
+    assert {q: [s for s, _ in got] for q, got in found.items()} == {q: [s for s, _ in got] for q, got in expected.items()}
+
+
+def test_tiny_and_huge_components(spark):
+    table_ = spark.createDataFrame(
+        [(0, [1e-200, 0.0]), (1, [1e200, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1e-300]), (4, [5e-324, 0.0]), (5, [1.0, 1.0])],
+        "vec_id long, embedding array<double>",
+    )
+    found = rp_forest.nearest(table_, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [1, 2, 4, 5, 3]
+    assert [r["score"] for r in found] == pytest.approx([1, 1, 1, 0.5**0.5, 0])
