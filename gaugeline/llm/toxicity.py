@@ -5,7 +5,9 @@ one sentence tells in a long text. A bounded sample of labelled texts is counted
 features that tell the labels apart are selected, and their weights are trained. Besides the
 usual loss, every labelled sentence that names a group is paired with the same sentence
 about another group, and the squared change of its score, before it is squeezed between 0 and 1, is
-penalised: a group that is merely often insulted in the sample gets no weight of its own.
+penalised: a group that is merely often insulted in the sample gets no weight of its own. Texts
+that name no group teach this too: one sentence of each is paired with itself, with a term put in
+on one side and its swap on the other. The terms are features whether or not they tell labels apart.
 """
 
 from __future__ import annotations
@@ -14,12 +16,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.llm.common import stored
 from gaugeline.llm.labelled import Remembered
 
 LABELLED = 8000  # labelled texts at most
@@ -52,6 +56,25 @@ IDENTITY_TERMS = (
     ("immigrants", "natives", "refugees", "citizens"),
     ("disabled", "blind", "deaf"),
     ("old", "young"),
+    ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("muslime", "christen", "juden", "hindus"),
+    ("schwarze", "weiße"),
+    ("ausländer", "einheimische", "flüchtlinge"),
+    ("türken", "polen", "deutsche", "araber"),
+    ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs"),
+    ("noirs", "blancs", "arabes"),
+    ("immigrés", "réfugiés", "citoyens"),
+    ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos"),
+    ("negros", "blancos", "gitanos"),
+    ("inmigrantes", "refugiados", "ciudadanos"),
 )
 
 
@@ -70,8 +93,11 @@ def words_of(text: str) -> set[str]:
 
 
 class Model(NamedTuple):
+    """``pairs`` says how many sentences were swapped."""
+
     bias: float
     weights: dict[str, float]
+    pairs: int = 0
 
 
 def _count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,17 +135,31 @@ def _vectors(selected: dict[str, int]):
     def numbers(words: set[str]) -> list[int]:
         return sorted({selected[f] for w in words for f in _features(w) if f in selected})
 
+    terms = sorted(swaps)
+
+    def pair(words: set[str], others: set[str]) -> tuple[list[int], list[int]] | None:
+        """Features of one side only: what both have changes no difference of scores."""
+        own, other = set(numbers(words)), set(numbers(others))
+        return None if own == other else (sorted(own - other), sorted(other - own))
+
     def vectors(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for text, label in zip(part["text"], part["label"]):
                 rows.append((0, label, numbers(words_of(text)), []))
+                named, plain = False, None
                 for sentence in SENTENCE.findall(text.lower()):
-                    words = [w.strip(PUNCTUATION) for w in sentence.split()]
-                    if any(w in swaps for w in words):
-                        pair = numbers(set(words)), numbers({swaps.get(w, w) for w in words})
-                        if pair[0] != pair[1]:
-                            rows.append((1, label, *pair))
+                    words = {w.strip(PUNCTUATION) for w in sentence.split()}
+                    if not words.isdisjoint(swaps):
+                        named = True
+                        if found := pair(words, {swaps.get(w, w) for w in words}):
+                            rows.append((1, label, *found))
+                    elif words and plain is None:
+                        plain = words
+                if not named and plain:
+                    term = terms[crc32(text.encode()) % len(terms)]
+                    if found := pair(plain | {term}, plain | {swaps[term]}):
+                        rows.append((1, label, *found))
             yield pd.DataFrame(rows, columns=["swapped", "label", "own", "other"])
 
     return vectors
@@ -152,15 +192,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def train(
-    rows: list, labels: list, own: list, other: list, width: int, counterfactual: float = COUNTERFACTUAL
+    rows: list,
+    labels: list,
+    own: list,
+    other: list,
+    width: int,
+    counterfactual: float = COUNTERFACTUAL,
+    times: list | None = None,
 ) -> tuple[float, np.ndarray]:
-    """Bias and weights. ``own`` and ``other`` are the sentences of each pair.
+    """Bias and weights. ``own`` and ``other`` are the sides of each pair, which ``times`` sentences make.
 
     Toxic texts tend to hold many telling features. Leaving most out at random makes each weigh
     enough to tell alone.
     """
     rng = np.random.default_rng(0)
     texts, own_rows, other_rows = _Rows(rows, width), _Rows(own, width), _Rows(other, width)
+    share = np.asarray([1] * len(own) if times is None else times, dtype=float)
+    share /= max(share.sum(), 1.0)
     y = np.asarray(labels, dtype=float)
     rate = (y.sum() + 1) / (len(y) + 2)
     # Both labels weigh alike, so a rare one is not scored low throughout.
@@ -174,7 +222,7 @@ def train(
         error = cost * (_sigmoid(bias + thin.sums(weights)) - y)
         grad = np.append(thin.back(error) + DECAY * weights, error.sum())
         if own_rows.n:
-            change = (own_rows.sums(weights) - other_rows.sums(weights)) / own_rows.n
+            change = (own_rows.sums(weights) - other_rows.sums(weights)) * share
             change *= 2 * counterfactual
             grad += np.append(own_rows.back(change) - other_rows.back(change), 0.0)
         mean = 0.9 * mean + 0.1 * grad
@@ -203,10 +251,14 @@ def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
         .orderBy(F.desc("evidence"), "feature")
         .limit(FEATURES)
     )
-    selected = {r["feature"]: i for i, r in enumerate(told.select("feature").collect())}
+    telling = [r["feature"] for r in told.select("feature").collect()]
+    selected = {f: i for i, f in enumerate(dict.fromkeys([*telling, *sorted(_swaps())]))}
     shape = "swapped int, label int, own array<int>, other array<int>"
-    found = labelled.mapInPandas(_vectors(selected), shape).collect()
-    texts, pairs = [r for r in found if not r["swapped"]], [r for r in found if r["swapped"]]
+    found = stored(labelled.mapInPandas(_vectors(selected), shape), "vectors")
+    texts = found.where("swapped = 0").orderBy("own", "label").collect()  # the sample is bounded
+    # What differs between the sides are a few terms, so equal differences are many.
+    pairs = found.where("swapped = 1").groupBy("own", "other").agg(F.count("*").alias("n"))
+    pairs = pairs.orderBy("own", "other").collect()
     bias, weights = train(
         [r["own"] for r in texts],
         [r["label"] for r in texts],
@@ -214,8 +266,9 @@ def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
         [r["other"] for r in pairs],
         len(selected),
         counterfactual,
+        [r["n"] for r in pairs],
     )
-    return Model(bias, {f: float(weights[i]) for f, i in selected.items()})
+    return Model(bias, {f: float(weights[i]) for f, i in selected.items()}, sum(r["n"] for r in pairs))
 
 
 def score(text: Column, model: Model) -> Column:
