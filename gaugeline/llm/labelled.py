@@ -12,11 +12,16 @@ from gaugeline.llm.common import remainder, stored
 
 T = TypeVar("T")
 
+LONGEST = 32  # characters of a remembered word
+
 
 class Remembered(Generic[T]):
-    """``ask(word)`` for words asked before, in this turn of ``most`` words or the one before."""
+    """``ask(word)`` for words asked before, in this turn of ``most`` words or the one before.
+
+    Words above ``LONGEST`` characters are asked each time.
+    """
 
-    def __init__(self, ask: Callable[[str], T], most: int = 300_000):
+    def __init__(self, ask: Callable[[str], T], most: int = 60_000):
         self.ask, self.most = ask, most
         self.known: dict[str, T] = {}
         self.before: dict[str, T] = {}
@@ -25,7 +30,9 @@ class Remembered(Generic[T]):
         answer = self.known.get(word)
         if answer is None:
             answer = self.before.get(word)
-            answer = self.known[word] = self.ask(word) if answer is None else answer
+            answer = self.ask(word) if answer is None else answer
+            if len(word) <= LONGEST:
+                self.known[word] = answer
         return answer
 
     def __call__(self, words) -> list[T]:

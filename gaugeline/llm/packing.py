@@ -15,13 +15,14 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeline.llm.common import stored
 from gaugeline.llm.tokens import token_ids
@@ -29,6 +30,8 @@ from gaugeline.llm.tokens import token_ids
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
 ID_BYTES = 4
+WINDOW = 1 << 16  # documents
+WINDOW_SHIFT = 32  # bits of a sequence's number within its window
 
 
 class Slots(NamedTuple):
@@ -137,8 +140,9 @@ def cut(
     capacity: int = CAPACITY,
     end_id: int = END_OF_DOCUMENT,
     token_text: str = "text",
+    keep: Sequence[Column] = (),
 ) -> DataFrame:
-    """Tokenize whole texts and cut those above ``capacity``: doc_id, piece, start, length, ids.
+    """Tokenize whole texts and cut those above ``capacity``: doc_id, ``keep``, piece, start, length, ids.
 
     ``ids`` holds little-endian unsigned 32-bit token ids. Every document ends with
     ``end_id``, so a null or empty text is one piece of one id. Other columns are dropped.
@@ -147,16 +151,18 @@ def cut(
     end = F.lit(int(end_id).to_bytes(ID_BYTES, "little"))
     whole = docs.select(
         F.col("doc_id").alias("doc_id"),
+        *keep,
         F.concat(token_ids(tokenizer)(F.coalesce(token_text, F.lit(""))), end).alias("whole"),
     )
+    kept = [c for c in whole.columns if c != "whole"]
     numbered = whole.select(
-        "doc_id",
+        *kept,
         F.explode(F.expr(f"sequence(0, cast((length(whole) - 1) div {size} as int))")).alias("piece"),
         "whole",
     )
     ids = F.expr(f"substring(whole, piece * {size} + 1, {size})")
     return numbered.select(
-        "doc_id",
+        *kept,
         "piece",
         (F.col("piece").cast("long") * capacity).alias("start"),
         (F.length(ids) / ID_BYTES).cast("long").alias("length"),
@@ -184,23 +190,30 @@ def _numbered(pieces: DataFrame) -> DataFrame:
     return placed.withColumn("_rank", rank).drop("_part", "_within", "_before")
 
 
+SHIFT = 1 << 44  # ranks of one length; with lengths below a million the key fits 64 bits
+
+
+def _slot_table(slots: list[Slots]) -> np.ndarray:
+    return np.array(sorted(slots), dtype=np.int64).reshape(-1, len(Slots._fields))
+
+
+def _places(table: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bin and the offset there of the piece with each rank among those of its length."""
+    starts = table[:, 0] * SHIFT + table[:, 1]
+    found = table[np.searchsorted(starts, length * SHIFT + rank, side="right") - 1]
+    size, first_rank, each, _, first_bin, offset = found.T
+    turn = rank - first_rank
+    return first_bin + turn // each, offset + turn % each * size
+
+
 def _finder(slots: list[Slots]):
-    ordered = sorted(slots)
-    table = np.array(ordered, dtype=np.int64).reshape(-1, len(Slots._fields))
-    shift = 1 << 44  # ranks of one length; with lengths below a million the key fits 64 bits
+    table = _slot_table(slots)
 
     @F.pandas_udf("sequence_id long, offset long")
     def find(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        starts = table[:, 0] * shift + table[:, 1]
         for length, rank in parts:
-            key = length.to_numpy(np.int64) * shift + rank.to_numpy(np.int64)
-            size, first_rank, each, _, first_bin, offset = table[
-                np.searchsorted(starts, key, side="right") - 1
-            ].T
-            turn = rank.to_numpy(np.int64) - first_rank
-            yield pd.DataFrame(
-                {"sequence_id": first_bin + turn // each, "offset": offset + turn % each * size}
-            )
+            bins, offset = _places(table, length.to_numpy(np.int64), rank.to_numpy(np.int64))
+            yield pd.DataFrame({"sequence_id": bins, "offset": offset})
 
     return find
 
@@ -237,6 +250,53 @@ def pack_documents(
     return pack(stored(pieces.select(columns), "pieces"), capacity)
 
 
+def pack_in_order(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_OF_DOCUMENT,
+    documents: int = WINDOW,
+) -> DataFrame:
+    """As :func:`pack_documents`, for documents that lie in training order in the files they are read from.
+
+    Documents that follow each other, ``documents`` at most and never beyond a split of a file, are a
+    window. Each window is packed by itself, in parallel and in bounded memory, and sequences are
+    numbered window after window, so training by ``sequence_id`` keeps the order up to a
+    window. Adds ``window``. A window's last sequences are all that this costs. Files are
+    taken in the order of their names; rows that come from no file in that of their partitions.
+    """
+    at = F.struct(
+        F.input_file_name().alias("file"),
+        F.input_file_block_start().alias("block"),
+        F.expr(f"monotonically_increasing_id() div {documents}").alias("part"),
+    )
+    pieces = cut(docs, tokenizer, capacity, end_id, keep=[at.alias("at")])
+    columns = ["doc_id", "piece", "start", "length"]
+    pieces = stored(pieces.select("at", *columns, F.crc32("ids").alias("ids_crc32")), "pieces")
+    # A row per window.
+    number = F.row_number().over(Window.orderBy("at")) - 1
+    windows = pieces.select("at").distinct().withColumn("window", number.cast("long"))
+    numbered = pieces.join(windows, "at").drop("at")
+    doc_id = numbered.schema["doc_id"].dataType
+    # Ids go through Python as text, where a null makes no number inexact.
+    texts = numbered.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+    def place(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["length", "doc_id", "start"], kind="stable", na_position="first")
+        length = rows["length"].to_numpy(np.int64)
+        sizes, counts = np.unique(length, return_counts=True)
+        table = _slot_table(plan_bins(dict(zip(sizes.tolist(), counts.tolist())), capacity))
+        bins, offset = _places(table, length, rows.groupby("length").cumcount().to_numpy(np.int64))
+        first = rows["window"].iloc[0] << WINDOW_SHIFT
+        return rows.assign(sequence_id=first + bins, offset=offset)
+
+    schema = T.StructType([*texts.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    placed = texts.groupBy("window").applyInPandas(place, schema)
+    return placed.select(
+        F.col("doc_id").cast(doc_id).alias("doc_id"), *columns[1:], "ids_crc32", "sequence_id", "offset", "window"
+    )
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """The packed sequences themselves: sequence_id, doc_ids, ids (little-endian, 4 bytes each).
 

@@ -9,8 +9,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import functions as F
 
-# Remembered words per worker process: those of the current and of the previous turn.
-REMEMBERED = 600_000
+# What a worker may remember in the current turn, and as much of the one before, until its task ends.
+# An entry costs its characters, its ids and about so many bytes beside.
+REMEMBERED_BYTES = 8 << 20
+ENTRY_BYTES = 180
+LONGEST_REMEMBERED = 32  # characters
+
+# Texts on which the way by chunks must agree with the library, or the library does it all.
+PROBES = ("The Cat's hat, 12.5% of it!", "Straße ÉÈ naïve A-B a_b", "x" * 40 + " yes", " two  blanks\nline\ttab ")
 
 PUNCTUATION = ".,!?;:*%&$#|"
 
@@ -24,7 +30,8 @@ class WordTokenizer:
 
     Right for a tokenizer whose tokens never span white space and that drops it, which
     ``word_bpe_49k.json`` does: normalization, splitting and merges then work on each chunk
-    alone. Texts whose split may differ between Python and the library go to the library whole.
+    alone. Texts whose split may differ between Python and the library go to the library whole, as do all
+    texts if the file turns out to be one of another kind.
     """
 
     def __init__(self, path: str):
@@ -33,12 +40,26 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = False
         self.model = self.library.model
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.forget()
         # Byte-level BPE writes bytes as characters: printable Latin-1 as itself, others moved up.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         moved = [b for b in range(256) if b not in set(own)]
         self.written = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(moved)}
+        self.by_chunk = self._agrees()
+
+    def _agrees(self) -> bool:
+        self.by_chunk = True
+        try:
+            return all(self.encode(text) == self.whole(text) for text in PROBES)
+        except Exception:  # a model that cannot take single words
+            return False
+        finally:
+            self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.held = 0
 
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
@@ -52,7 +73,10 @@ class WordTokenizer:
         found = self.known.get(part)
         if found is None:
             found = self.before.get(part)
-            self.known[part] = found = ids(part) if found is None else found
+            found = ids(part) if found is None else found
+            if len(part) <= LONGEST_REMEMBERED:
+                self.known[part] = found
+                self.held += len(part) + len(found) + ENTRY_BYTES
         return found
 
     def chunk(self, chunk: str) -> bytes:
@@ -67,10 +91,10 @@ class WordTokenizer:
         return self.part(letters.lower(), self.run) + self.part(chunk[len(letters) :], self.run)
 
     def encode(self, text: str) -> bytes:
-        if NOT_PLAIN.search(text):
+        if not self.by_chunk or NOT_PLAIN.search(text):
             return self.whole(text)
-        if len(self.known) >= REMEMBERED:
-            self.known, self.before = {}, self.known
+        if self.held >= REMEMBERED_BYTES:
+            self.known, self.before, self.held = {}, self.known, 0
         chunks = text.split()
         found = list(map(self.known.get, chunks))
         if None in found:
@@ -84,7 +108,7 @@ _OPEN: dict[str, WordTokenizer] = {}
 
 
 def tokenizer_at(path: str) -> WordTokenizer:
-    """One per worker process, so that what it remembers serves all its tasks."""
+    """One per worker process: the file is read once."""
     if path not in _OPEN:
         _OPEN[path] = WordTokenizer(path)
     return _OPEN[path]
@@ -95,8 +119,11 @@ def token_ids(path: str):
 
     @F.pandas_udf("binary")
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = tokenizer_at(path).encode
-        for part in texts:
-            yield pd.Series([encode(t) for t in part], dtype=object)
+        tokenizer = tokenizer_at(path)
+        try:
+            for part in texts:
+                yield pd.Series([tokenizer.encode(t) for t in part], dtype=object)
+        finally:
+            tokenizer.forget()
 
     return ids

@@ -95,6 +95,46 @@ def test_mix_repeats_documents_in_training_order(spark, documents, labels):
     assert [d for d, _ in found] == [d for _, d in order]
 
 
+def test_mix_keeps_equal_documents_of_two_sources(spark, documents, labels):
+    text = " ".join(["word"] * 30)
+    found = stages.mix_sources(spark, documents([(1, text, "s0"), (1, text, "s1"), (2, text, "s2"), (3, "a b", None)]), labels)
+    assert {r["source"] for r in found.collect()} >= {"s0", "s1"}
+
+
+def test_sequences_follow_the_training_order(spark, documents, labels, at):
+    """Positions of documents, by the order of their sequences, never go back by more than a window."""
+    rows = [(i, " ".join([f"w{i}"] * 20), f"s{i % 3}") for i in range(300)]
+    stages.mix_sources(spark, documents(rows), labels).write.parquet(at("mixed"))
+    reread = spark.read.parquet(at("mixed"))
+    order = [r["doc_id"] for r in sorted(stages.mix_sources(spark, documents(rows), labels).collect(), key=lambda r: 0)]
+    packed = stages.packing.pack_in_order(reread, stages.public_tokenizers.path(stages.TOKENIZER), 128, documents=16).collect()
+    assert len(packed) == len(order)
+    windows = {}
+    for r in packed:
+        windows.setdefault(r["window"], []).append(r)
+    ids = [sorted(r["doc_id"] for r in windows[w]) for w in sorted(windows)]
+    at_ = 0
+    for some in ids:
+        assert some == sorted(order[at_ : at_ + len(some)]) and len(some) <= 16
+        at_ += len(some)
+    firsts = [min(r["sequence_id"] for r in windows[w]) for w in sorted(windows)]
+    lasts = [max(r["sequence_id"] for r in windows[w]) for w in sorted(windows)]
+    assert all(a < b for a, b in zip(lasts, firsts[1:]))
+    places = {}
+    for r in packed:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for found in places.values():
+        found.sort()
+        assert found[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(found, found[1:])) and sum(found[-1]) <= 128
+
+
+def test_packing_stage_edges(spark, documents, labels):
+    docs = documents(base(1)[:10] + EDGES + [EDGES[2]] * 2)
+    found = stages.pack_sequences(spark, docs, labels).collect()
+    assert sum(r["piece"] == 0 for r in found) == docs.count()
+    assert stages.pack_sequences(spark, documents([]), labels).count() == 0
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="given tables are absent")
 def test_run_against_brute_force(spark):
     """Each stage's result from the one before, said plainly; the last against the tokenizer."""
@@ -130,7 +170,8 @@ def test_run_against_brute_force(spark):
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_query_against_its_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{TABLES}/documents.parquet'")
+    for table in ("documents", "embeddings", "conversations"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
     found, expected = queries.QUERIES[name](spark, TABLES), con.sql(queries.ORACLES[name])
     columns = sorted(found.columns)
     assert columns == sorted(expected.columns)
@@ -149,6 +190,9 @@ CONTRACT = {
     "op8_": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9_": "doc_id held_out score predicted",
     "op10_": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op11_": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12_": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+    "op13_": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
 }
 
 
@@ -162,4 +206,4 @@ def test_columns_of_the_queries(spark, prefix):
 
 def test_registered(spark):
     assert {"pipeline", *queries.QUERIES} <= set(entry_point.queries())
-    assert len(queries.QUERIES) == 10
+    assert len(queries.QUERIES) == 13
