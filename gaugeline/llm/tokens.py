@@ -9,9 +9,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import functions as F
 
-# What a worker may remember in the current turn, and as much of the one before, until its task ends.
+# What a worker may remember in the current turn, and as much of the one before.
 # An entry costs its characters, its ids and about so many bytes beside.
-REMEMBERED_BYTES = 8 << 20
+REMEMBERED_BYTES = 48 << 20
 ENTRY_BYTES = 180
 LONGEST_REMEMBERED = 32  # characters
 
@@ -108,7 +108,7 @@ _OPEN: dict[str, WordTokenizer] = {}
 
 
 def tokenizer_at(path: str) -> WordTokenizer:
-    """One per worker process: the file is read once."""
+    """One per worker process, so that what it remembers, bounded in bytes, serves all its tasks."""
     if path not in _OPEN:
         _OPEN[path] = WordTokenizer(path)
     return _OPEN[path]
@@ -119,11 +119,8 @@ def token_ids(path: str):
 
     @F.pandas_udf("binary")
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = tokenizer_at(path)
-        try:
-            for part in texts:
-                yield pd.Series([tokenizer.encode(t) for t in part], dtype=object)
-        finally:
-            tokenizer.forget()
+        encode = tokenizer_at(path).encode
+        for part in texts:
+            yield pd.Series([encode(t) for t in part], dtype=object)
 
     return ids
