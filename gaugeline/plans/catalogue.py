@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.functions import scalars
 from gaugeline.operators import alerts, documents, latest, observations, readings
+from gaugeline.operators.gaps import sequence_gaps
 from gaugeline.operators.ranking import dedup_first, dedup_within, first_per_key, last_per_key
 from gaugeline.operators.sequence import sequence_numbers
 from gaugeline.plans import event_messages as source
@@ -19,9 +20,10 @@ from gaugeline.session import configure, scratch_dir
 from gaugeline.sinks import archive, export, search
 from gaugeline.sinks.keyed import KeyedTable
 from gaugeline.sinks.progress import counted
+from gaugeline.sinks.progress_log import ProgressLog, progress
 from gaugeline.sources import messages as topics
 from gaugeline.sources import tables
-from gaugeline.streaming import fan_out, jobs
+from gaugeline.streaming import chain, fan_out, jobs
 from gaugeline.streaming import observations as observed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -400,6 +402,20 @@ def seq_number(spark, sf_dir):
     return numbered.select(F.col("offset").alias("arrival"), "station_id", "seq")
 
 
+@query(
+    MESSAGES
+    + """, steps AS (
+      SELECT station_id, s_no, arrival, lag(s_no) OVER (PARTITION BY station_id ORDER BY arrival) AS before FROM valid
+    ), runs AS (
+      SELECT *, 1 + count(*) FILTER (s_no < before) OVER (PARTITION BY station_id ORDER BY arrival) AS run FROM steps)
+    SELECT station_id, run, before + 1 AS first, s_no - 1 AS last, s_no - before - 1 AS missing
+    FROM runs WHERE s_no > before + 1"""
+)
+def seq_gaps(spark, sf_dir):
+    """Numbers of each station that never came, by run between restarts."""
+    return sequence_gaps(_valid(spark, sf_dir))
+
+
 _OBSERVED = f"""
 WITH o AS (
   SELECT *, row_number() OVER (ORDER BY event_id) AS s_no,
@@ -631,11 +647,44 @@ def stream_archive(spark, sf_dir):
     return fan_out.archived(spark, _fan_out(spark, sf_dir, fan_out.ARCHIVE))
 
 
+_NEWEST = f"""SELECT CAST(station_id AS VARCHAR) AS key, {FLAT_JSON} AS value FROM kept
+QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY arrival DESC) = 1"""
+
+
+@query(_STREAMED + _NEWEST)
+def stream_latest_state(spark, sf_dir):
+    """By an intake and a query of its own, whose state says which keys a batch changed."""
+    root, checkpoint, own = (scratch_dir(spark, p) for p in ("chain", "checkpoint", "checkpoint"))
+    _in_batches(spark, sf_dir, lambda topic: chain.start_intake(topic, root, checkpoint))
+    chain.start_latest_state(spark, root, own).awaitTermination()
+    return chain.latest_state_table(spark, root).rows()
+
+
 @query(
-    _STREAMED
-    + f"""SELECT CAST(station_id AS VARCHAR) AS key, {FLAT_JSON} AS value FROM kept
-    QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY arrival DESC) = 1"""
+    MESSAGES
+    + """, third AS (SELECT min(event_id) AS low, (max(event_id) - min(event_id)) // 3 + 1 AS size FROM events)
+    SELECT 'valid' AS sink, (arrival - low) // size AS batch_id, count(*) AS rows FROM valid, third GROUP BY ALL"""
 )
+def stream_progress(spark, sf_dir):
+    """What a listener noted of every micro-batch."""
+    path, checkpoint = scratch_dir(spark, "progress"), scratch_dir(spark, "checkpoint")
+    log = ProgressLog(spark, path)
+
+    def run(topic):
+        seen = counted(readings.valid_readings(readings.parse_readings(topic)), "valid")
+        running = jobs.start(seen.writeStream.format("noop"), checkpoint)
+        running.awaitTermination()
+        log.wait_for(running)
+        return running
+
+    try:
+        _in_batches(spark, sf_dir, run)
+    finally:
+        log.close()
+    return progress(spark, path).select("sink", "batch_id", "rows")
+
+
+@query(_STREAMED + _NEWEST)
 def stream_latest(spark, sf_dir):
     return fan_out.latest_values(spark, _fan_out(spark, sf_dir, fan_out.LATEST))
 
