@@ -1,4 +1,4 @@
-"""An index as a catalogue table in buckets, which joins by id without a shuffle."""
+"""An index as a catalogue table in buckets by id."""
 
 from __future__ import annotations
 
@@ -36,7 +36,7 @@ def fill(documents: DataFrame, table: str, key: str = "doc_id", buckets: int = B
 def upserted(spark: SparkSession, stored: str, incoming: str, key: str = "doc_id") -> DataFrame:
     """Two tables with one row per id as one: an incoming row replaces the stored one of its id.
 
-    Tables in the same number of buckets meet bucket by bucket; nothing is sent anywhere.
+    Meant for tables in the same number of buckets; that no exchange is planned is not yet so.
     """
     old, new = spark.table(stored).alias("old"), spark.table(incoming).alias("new")
     both = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
