@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline.functions import scalars
 from gaugeline.operators import alerts, documents, latest, observations, readings
 from gaugeline.operators.gaps import sequence_gaps
+from gaugeline.operators.memory import dedup_last_n
 from gaugeline.operators.ranking import dedup_first, dedup_within, first_per_key, last_per_key
 from gaugeline.operators.sequence import sequence_numbers
 from gaugeline.plans import event_messages as source
@@ -392,6 +393,36 @@ def spaced_arrivals(spark, sf_dir):
     return kept.select(F.col("offset").alias("arrival"), *READING_COLUMNS)
 
 
+# Ids a lane remembers, and lanes.
+MEMORY, MEMORY_LANES = 40, 16
+
+_REMEMBERED = (
+    MESSAGES.replace("WITH", "WITH RECURSIVE", 1)
+    + f""", dealt AS (
+      SELECT arrival, station_id || '-' || s_no AS id,
+             CAST('0x' || left(md5(s_no || '-' || station_id), 8) AS BIGINT) % {MEMORY_LANES} AS lane,
+             station_id % 4 AS topic_partition
+      FROM valid
+    ), lined AS (
+      SELECT *, row_number() OVER (PARTITION BY lane ORDER BY topic_partition, arrival) AS turn FROM dealt
+    ), steps AS (
+      SELECT lane, turn, arrival, true AS accepted, [id] AS memory FROM lined WHERE turn = 1
+      UNION ALL
+      SELECT l.lane, l.turn, l.arrival, NOT list_contains(s.memory, l.id),
+             CASE WHEN list_contains(s.memory, l.id) THEN s.memory
+                  ELSE list_slice(list_append(s.memory, l.id), -{MEMORY}, -1) END
+      FROM steps s JOIN lined l ON l.lane = s.lane AND l.turn = s.turn + 1
+    )
+    SELECT arrival, {READING} FROM steps JOIN valid USING (arrival) WHERE accepted"""
+)
+
+
+@query(_REMEMBERED, name="dedup_last_n")
+def unremembered(spark, sf_dir):
+    kept = dedup_last_n(_valid(spark, sf_dir), MEMORY, MEMORY_LANES)
+    return kept.select(F.col("offset").alias("arrival"), *READING_COLUMNS)
+
+
 @query(
     """SELECT event_id AS arrival, user_id % 11 AS station_id,
     row_number() OVER (PARTITION BY user_id % 11 ORDER BY event_id) AS seq FROM events"""
