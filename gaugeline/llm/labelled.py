@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from typing import Generic, TypeVar
 
 from pyspark.sql import Column, DataFrame
@@ -52,10 +52,18 @@ def held_out(doc_id: Column, divisor: int, held: int) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, divisor: int, held: int, bound: int
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    divisor: int,
+    held: int,
+    bound: int,
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """text and label (0 or 1) of at most ``bound`` documents outside the held-out fold, stored.
 
+    ``also`` names more columns of the documents that come with the text.
+
     Labels are taken in the order of the hash of their id, so a rerun takes the same. Null labels
     and ids do not count; of repeated labels the larger holds, of repeated documents the
     smaller text. A null text is empty.
@@ -64,8 +72,9 @@ def labelled_sample(
     once = usable.groupBy("doc_id").agg((F.max(label) > 0).cast("int").alias("label"))
     learnt = once.where(~held_out(F.col("doc_id"), divisor, held))
     sample = learnt.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    texts = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    told = {"text": F.coalesce("text", F.lit(""))} | dict(also or {})
+    texts = docs.select(F.col("doc_id").alias("doc_id"), *[c.alias(name) for name, c in told.items()])
     # The sample has at most ``bound`` ids.
     joined = texts.join(F.broadcast(sample), "doc_id")
-    one = joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
-    return stored(one.select("text", "label"), "labelled")
+    one = joined.groupBy("doc_id").agg(F.min(F.struct(*told)).alias("told"), F.max("label").alias("label"))
+    return stored(one.select("told.*", "label"), "labelled")

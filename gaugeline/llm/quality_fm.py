@@ -155,7 +155,8 @@ def train(buckets: list[np.ndarray], numbers: list[Sequence[float]], labels: Seq
 def _examples(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     read = _Reader()
     for part in parts:
-        found = [read(text, None) for text in part["text"]]
+        sizes = part["characters"] if "characters" in part else [None] * len(part)
+        found = [read(text, size) for text, size in zip(part["text"], sizes)]
         yield pd.DataFrame(
             {"label": part["label"], "buckets": [b.tolist() for b, _ in found], "numbers": [n for _, n in found]}
         )
@@ -163,7 +164,9 @@ def _examples(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit(labelled: DataFrame) -> Model:
     """Train on ``labelled`` (text, label), a stored sample of bounded size. Without texts of both
-    labels every score is the share of good texts, one half if there are none."""
+    labels every score is the share of good texts, one half if there are none.
+
+    A column ``characters`` has the stated lengths if scores are to go by stated lengths."""
     shape = "label int, buckets array<int>, numbers array<double>"
     rows = labelled.mapInPandas(_examples, shape).collect()
     rows.sort(key=lambda r: (r["label"], r["numbers"], r["buckets"]))  # whatever the order of tasks

@@ -52,11 +52,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     divisor, held = QUALITY_FOLD
-    sample = labelled_sample(docs, labels, "quality", divisor, held, quality_fm.LABELLED)
+    characters = F.col("n_chars").cast("double")
+    sample = labelled_sample(
+        docs, labels, "quality", divisor, held, quality_fm.LABELLED, also={"characters": characters}
+    )
     scored = docs.select(
         "doc_id",
         held_out(F.col("doc_id"), divisor, held).alias("held_out"),
-        quality_fm.score(F.col("text"), quality_fm.fit(sample), F.col("n_chars")).alias("score"),
+        quality_fm.score(F.col("text"), quality_fm.fit(sample), characters).alias("score"),
     )
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_FROM).cast("int"))
 

@@ -123,3 +123,16 @@ def test_memory_is_bounded_and_right():
         assert memory(["a", "bb", "a", "ccc"]) == [1, 2, 1, 3]
     assert memory("xyz" * 2) == [1] * 6
     assert len(memory.known) <= 2 * memory.most and asked.count("a") == 1
+
+
+def test_training_and_scoring_go_by_the_same_stated_length(spark):
+    """Texts alike, told apart by what metadata says of their length alone."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(NEUTRAL, k=9)), 5.0 if i % 2 else 4000.0, i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, stated double, n long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    sample = labelled_sample(docs, labels, "quality", 5, 0, 1000, also={"characters": F.col("stated")})
+    assert sample.columns == ["text", "characters", "label"]
+    score = quality_fm.score(F.col("text"), quality_fm.fit(sample), F.col("stated"))
+    found = docs.select("doc_id", score.alias("s")).collect()
+    assert all((r["s"] > 0.5) == bool(r["doc_id"] % 2) for r in found)
