@@ -79,16 +79,21 @@ URL_RULES = (
     url_rules.Rule("net", "/es/", "block"),
     url_rules.Rule("net", "/fr/", "block"),
 )
+# Two thirds of the stated verdicts are ``block``, so a rule must be much surer than that.
+URL_CONFIDENCE = 0.95
 
 
 @query
 def op4_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's label is that of the document with its number: bad if of low quality or toxic."""
-    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
-    bad = labels.groupBy("doc_id").agg(
-        (F.min(F.coalesce("quality", F.lit(1))) == 0) | (F.max(F.coalesce("toxic", F.lit(0))) == 1)
-    ).toDF("page_id", "bad")
-    judged = url_rules.judge(pages, pages.join(bad, "page_id").select("url", "bad"), URL_RULES)
+    """Labels are the verdicts of the stated rules on pages they fit; the rules' own tokens teach nothing."""
+    pages = table(spark, sf_dir, "pages")
+    judged = url_rules.judge(
+        pages,
+        url_rules.stated_labels(pages, URL_RULES),
+        URL_RULES,
+        confidence=URL_CONFIDENCE,
+        without=url_rules.named_tokens(URL_RULES),
+    )
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
