@@ -39,6 +39,7 @@ ALIASES = {
 AFTER = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 
 BLOCK = 512
+OPENING = 256  # characters of a role or text that decide an order of ties before its hash does
 
 
 class Costs(NamedTuple):
@@ -126,29 +127,47 @@ def block_path(roles: np.ndarray, moves: Moves, start: int, end: int) -> list[St
 def _numbered(turns: DataFrame, block: int) -> DataFrame:
     """Add ``place``, from 0 within the conversation, and its block.
 
-    Turns are counted in parts dealt by ranges of the turn number, so no window holds more than a
-    part of a long conversation; the parts' sizes are added up.
+    Equal turns are one row with a count until they have places. Rows are dealt by ranges of the order and
+    numbered within; the sizes of the ranges of a conversation are added up. So neither a long conversation nor
+    one turn number that many rows have is one window.
     """
-    part = F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / block)
-    dealt = turns.withColumn("_part", part)
-    sizes = dealt.groupBy("conv_id", "_part").agg(F.count("*").alias("_n"))
-    ahead = Window.partitionBy("conv_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    by_conv = "conv_id"
+    once = turns.groupBy(by_conv, "turn", "role", "text").agg(F.count("*").alias("_copies"))
+    # Keys of ranges are sampled on the driver, so they are short; the hash tells long texts apart.
+    order = {
+        "_turn": F.col("turn"),
+        "_role": F.substring("role", 1, OPENING),
+        "_text": F.substring("text", 1, OPENING),
+        "_hash": F.xxhash64("role", "text"),
+    }
+    keyed = once.withColumns(order).repartitionByRange(by_conv, *order)
+    dealt = stored(keyed.withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy(by_conv, "_part").agg(F.sum("_copies").alias("_n"))
+    earlier = Window.partitionBy(by_conv).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(
-        F.col("conv_id").alias("_conv"),
+        F.col(by_conv).alias("_conv"),
         F.col("_part").alias("_of"),
-        F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"),
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
     )
-    order = Window.partitionBy("conv_id", "_part").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    same = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("_part") == F.col("_of"))
-    counted = dealt.withColumn("_within", F.row_number().over(order) - 1).join(before, same)
-    place = (F.col("_before") + F.col("_within")).cast("long")
-    return (
-        counted.withColumn("place", place)
-        .withColumn("block", F.floor(F.col("place") / block))
-        .drop("_part", "_conv", "_of", "_before", "_within")
+    ahead = Window.partitionBy(by_conv, "_part").orderBy(*order, "role", "text")
+    ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
+    same = F.col(by_conv).eqNullSafe(F.col("_conv")) & (F.col("_part") == F.col("_of"))
+    within = F.coalesce(F.sum("_copies").over(ahead), F.lit(0))
+    first = dealt.withColumn("_within", within).join(before, same).withColumn("_first", F.col("_before") + F.col("_within"))
+    places = F.sequence(F.col("_first"), F.col("_first") + F.col("_copies") - 1)
+    return first.select(*turns.columns, F.explode(places).alias("place")).withColumn(
+        "block", F.floor(F.col("place") / block)
     )
 
 
+def escaped(text: Column) -> Column:
+    """``text`` with a backslash more in each ``<|``, ``<\\|`` and so on, so that it holds no mark of a turn.
+
+    Taking one backslash out of each gives the text back.
+    """
+    return F.regexp_replace(text, r"<(\\*)\|", r"<\\$1|")
+
+
 def _role_code(role: Column) -> Column:
     """1 to 3, by name or alias whatever the case; 0 for null and unknown names."""
     code, name = F.lit(0), F.lower(F.trim(role))
@@ -210,8 +229,9 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), block: int = BLOCK)
     inserted (role of an empty message put in before, or null), cost, piece. Joined in the
     order of ``place``, the pieces of a conversation are its rendering.
 
-    Turns go by number, null first, ties by role and text; repeated rows are turns of their
-    own. A null or unknown role takes the cheapest role; a null text is empty. A null conv_id is
+    Turns go by number, null first, ties by the first 256 characters of role and of text, then by a
+    hash of both; repeated rows are turns of their own. What looks like a mark in a text is escaped.
+    A null or unknown role takes the cheapest role; a null text is empty. A null conv_id is
     a conversation. A system message that cannot stand first is relabelled. An empty
     table gives an empty result; extra columns are dropped.
     """
@@ -284,7 +304,7 @@ def repair(conversations: DataFrame, costs: Costs = Costs(), block: int = BLOCK)
         action.alias("action"),
         name(F.col("put")).alias("inserted"),
         F.round("cost", 6).alias("cost"),
-        F.concat(before, F.col("text"), after).alias("piece"),
+        F.concat(before, escaped(F.col("text")), after).alias("piece"),
     )
 
 

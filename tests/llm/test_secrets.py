@@ -92,3 +92,25 @@ def test_redaction_leaves_no_span_and_all_else(spark, documents, text):
 def test_no_python_runs(spark, documents):
     shown = secrets.scan(documents([(1, "x", "s")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in shown for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_no_value_is_stored_in_clear(spark, documents, tmp_path, monkeypatch):
+    written = []
+
+    def keep(df, purpose):
+        df.write.parquet(str(tmp_path / purpose))
+        written.append(spark.read.parquet(str(tmp_path / purpose)))
+        return written[-1]
+
+    monkeypatch.setattr(secrets, "stored", keep)
+    found = secrets.scan(documents([(1, f"token={HEX} key {LIVE} ghp_{LIVE}", "s")])).collect()
+    assert found[0]["spans"] and written
+    for df in written:
+        assert not any(HEX in str(r) or LIVE in str(r) for r in df.collect())
+
+
+def test_one_value_in_a_third_of_all_documents(spark, documents):
+    rows = [(i, f"token={HEX}" if i % 3 == 0 else f"token=v{i:08}", f"s{i % 40}") for i in range(900)]
+    found = secrets.scan(documents(rows)).collect()
+    assert len(found) == 900 and all(len(r["base"]) == (2 if r["doc_id"] % 3 == 0 else 1) for r in found)
+    assert all((r["n_examples"], r["n_live"]) == ((2, 0) if r["doc_id"] % 3 == 0 else (0, 1)) for r in found)
