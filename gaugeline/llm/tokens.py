@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -20,9 +19,27 @@ PROBES = ("The Cat's hat, 12.5% of it!", "Straße ÉÈ naïve A-B a_b", "x" * 40
 
 PUNCTUATION = ".,!?;:*%&$#|"
 
-# Latin-1 letters are single characters in normal form, and so are their lower cases. Python
-# also splits at four controls that Unicode does not count as white space.
-NOT_PLAIN = re.compile("[\x1c-\x1f]|[^\x00-\xff]")
+# Python also splits at these controls, which Unicode does not count as white space.
+SEPARATORS = (b"\x1c", b"\x1d", b"\x1e", b"\x1f")
+
+
+def is_plain(text: str) -> bool:
+    """Latin-1 letters are single characters in normal form, and so are their lower cases."""
+    try:
+        raw = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return not any(c in raw for c in SEPARATORS)
+
+
+class Known(dict):
+    """Ids by chunk; a chunk that is not there is asked for, once."""
+
+    def __init__(self, ask: Callable[[str], bytes]):
+        self.ask = ask
+
+    def __missing__(self, chunk: str) -> bytes:
+        return self.ask(chunk)
 
 
 class WordTokenizer:
@@ -57,10 +74,13 @@ class WordTokenizer:
             self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self.unknown)
         self.before: dict[str, bytes] = {}
         self.held = 0
 
+    def unknown(self, chunk: str) -> bytes:
+        return self.part(chunk, self.chunk)
+
     def whole(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -91,17 +111,11 @@ class WordTokenizer:
         return self.part(letters.lower(), self.run) + self.part(chunk[len(letters) :], self.run)
 
     def encode(self, text: str) -> bytes:
-        if not self.by_chunk or NOT_PLAIN.search(text):
+        if not self.by_chunk or not is_plain(text):
             return self.whole(text)
         if self.held >= REMEMBERED_BYTES:
-            self.known, self.before, self.held = {}, self.known, 0
-        chunks = text.split()
-        found = list(map(self.known.get, chunks))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self.part(chunks[i], self.chunk)
-        return b"".join(found)
+            self.known, self.before, self.held = Known(self.unknown), self.known, 0
+        return b"".join(map(self.known.__getitem__, text.split()))
 
 
 _OPEN: dict[str, WordTokenizer] = {}
