@@ -26,6 +26,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from gaugeline.schemas import ARRIVAL_ORDER
 
 NUMBERS_PER_ROW = 64
+# Groups over which messages that could not be read are dealt; they have no id, and nothing is kept for them.
+UNREAD_GROUPS = 64
 # By this a stateful operator knows the column of the watermark.
 WATERMARK_KEY = "spark.watermarkDelayMs"
 STATE = "numbers array<long>, moments array<long>, processed array<long>"
@@ -117,7 +119,8 @@ def first_arrivals(parsed: DataFrame, horizon: int) -> DataFrame:
         }
     )
     fewer = marked.mapInPandas(_without_copies, marked.schema)
-    block = F.when(F.col("valid"), F.expr(f"s_no div {NUMBERS_PER_ROW}")).otherwise(F.col("offset"))
+    unread = F.pmod(F.xxhash64("partition", "offset", "value"), F.lit(UNREAD_GROUPS))
+    block = F.when(F.col("valid"), F.expr(f"s_no div {NUMBERS_PER_ROW}")).otherwise(unread)
     delay = 2 * horizon
     now = F.current_timestamp()
     clock = F.least(F.timestamp_seconds(F.greatest(F.coalesce("_second", F.lit(0)), F.lit(0))), now)

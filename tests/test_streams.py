@@ -269,6 +269,23 @@ def test_forgotten_when_both_clocks_say_so():
     assert ask() == [] and not state.exists
 
 
+def test_unread_messages_are_dealt_over_few_groups(spark, topic, at, monkeypatch):
+    """Each group costs a call in Python; without an id there is no reason for one per message."""
+
+    def one_per_group(horizon, names):
+        return lambda key, parts, state: (part.head(1)[names] for i, part in enumerate(parts) if i == 0)
+
+    topic.send(*[f"bad {i}" for i in range(500)])
+    out = {}
+    for name, accepter in (("groups", one_per_group), ("all", first_arrivals._accepter)):
+        monkeypatch.setattr(first_arrivals, "_accepter", accepter)
+        kept = first_arrivals.first_arrivals(parse_readings(topic.stream()), 100).select("value", "offset")
+        jobs.start(kept.writeStream.format("parquet").option("path", at(name)), at(f"ck-{name}")).awaitTermination()
+        out[name] = sorted((r["offset"], r["value"]) for r in spark.read.parquet(at(name)).collect())
+    assert out["all"] == [(i, f"bad {i}") for i in range(500)]
+    assert 1 < len(out["groups"]) <= first_arrivals.UNREAD_GROUPS
+
+
 def test_only_bad_or_no_messages(spark, topic, at):
     topic.send("bad", None)
     fan_out.start_fan_out(topic.stream(), at("out"), at("ck")).awaitTermination()
