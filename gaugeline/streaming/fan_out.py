@@ -84,7 +84,9 @@ def process_batch(
     A document that fails one of the ``checks`` is not indexed but becomes a dead letter with
     the reason; it stays in the other sinks.
     """
-    spark, held = rows.sparkSession, rows.persist()
+    # A sink reads the batch once; for a single one it need not be held.
+    once = len(set(sinks)) == 1 and not checks
+    spark, held = rows.sparkSession, rows if once else rows.persist()
     try:
         if DEAD_LETTERS in sinks:
             _write_dead_letters(invalid_messages(held), f"{root}/{DEAD_LETTERS}", run, batch_id)
@@ -101,7 +103,8 @@ def process_batch(
         if LATEST in sinks:
             latest_table(spark, root).upsert(puts_from_readings(accepted), ARRIVAL_ORDER, run, batch_id)
     finally:
-        held.unpersist()
+        if not once:
+            held.unpersist()
 
 
 def start_fan_out(
