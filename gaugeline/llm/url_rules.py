@@ -22,7 +22,7 @@ SUPPORT = 0.001  # share of the labelled URLs that have a combination, at least
 FEWEST = 20  # labelled URLs that have it, at least
 CONFIDENCE = 0.6  # share of those with the bad label, at least
 
-LONGEST = 12  # items of a labelled URL that are mined together, at most; that many have 4,095 combinations
+LONGEST = 12  # items of a URL that FP-growth takes, at most (4,095 combinations); longer ones are mined level by level
 
 SALTS = 8  # tasks over which rows with one key are dealt
 EPSILON = 1e-9
@@ -108,14 +108,12 @@ def stated_labels(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return pages.select(url.alias("url"), (verdict == "block").alias("bad")).where(F.col("bad").isNotNull())
 
 
-def _mined_items(
-    baskets: DataFrame, least_bad: int, fewest: int, longest: int
-) -> tuple[DataFrame, DataFrame]:
-    """Bad baskets as (items, n), and what an item stands for: (item, members, share).
+def _mined_items(baskets: DataFrame, least_bad: int, fewest: int) -> tuple[DataFrame, DataFrame]:
+    """Bad baskets as (items, n), and what an item stands for: (item, members, bad_rows, good_rows).
 
     Tokens that too few URLs, or too few bad ones, have are in no rule. Those that the same baskets have are one
-    item, so the parts of one long path are one. Of the items of a basket the ``longest`` that say the most
-    of badness are mined.
+    item, so the parts of one long path are one. Items that no good URL has are sure alone and wait for no
+    others, so baskets do without them.
     """
     each = baskets.select("basket", "bad", "n", F.explode("tokens").alias("token"))
     bad_rows = F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0))
@@ -126,13 +124,54 @@ def _mined_items(
     items = known.groupBy("seen", "bad_rows", "within").agg(
         F.min("token").alias("item"), F.sort_array(F.collect_list("token")).alias("members")
     )
-    items = items.select("item", "members", (F.col("bad_rows") / F.col("seen")).alias("share"))
-    items = stored(items.where(F.col("share") > 0), "items")
+    items = stored(items.select("item", "members", "bad_rows", (F.col("seen") - F.col("bad_rows")).alias("good_rows")), "items")
     asked = each.where("bad").withColumn("salt", F.pmod("basket", F.lit(SALTS)))
-    there = _salted(items.select(F.col("item").alias("token"), "share"))
+    there = _salted(items.where(F.col("good_rows") > 0).select(F.col("item").alias("token")))
     told = asked.join(there, ["token", "salt"]).groupBy("basket", "n")
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("share")).alias("by"), "token"))), 1, longest)
-    return told.agg(F.transform(best, lambda x: x["token"]).alias("items")).select("items", "n"), items
+    return told.agg(F.sort_array(F.collect_list("token")).alias("items")).select("items", "n"), items
+
+
+def _parts(sets: DataFrame, stands_for: DataFrame) -> DataFrame:
+    """``items`` with ``part``, the tokens they stand for."""
+    each = sets.select("items", F.explode("items").alias("item")).join(stands_for.select("item", "members"), "item")
+    return each.groupBy("items").agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("part"))
+
+
+def _counted(baskets: DataFrame, parts: DataFrame) -> DataFrame:
+    """``parts`` with the rows of all labelled URLs, and of the bad ones, that have all tokens."""
+    bad_rows = F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0))
+    found = matches(baskets, inverted(parts, "part"), "tokens", "part")
+    return found.groupBy(*parts.columns).agg(F.sum("n").alias("seen"), bad_rows.alias("bad_rows"))
+
+
+def _grown(long: DataFrame, stands_for: DataFrame, baskets: DataFrame, least_bad: int, good_total: int) -> DataFrame:
+    """Every set of two and more items in a basket of ``long`` that can be a rule, however many items the basket has.
+
+    An item that shuts out no good URL which the others let in leaves a rule that is no surer than the one without
+    it, with whatever else comes to them, and such a rule goes in the end. So a set is grown only while each
+    of its items shuts some out, and while ``least_bad`` bad URLs have it; all parts of such a set are such sets.
+    """
+    spark = long.sparkSession
+    holders = stored(long.select(F.col("items").alias("tokens")).distinct(), "long")
+    singles = stands_for.where((F.col("good_rows") > 0) & (F.col("good_rows") < good_total))
+    level = stored(singles.select(F.array("item").alias("items"), "good_rows"), "level")
+    grown = spark.createDataFrame([], "items array<string>")
+    while True:
+        held = matches(holders, inverted(level.select("items"), "items"), "tokens", "items")
+        later = F.filter("tokens", lambda x: x > F.element_at("items", -1))
+        wider = held.select("items", F.explode(later).alias("more")).select(F.concat("items", F.array("more")).alias("items"))
+        less = wider.distinct().select("items", F.explode("items").alias("item"))
+        parents = level.select(F.col("items").alias("parent"), "good_rows")
+        told = less.withColumn("parent", F.array_remove("items", F.col("item"))).join(parents, "parent")
+        whole = told.groupBy("items").agg(F.count("*").alias("n"), F.min("good_rows").alias("before"))
+        next_ones = stored(whole.where(F.col("n") == F.size("items")).select("items", "before"), "wider")
+        if next_ones.isEmpty():
+            return grown
+        counts = _counted(baskets, _parts(next_ones, stands_for)).join(next_ones, "items")
+        counts = counts.withColumn("good_rows", F.col("seen") - F.col("bad_rows"))
+        sure = (F.col("bad_rows") >= least_bad) & (F.col("good_rows") < F.col("before"))
+        kept = stored(counts.where(sure).select("items", "good_rows"), "level")
+        grown, level = grown.unionByName(kept.select("items")), kept.where(F.col("good_rows") > 0)
 
 
 def _repeated(baskets: DataFrame) -> DataFrame:
@@ -157,8 +196,9 @@ def mine(
     ``seen`` counts the URLs with all tokens of the rule. FP-growth over the bad URLs proposes
     combinations, and each is then counted over all labelled ones. A rule goes if a rule with part of its
     tokens is at least as confident, or if the bad are as large a share of all. Tokens that always come together
-    stand in rules together. A rule has at most ``longest`` such items, chosen per URL by their own confidence.
-    Without labels, or without bad ones, there is none.
+    stand in rules together. URLs of more than ``longest`` such items, whose combinations FP-growth would write
+    out, are mined level by level instead; the rules are the same for any ``longest``. Without labels, or without
+    bad ones, there is none.
     """
     some = labelled.where(F.size("tokens") > 0)
     grouped = some.groupBy("tokens", "bad").agg(F.count("*").alias("n"))
@@ -171,23 +211,22 @@ def mine(
     least_bad = max(math.ceil(support * total - EPSILON), math.ceil(fewest * confidence - EPSILON), 1)
     if least_bad > bad_total:
         return labelled.sparkSession.createDataFrame([], empty)
-    items, stands_for = _mined_items(baskets, least_bad, fewest, longest)
-    # Half a row less, so that rounding cannot lift the limit.
-    least = (least_bad - 0.5) / bad_total
-    frequent = FPGrowth(itemsCol="items", minSupport=least).fit(_repeated(items)).freqItemsets
-    proposed = stored(frequent.select(F.sort_array("items").alias("items")), "itemsets")
-    members = (
-        proposed.select("items", F.explode("items").alias("item"))
-        .join(stands_for, "item")
-        .groupBy("items")
-        .agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("part"))
-    )
-    candidates = stored(members.select("part"), "candidates")
-    counted = (
-        matches(baskets, inverted(candidates, "part"), "tokens", "part")
-        .groupBy("part")
-        .agg(F.sum("n").alias("seen"), F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("bad_rows"))
-    )
+    items, stands_for = _mined_items(baskets, least_bad, fewest)
+    items = stored(items, "bad_baskets")
+    short, long = items.where(F.size("items") <= longest), items.where(F.size("items") > longest)
+    proposed = stands_for.select(F.array("item").alias("items"))
+    short_total = short.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if short_total >= least_bad:
+        # Half a row less, so that rounding cannot lift the limit.
+        least = (least_bad - 0.5) / short_total
+        frequent = FPGrowth(itemsCol="items", minSupport=least).fit(_repeated(short)).freqItemsets
+        proposed = proposed.unionByName(frequent.select(F.sort_array("items").alias("items")))
+    if not long.isEmpty():
+        # What too few short URLs have is in long ones as well.
+        proposed = proposed.unionByName(_grown(long, stands_for, baskets, least_bad, total - bad_total))
+    proposed = stored(proposed.distinct(), "itemsets")
+    candidates = stored(_parts(proposed, stands_for).select("part"), "candidates")
+    counted = _counted(baskets, candidates)
     share = F.col("bad_rows") / F.col("seen")
     sure = (F.col("seen") >= fewest) & (F.col("bad_rows") >= least_bad) & (share >= confidence) & (share > bad_total / total)
     rules = counted.where(sure).select(F.col("part").alias("rule_tokens"), "seen", share.alias("confidence"))

@@ -112,6 +112,33 @@ def test_counts_are_exact_beyond_the_items_that_are_mined(spark):
         assert (r["seen"], r["confidence"]) == (len(having), pytest.approx(sum(having) / len(having)))
 
 
+@pytest.mark.parametrize("longest", [1, 3, 12])
+def test_long_urls_lose_no_rule(spark, longest):
+    """Rules of more items than FP-growth takes at once, and of items that say little alone, equal brute force."""
+    rng, rows = random.Random(11), []
+    for _ in range(300):
+        items = sorted(rng.sample("abcdefgh", rng.randint(1, 7)))
+        bad = rng.random() < (0.95 if {"b", "d", "f"} <= set(items) else 0.85 if {"g", "h"} <= set(items) else 0.3)
+        rows.append((items + (["sure"] if bad and rng.random() < 0.2 else []), bad))
+    support, fewest, confidence = 0.02, 5, 0.6
+    sure = {}
+    for size in range(1, 10):
+        for part in combinations([*"abcdefgh", "sure"], size):
+            having = [bad for items, bad in rows if set(part) <= set(items)]
+            if len(having) >= fewest and sum(having) >= support * len(rows) and sum(having) / len(having) >= confidence:
+                sure[part] = (len(having), sum(having) / len(having))
+    expected = {
+        part: told
+        for part, told in sure.items()
+        if told[1] > sum(bad for _, bad in rows) / len(rows)
+        and not any(set(q) < set(part) and c >= told[1] for q, (_, c) in sure.items())
+    }
+    assert max(map(len, expected)) >= 3
+    table = spark.createDataFrame(rows, "tokens array<string>, bad boolean")
+    found = u.mine(table, support, fewest, confidence, longest=longest).collect()
+    assert {tuple(r["rule_tokens"]): (r["seen"], pytest.approx(r["confidence"])) for r in found} == expected
+
+
 def test_repeated_baskets(spark):
     table = spark.createDataFrame([(["a"], 1), (["b"], 1000), (["c"], 2501)], "items array<string>, n long")
     assert sorted(map(tuple, u._repeated(table).groupBy(F.get("items", F.lit(0))).count().collect())) == [
